@@ -87,6 +87,16 @@ MIN_PAYLOAD_COMPLETENESS = 0.75
 STATION_RADIUS_M = 7000
 PM25_PARAMETER_ID = 2
 
+# city coordinates (latitude, longitude), in this order
+CITIES = [
+    ("Paris", 48.8622, 2.3470),
+    ("Lyon", 45.7267, 4.8275),
+    ("New York", 40.8259, -73.9508),
+    ("London", 51.5045, -0.1363),
+    ("Berlin", 52.4990, 13.4437),
+    ("Rome", 41.9028, 12.4964),
+]
+
 # model aliases
 CHAMPION = "champion"
 CHALLENGER = "challenger"

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config
 from .tables import table
 
 # Fixed values of the weather adapter: defaults for days without lineitems.
@@ -126,3 +127,43 @@ def local_stamp(ts) -> F.Column:
     """ISO local timestamp string with a +02:00 suffix, as sensors report it."""
     shifted = ts + F.expr(f"INTERVAL {LOCAL_OFFSET_HOURS} HOURS")
     return F.concat(F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(f"+0{LOCAL_OFFSET_HOURS}:00"))
+
+
+def city_table(spark: SparkSession) -> DataFrame:
+    """The configured cities with coordinates (a fixed handful of rows)."""
+    rows = [(i, name, lat, lon) for i, (name, lat, lon) in enumerate(config.CITIES)]
+    return spark.createDataFrame(rows, "idx int, city string, lat double, lon double")
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations derived from suppliers.
+
+    id = supplier key; monitor-grade when the account balance is positive;
+    active from its first to its last lineitem ship date; placed within
+    about ±0.1° of a configured city (chosen by nation key); two sensors,
+    PM2.5 (parameter 2) and PM10 (parameter 1).
+    """
+    su = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
+    li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate")
+    span = li.groupBy("l_suppkey").agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    cities = city_table(spark)
+    cities_n = len(config.CITIES)
+    j = su.join(span, su.s_suppkey == span.l_suppkey).join(
+        F.broadcast(cities), F.pmod(su.s_nationkey, F.lit(cities_n)) == F.col("idx")
+    )
+    fmt = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    jitter_lat = (F.pmod(F.col("s_suppkey") * 7919, F.lit(2001)) - 1000) / 10000.0
+    jitter_lon = (F.pmod(F.col("s_suppkey") * 104729, F.lit(2001)) - 1000) / 10000.0
+    sensor = lambda off, par: F.struct(
+        (F.col("s_suppkey") * 10 + off).alias("id"), F.struct(F.lit(par).alias("id")).alias("parameter")
+    )
+    return j.select(
+        "city",
+        F.col("s_suppkey").alias("id"),
+        (F.col("s_acctbal") > 0).alias("isMonitor"),
+        F.date_format("first", fmt).alias("first_utc"),
+        F.date_format("last", fmt).alias("last_utc"),
+        (F.col("lat") + jitter_lat).alias("latitude"),
+        (F.col("lon") + jitter_lon).alias("longitude"),
+        F.array(sensor(1, 2), sensor(2, 1)).alias("sensors"),
+    )

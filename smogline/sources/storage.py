@@ -3,7 +3,7 @@
 A table is a folder holding immutable *versions* plus a one-row pointer:
 
     <root>/_current/      one-row JSON: {"version": "v-<id>"}
-    <root>/v-<id>/        parquet, optionally partitioned by ``date``
+    <root>/v-<id>/        parquet, optionally partitioned by calendar month
 
 A write never reads and overwrites the same path: it builds the next version
 from the current one (e.g. ``rows outside [s, e]  ∪  new rows``), writes it
@@ -26,6 +26,7 @@ from pyspark.sql.utils import AnalysisException
 from .. import schemas
 
 POINTER = "_current"
+MONTH = "_month"  # partition column of date-partitioned tables (first day of the month)
 DATA_TYPES = {"weather": schemas.WEATHER, "airqual": schemas.AIRQUAL, "processed": None}
 
 
@@ -41,18 +42,31 @@ def table_exists(spark: SparkSession, root: str) -> bool:
     return _current_version(spark, root) is not None
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    """Current version of the table; error if the table does not exist."""
+def _read_raw(spark: SparkSession, root: str) -> DataFrame:
     v = _current_version(spark, root)
     if v is None:
         raise FileNotFoundError(f"no table at {root}")
     return spark.read.parquet(f"{root}/{v}")
 
 
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """Current version of the table; error if the table does not exist."""
+    df = _read_raw(spark, root)
+    return df.drop(MONTH) if MONTH in df.columns else df
+
+
 def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> str:
-    """Write ``df`` as a new version and switch the pointer to it."""
+    """Write ``df`` as a new version and switch the pointer to it.
+
+    ``partition_by="date"`` partitions by calendar month of ``date`` (daily
+    folders would mean thousands of tiny files per year of history); range
+    scans prune on the month and then filter the days.
+    """
     spark = df.sparkSession
     v = f"v-{uuid.uuid4().hex}"
+    if partition_by == "date":
+        df = df.withColumn(MONTH, F.trunc("date", "MM"))
+        partition_by = MONTH
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -64,9 +78,11 @@ def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> st
 def scan_range(spark: SparkSession, root: str, start, end, order: bool = False) -> DataFrame:
     """Rows with ``start <= date <= end``; partition-pruned when the table is
     partitioned by date.  Ordered by date only when asked."""
-    df = read_table(spark, root).filter(
-        F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    )
+    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
+    df = _read_raw(spark, root)
+    if MONTH in df.columns:
+        df = df.filter(F.col(MONTH).between(F.trunc(s, "MM"), F.trunc(e, "MM"))).drop(MONTH)
+    df = df.filter(F.col("date").between(s, e))
     return df.orderBy("date") if order else df
 
 
