@@ -1,6 +1,6 @@
 """Query catalog: Spark callables and their SQL oracles, keyed by operator."""
 
-from . import registry_io  # noqa: F401  (registers the file-backed queries)
+from . import registry_io, registry_ml  # noqa: F401  (register file-backed, MLlib and stream queries)
 from .registry import ORACLES, QUERIES, normalize
 
 

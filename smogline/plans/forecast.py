@@ -140,12 +140,16 @@ def make_regressor(kind: str = "gbt", **params):
         p = dict(regParam=0.01, elasticNetParam=0.5)
         p.update(params)
         return LinearRegression(featuresCol="scaled", labelCol="target", **p)
+    if kind == "ridge":
+        p = dict(regParam=0.01, elasticNetParam=0.0, solver="normal")
+        p.update(params)
+        return LinearRegression(featuresCol="scaled", labelCol="target", **p)
     raise ValueError(f"unknown model kind {kind!r}")
 
 
 def model_pipeline(features: list[str], kind: str = "gbt", categorical_native: bool = False, **params) -> Pipeline:
     stages = encoder_stages(features, categorical_native)
-    if kind == "linear":
+    if kind in ("linear", "ridge"):
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
     stages.append(make_regressor(kind, **params))
     return Pipeline(stages=stages)
@@ -210,3 +214,96 @@ def rank_features(importances: DataFrame, k: int | None = None) -> DataFrame:
     """Features by importance, descending; top ``k`` when given."""
     out = importances.orderBy(F.col("importance").desc(), F.col("feature"))
     return out.limit(k) if k else out
+
+
+# --- cross-validation, importance, feature and parameter searches -------------
+
+def cross_validate(df: DataFrame, features: list[str], kind: str = "gbt", folds: DataFrame | None = None,
+                   threads: int = 4, categorical_native: bool = False, **params) -> DataFrame:
+    """Fold scores of one model: (fold, rmse, fit_seconds).
+
+    The fold fits are independent Spark jobs; a small thread pool submits
+    them concurrently so the cluster runs several fits at once.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark = df.sparkSession
+    folds = time_folds(df) if folds is None else folds
+    bounds = {(r["fold"], r["role"]): (r["start"], r["end"]) for r in folds.collect()}  # 2 rows per fold
+    fold_ids = sorted({f for f, role in bounds if role == "test" and (f, "train") in bounds})
+
+    def one(f):
+        tr, te = bounds[(f, "train")], bounds[(f, "test")]
+        train = df.filter(F.col("date").between(tr[0], tr[1]))
+        test = df.filter(F.col("date").between(te[0], te[1]))
+        t0 = time.perf_counter()
+        model = model_pipeline(features, kind, categorical_native, **params).fit(train)
+        secs = time.perf_counter() - t0
+        return int(f), float(evaluate_model(model, test).first()["rmse"]), float(secs)
+
+    with ThreadPoolExecutor(max_workers=threads) as ex:
+        rows = list(ex.map(one, fold_ids))
+    return spark.createDataFrame(rows, "fold long, rmse double, fit_seconds double")
+
+
+def permute_column(df: DataFrame, col: str, seed: int, rows_per_bucket: int = 100_000) -> DataFrame:
+    """``df`` with ``col`` shuffled across rows (deterministic for a seed).
+
+    Rows are spread over hash buckets of about ``rows_per_bucket`` rows;
+    inside a bucket the column is re-assigned from one hash order to
+    another.  Each window partition is one bucket, so no task holds more
+    than a bucket whatever the table size.
+    """
+    n = df.count()
+    buckets = max(1, -(-n // rows_per_bucket))
+    key = [F.col("date"), F.col("city")]
+    b = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(buckets))
+    w_src = Window.partitionBy("_b").orderBy(F.xxhash64(*key, F.lit(seed + 1)), "date", "city")
+    w_dst = Window.partitionBy("_b").orderBy(F.xxhash64(*key, F.lit(seed + 2)), "date", "city")
+    left = df.withColumn("_b", b).withColumn("_i", F.row_number().over(w_src)).drop(col)
+    right = df.select(b.alias("_b"), F.row_number().over(w_dst.partitionBy(b)).alias("_i"), F.col(col).alias("_perm"))
+    return left.join(right, ["_b", "_i"]).drop("_b", "_i").withColumnRenamed("_perm", col).select(*df.columns)
+
+
+def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], repeats: int = 3,
+                           seed: int = config.RANDOM_SEED) -> DataFrame:
+    """RMSE increase when each feature is permuted: (feature, importance_mean, importance_std)."""
+    spark = df.sparkSession
+    base = evaluate_model(model, df).first()["rmse"]
+    rows = []
+    for i, f in enumerate(features):
+        for r in range(repeats):
+            perm = permute_column(df, f, seed + 1000 * i + 10 * r)
+            rows.append((f, r, float(evaluate_model(model, perm).first()["rmse"] - base)))
+    imp = spark.createDataFrame(rows, "feature string, rep long, delta double")
+    return imp.groupBy("feature").agg(
+        F.avg("delta").alias("importance_mean"), F.stddev_pop("delta").alias("importance_std")
+    )
+
+
+def topk_sweep(df: DataFrame, ranked: list[str], kind: str = "linear", kmin: int = 4, **params) -> DataFrame:
+    """CV score of growing prefixes of ranked features: (nb_features, score, std_score)."""
+    spark = df.sparkSession
+    folds = time_folds(df).cache()
+    out = []
+    for k in range(kmin, len(ranked) + 1):
+        sc = cross_validate(df, ranked[:k], kind, folds, **params)
+        r = sc.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
+        out.append((k, float(r["m"]), float(r["s"])))
+    folds.unpersist()
+    return spark.createDataFrame(out, "nb_features long, score double, std_score double")
+
+
+def param_search(df: DataFrame, features: list[str], grid: list[dict], kind: str = "gbt") -> DataFrame:
+    """Mean/std fold RMSE per parameter set, best first: (params, score, std_score)."""
+    import json
+
+    spark = df.sparkSession
+    folds = time_folds(df).cache()
+    out = []
+    for p in grid:
+        sc = cross_validate(df, features, kind, folds, **p)
+        r = sc.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
+        out.append((json.dumps(p, sort_keys=True), float(r["m"]), float(r["s"])))
+    folds.unpersist()
+    return spark.createDataFrame(out, "params string, score double, std_score double").orderBy("score")
