@@ -341,6 +341,18 @@ def q_null_flags_false(spark, d):
 # §2.3 joins
 # ---------------------------------------------------------------------------
 
+@register(
+    "assert_columns",
+    with_ctes(f"SELECT {', '.join(config.MERGED_COLUMNS)} FROM merged_eval", "merged_eval"),
+    W_DOUBLES + ["pm25_avg"],
+)
+def q_assert_columns(spark, d):
+    """Merged columns checked against the expected set, then put in order."""
+    wx = pp.filter_columns(weather(spark, d), remove=["temp_avg"])
+    raw = wx.join(aq_eval(spark, d), ["date", "city"], "left")
+    return joins.assert_columns(raw, config.MERGED_COLUMNS)
+
+
 @register("merge_sources", with_ctes("SELECT * FROM merged_eval", "merged_eval"), W_DOUBLES + ["pm25_avg"])
 def q_merge_sources(spark, d):
     return merged_eval(spark, d)
