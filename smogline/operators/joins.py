@@ -37,7 +37,9 @@ def merge_sources(
     Every weather day is kept; days without air-quality rows carry nulls.
     With ``validate`` one small job on the weather side checks that each
     city's days are contiguous and that there is at least one row (the
-    merge is a left join, so it is empty exactly when weather is).
+    merge is a left join, so it is empty exactly when weather is).  Callers
+    that window over the merge anyway can pass ``validate=False`` and let
+    ``impute_gaps(check_contiguous=True)`` check inside their own job.
     """
     if validate:
         series.assert_contiguous(weather)

@@ -46,7 +46,19 @@ def assert_contiguous(df: DataFrame, key: str = SERIES) -> int:
 
 # --- gap repair ------------------------------------------------------------
 
-def impute_gaps(df: DataFrame, col: str = "pm25_avg", limit: int = config.LIMIT, key: str = SERIES) -> DataFrame:
+def contiguity_guard(step: Column) -> Column:
+    """Row predicate that is always true but fails the job on a step > 1 day.
+
+    Used as a filter so the check rides along in the job that computes the
+    result (no separate Spark job) and cannot be pruned away.
+    """
+    bad = F.when(step > 1, F.raise_error(F.lit("missing days detected in weather DataFrame")))
+    return F.coalesce(bad.cast("boolean"), F.lit(True))
+
+
+def impute_gaps(
+    df: DataFrame, col: str = "pm25_avg", limit: int = config.LIMIT, key: str = SERIES, check_contiguous: bool = False
+) -> DataFrame:
     """Linear interpolation inside each series, at most ``limit`` values per gap.
 
     Position is the day number, so the input must be contiguous per series
@@ -58,13 +70,20 @@ def impute_gaps(df: DataFrame, col: str = "pm25_avg", limit: int = config.LIMIT,
     Previous known value: growing frame (unbounded preceding .. 1 preceding).
     Next known value: the same growing frame over the reversed order, which
     keeps the cost linear in the series length.
+
+    ``check_contiguous`` evaluates the day step in the same Window node and
+    fails the job when a series skips a day.
     """
     pos = F.unix_date(F.col(ORDER))
     known_pos = F.when(F.col(col).isNotNull(), pos)
     fwd = Window.partitionBy(key).orderBy(F.col(ORDER).asc()).rowsBetween(Window.unboundedPreceding, -1)
     bwd = Window.partitionBy(key).orderBy(F.col(ORDER).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    extra = []
+    if check_contiguous:
+        extra = [F.datediff(ORDER, F.lag(ORDER).over(series_window(key))).alias("_step")]
     tagged = df.select(
         "*",
+        *extra,
         F.last(col, ignorenulls=True).over(fwd).alias("_pv"),
         F.last(known_pos, ignorenulls=True).over(fwd).alias("_pp"),
         F.last(col, ignorenulls=True).over(bwd).alias("_nv"),
@@ -73,6 +92,8 @@ def impute_gaps(df: DataFrame, col: str = "pm25_avg", limit: int = config.LIMIT,
     p = pos
     fill = F.col("_pv") + (F.col("_nv") - F.col("_pv")) * ((p - F.col("_pp")) / (F.col("_np") - F.col("_pp")))
     can = F.col(col).isNull() & F.col("_nv").isNotNull() & F.col("_pv").isNotNull() & ((p - F.col("_pp")) <= limit)
+    if check_contiguous:
+        tagged = tagged.filter(contiguity_guard(F.col("_step"))).drop("_step")
     out = tagged.withColumn(col, F.when(can, fill).otherwise(F.col(col)))
     return out.drop("_pv", "_pp", "_nv", "_np")
 

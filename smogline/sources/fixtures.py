@@ -77,8 +77,9 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("l_tax").alias("tx"),
         F.avg("l_extendedprice").alias("p"),
     )
-    lo = day.select(F.min("date")).scalar()
-    hi = day.select(F.max("date")).scalar()
+    # one scalar subquery for both ends of the span
+    span = day.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
     spine = table(spark, sf_dir, "region", "r_regionkey", "r_name").select(
         F.col("r_regionkey").cast("double").alias("rk"),
         F.col("r_name").alias("city"),

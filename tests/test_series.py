@@ -119,3 +119,11 @@ def test_filter_columns_arguments(spark):
         pp.filter_columns(df, keep=["city"], remove=["city"])
     assert pp.filter_columns(df, keep=["date", "city"]).columns == ["date", "city"]
     assert pp.filter_columns(df, remove=["date"]).columns == ["city", "pm25_avg"]
+
+
+def test_in_plan_contiguity_guard_fails_the_job(spark):
+    gap = series_df(spark, [1, None, 3]).unionByName(series_df(spark, [5], start="2024-01-06"))
+    with pytest.raises(Exception, match="missing days"):
+        series.impute_gaps(gap, check_contiguous=True).collect()
+    ok = series_df(spark, [1, None, 3])
+    assert len(series.impute_gaps(ok, check_contiguous=True).collect()) == 3
