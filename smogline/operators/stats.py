@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from .. import functions as fx
+from .quantiles import grouped_quantiles
 from .series import SERIES, series_window
 
 
@@ -91,11 +92,13 @@ def box_stats(df: DataFrame, group_cols, col: str = "pm25_avg") -> DataFrame:
     return q.join(w, list(group_cols))
 
 
-def describe(df: DataFrame, cols: list[str]) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], hot_rows: int = config.HOT_GROUP_ROWS) -> DataFrame:
     """Summary per column (count, mean, std, min, quartiles, max), long format.
 
-    One aggregation pass computes every statistic of every column; ``stack``
-    turns the single wide row into one row per column.
+    Moments: one aggregation pass over the wide table, unpivoted with
+    ``stack``.  Quartiles: exact, from ``grouped_quantiles`` over the
+    (column, value) long form, so a column with more than ``hot_rows``
+    values is ranked by the distributed path instead of one task's buffer.
     """
     aggs = []
     for c in cols:
@@ -105,21 +108,20 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
             F.avg(x).alias(f"{c}__mean"),
             F.stddev_samp(x).alias(f"{c}__std"),
             F.min(x).alias(f"{c}__min"),
-            F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"),
             F.max(x).alias(f"{c}__max"),
         ]
-    wide = df.agg(*aggs)
     parts = []
     for c in cols:
-        parts += [
-            f"'{c}'", f"`{c}__count`", f"`{c}__mean`", f"`{c}__std`", f"`{c}__min`",
-            f"`{c}__q`[0]", f"`{c}__q`[1]", f"`{c}__q`[2]", f"`{c}__max`",
-        ]
-    expr = (
-        f"stack({len(cols)}, {', '.join(parts)}) "
-        "AS (`column`, `count`, mean, std, `min`, q25, median, q75, `max`)"
+        parts += [f"'{c}'", f"`{c}__count`", f"`{c}__mean`", f"`{c}__std`", f"`{c}__min`", f"`{c}__max`"]
+    moments = df.agg(*aggs).selectExpr(
+        f"stack({len(cols)}, {', '.join(parts)}) AS (`column`, `count`, mean, std, `min`, `max`)"
+    )
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(F.explode(pairs).alias("kv")).select("kv.column", "kv.value")
+    q = grouped_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, hot_rows=hot_rows)
+    return moments.join(q, "column", "left").select(
+        "column", "count", "mean", "std", "min", "q25", "median", "q75", "max"
     )
-    return wide.selectExpr(expr)
 
 
 def rolling_sweep(df: DataFrame, col: str = "pm25_avg", kmin: int = 2, kmax: int = 30, key: str = SERIES) -> DataFrame:

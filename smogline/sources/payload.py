@@ -93,11 +93,13 @@ def scan_airqual_payload(spark: SparkSession, root: str) -> DataFrame:
 
 # --- station search payloads ----------------------------------------------------
 
-def write_station_payloads(stations: DataFrame, root: str) -> str:
-    """One search result per city: ``{results: [station, ...]}``.
+def write_station_payloads(stations: DataFrame, root: str, page_size: int = 1000) -> str:
+    """Station search results per city, paged: ``{results: [station, ...]}``.
 
     ``stations``: city, id, isMonitor, first_utc, last_utc, latitude,
-    longitude, sensors (array<struct<id, parameter: struct<id>>>).
+    longitude, sensors (array<struct<id, parameter: struct<id>>>).  A city's
+    stations are spread over ceil(n / page_size) pages by a hash of the
+    station id, so no payload row grows with the number of stations.
     """
     st = F.struct(
         "id",
@@ -107,7 +109,9 @@ def write_station_payloads(stations: DataFrame, root: str) -> str:
         F.struct("latitude", "longitude").alias("coordinates"),
         "sensors",
     )
-    out = stations.groupBy("city").agg(F.sort_array(F.collect_list(st)).alias("results"))
+    pages = stations.groupBy("city").agg(F.ceil(F.count(F.lit(1)) / page_size).cast("long").alias("_np"))
+    paged = stations.join(pages, "city").withColumn("page", F.pmod(F.xxhash64("id"), F.col("_np")))
+    out = paged.groupBy("city", "page").agg(F.sort_array(F.collect_list(st)).alias("results"))
     out.write.mode("overwrite").partitionBy("city").json(root)
     return root
 
@@ -120,7 +124,7 @@ def filter_stations(spark: SparkSession, root: str, start, end, parameter_id: in
     measure ``parameter_id``.
     """
     raw = spark.read.schema(schemas.STATION_PAYLOAD).option("basePath", root).json(root)
-    st = raw.select("city", F.explode("results").alias("s"))
+    st = raw.select("city", F.explode("results").alias("s"))  # every page of every city
     first = F.to_timestamp(F.col("s.datetimeFirst.utc"))
     last = F.to_timestamp(F.col("s.datetimeLast.utc"))
     kept = st.filter(
