@@ -161,6 +161,38 @@ def flagged_sensors(
     )
 
 
+def sensor_flag_col(
+    max_gap: int = config.MAX_GAP,
+    max_q: float = config.MAX_Q,
+    min_coverage_pct: float = config.MIN_COVERAGE_PCT,
+    min_bad_month_pct: float = config.MIN_BAD_MONTH_PCT,
+):
+    """Window expressions that tag every sensor-day with its sensor's flag.
+
+    Same rules as ``flag_gap_sensors`` ∪ ``flag_coverage_sensors``:
+    gaps from consecutive days of a sensor, gap statistics per
+    (city, sensor), monthly coverage per (city, sensor, month), and the
+    union taken per sensor id.  Every window is partitioned by a superset of
+    ``sensor_id``, so one hash exchange on ``sensor_id`` serves them all.
+    Returns (stage-1 columns, stage-2 columns, stage-3 flag column).
+    """
+    w_s = Window.partitionBy("sensor_id").orderBy("date")
+    w_cs = Window.partitionBy("city", "sensor_id")
+    w_csm = Window.partitionBy("city", "sensor_id", "_month")
+    stage1 = [
+        F.datediff("date", F.lag("date").over(w_s)).alias("_delta"),
+        F.last_day("date").alias("_month"),
+    ]
+    gap = F.when(F.col("_delta") > 1, F.col("_delta"))
+    stage2 = [
+        F.max(gap).over(w_cs).alias("_gmax"),
+        F.percentile(gap.cast("double"), 0.75).over(w_cs).alias("_gq75"),
+        F.count(F.lit(1)).over(w_csm).alias("_nb"),
+        F.row_number().over(w_csm.orderBy("date")).alias("_rn"),
+    ]
+    return stage1, stage2, (max_gap, max_q, min_coverage_pct, min_bad_month_pct)
+
+
 def filter_sensors(
     df: DataFrame,
     max_gap: int = config.MAX_GAP,
@@ -168,8 +200,31 @@ def filter_sensors(
     min_coverage_pct: float = config.MIN_COVERAGE_PCT,
     min_bad_month_pct: float = config.MIN_BAD_MONTH_PCT,
 ) -> DataFrame:
-    """Remove every sensor flagged by the gap rule or the coverage rule."""
-    return exclude_sensors(df, flagged_sensors(df, max_gap, max_q, min_coverage_pct, min_bad_month_pct))
+    """Remove every sensor flagged by the gap rule or the coverage rule.
+
+    One pass: the sensor-day rows are hash-partitioned on ``sensor_id``
+    once; gap statistics, monthly coverage and the flag are window
+    aggregates inside that partitioning (each window partition is one
+    sensor's days, bounded by the calendar), and a filter drops the flagged
+    sensors.  The input is read once — no separate flag branches and no
+    anti join.  ``flag_gap_sensors`` / ``flag_coverage_sensors`` give the
+    same sets as tables.
+    """
+    stage1, stage2, _ = sensor_flag_col(max_gap, max_q, min_coverage_pct, min_bad_month_pct)
+    cols = df.columns
+    a = df.select("*", *stage1).select("*", *stage2)
+    w_cs = Window.partitionBy("city", "sensor_id")
+    first = (F.col("_rn") == 1).cast("int")
+    bad = ((F.col("_nb") / F.dayofmonth("_month") * 100) < min_coverage_pct).cast("int")
+    ratio = F.sum(bad * first).over(w_cs) / F.sum(first).over(w_cs)
+    flag_cs = (
+        F.coalesce(F.col("_gmax") >= max_gap, F.lit(False))
+        | F.coalesce(F.col("_gq75") >= max_q, F.lit(False))
+        | (ratio > min_bad_month_pct)
+    )
+    b = a.withColumn("_f", flag_cs.cast("int"))
+    flagged = F.max("_f").over(Window.partitionBy("sensor_id"))
+    return b.withColumn("_fs", flagged).filter(F.col("_fs") == 0).select(*cols)
 
 
 def filter_report(before: DataFrame, after: DataFrame) -> DataFrame:
