@@ -89,13 +89,13 @@ def impute_gaps(
         F.last(col, ignorenulls=True).over(bwd).alias("_nv"),
         F.last(known_pos, ignorenulls=True).over(bwd).alias("_np"),
     )
+    if check_contiguous:
+        tagged = tagged.filter(contiguity_guard(F.col("_step")))
     p = pos
     fill = F.col("_pv") + (F.col("_nv") - F.col("_pv")) * ((p - F.col("_pp")) / (F.col("_np") - F.col("_pp")))
     can = F.col(col).isNull() & F.col("_nv").isNotNull() & F.col("_pv").isNotNull() & ((p - F.col("_pp")) <= limit)
-    if check_contiguous:
-        tagged = tagged.filter(contiguity_guard(F.col("_step"))).drop("_step")
-    out = tagged.withColumn(col, F.when(can, fill).otherwise(F.col(col)))
-    return out.drop("_pv", "_pp", "_nv", "_np")
+    # one projection restores the input columns with the repaired value
+    return tagged.select(*[(F.when(can, fill).otherwise(F.col(c)) if c == col else F.col(c)).alias(c) for c in df.columns])
 
 
 # --- target, lags, rolling --------------------------------------------------
