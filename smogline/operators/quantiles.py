@@ -80,20 +80,25 @@ def grouped_quantiles(
     probs: dict[str, float],
     hot_rows: int = config.HOT_GROUP_ROWS,
     partitions: int | None = None,
+    hot_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Exact linear quantiles ``{name: p}`` of ``value`` per ``keys``.
 
-    Null values are ignored (groups with only nulls yield nulls from the
-    percentile path and no row from the rank path, so they are kept by the
-    percentile path).
+    ``hot_keys`` (the keys of groups with more than ``hot_rows`` values)
+    can be passed when the caller already counted the groups; otherwise it
+    is derived here.  When it is known to be empty only the percentile path
+    is planned.  Null values are ignored.
     """
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = df.select(*keys, value)
-    sizes = vals.groupBy(*keys).agg(F.count(value).alias("_cnt"))
-    hot = sizes.filter(F.col("_cnt") > hot_rows).select(*keys)
-    cold_rows = vals.join(hot, keys, "left_anti")
-    hot_rows_df = vals.join(hot, keys, "left_semi").filter(F.col(value).isNotNull())
+    if hot_keys is None:
+        sizes = vals.groupBy(*keys).agg(F.count(value).alias("_cnt"))
+        hot_keys = sizes.filter(F.col("_cnt") > hot_rows).select(*keys)
+    elif hot_keys.limit(1).isEmpty():
+        return _percentile_path(vals, keys, value, probs)
+    cold_rows = vals.join(hot_keys, keys, "left_anti")
+    hot_rows_df = vals.join(hot_keys, keys, "left_semi").filter(F.col(value).isNotNull())
     return _percentile_path(cold_rows, keys, value, probs).unionByName(
         _rank_path(hot_rows_df, keys, value, probs, partitions)
     )

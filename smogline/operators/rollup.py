@@ -15,12 +15,20 @@ from .quantiles import grouped_quantiles
 ROLLUP_KEYS = ("city", "sensor_id", "date")
 
 
-def daily_rollup(raw: DataFrame, value: str = "value", local_ts: str = "ts_local") -> DataFrame:
+def daily_rollup(raw: DataFrame, value: str = "value", local_ts: str = "ts_local",
+                 hot_rows: int = config.HOT_GROUP_ROWS) -> DataFrame:
     """Per (city, sensor, local day): avg, min, q25, median, q75, max, coverage.
 
     Day = first 10 characters of the local timestamp.  Coverage = percentage
     of the day's 24 local hours with at least one reading.  Quantiles are
-    exact and linear (see ``grouped_quantiles`` for hot groups).
+    exact and linear.
+
+    Two passes over the raw readings: (1) the decomposable aggregates and
+    the group sizes, checkpointed to the shared folder (one row per
+    sensor-day); (2) the quantiles.  Groups larger than ``hot_rows`` — known
+    from pass 1 — go through the distributed rank path of
+    ``grouped_quantiles``; when there is none, pass 2 is a single
+    ``percentile`` aggregation.
     """
     keyed = raw.select(
         "city",
@@ -35,8 +43,13 @@ def daily_rollup(raw: DataFrame, value: str = "value", local_ts: str = "ts_local
         F.max("_v").alias("pm25_max"),
         (F.count_distinct("_hour") * 100.0 / 24).alias("coverage"),
         F.count(F.lit(1)).alias("n_readings"),
+        F.count("_v").alias("_n_values"),
+    ).checkpoint(eager=True)
+    hot = simple.filter(F.col("_n_values") > hot_rows).select(*ROLLUP_KEYS)
+    q = grouped_quantiles(
+        keyed, list(ROLLUP_KEYS), "_v", {"pm25_q25": 0.25, "pm25_median": 0.5, "pm25_q75": 0.75},
+        hot_rows=hot_rows, hot_keys=hot,
     )
-    q = grouped_quantiles(keyed, list(ROLLUP_KEYS), "_v", {"pm25_q25": 0.25, "pm25_median": 0.5, "pm25_q75": 0.75})
     return simple.join(q, list(ROLLUP_KEYS)).select(
         *ROLLUP_KEYS, "pm25_avg", "pm25_min", "pm25_q25", "pm25_median", "pm25_q75", "pm25_max", "coverage", "n_readings"
     )

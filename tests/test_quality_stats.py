@@ -151,3 +151,26 @@ def test_scalar_helpers(spark):
 def test_local_date_ignores_zone(spark):
     df = spark.createDataFrame([("2024-01-01T00:30:00+02:00",)], "ts string")
     assert df.select(fx.local_date("ts").alias("d")).first().d == dt.date(2024, 1, 1)
+
+
+def test_daily_rollup_hot_path_equals_percentile_path(spark):
+    import datetime as dt2
+
+    from smogline.operators.rollup import daily_rollup
+
+    rng = np.random.default_rng(5)
+    base = dt2.datetime(2024, 1, 1)
+    rows = []
+    for i in range(2000):
+        sensor = 1 if i < 1500 else int(rng.integers(2, 6))  # sensor 1 is hot
+        ts = base + dt2.timedelta(minutes=int(rng.integers(0, 3 * 1440)))
+        rows.append(("c", sensor, ts.strftime("%Y-%m-%dT%H:%M:%S") + "+02:00", float(rng.normal(20, 5))))
+    raw = spark.createDataFrame(rows, "city string, sensor_id long, ts_local string, value double")
+    cols = ["city", "sensor_id", "date", "pm25_q25", "pm25_median", "pm25_q75", "pm25_avg"]
+    a = sorted(daily_rollup(raw).select(*cols).collect())
+    b = sorted(daily_rollup(raw, hot_rows=100).select(*cols).collect())
+    assert len(a) == len(b) > 0
+    for x, y in zip(a, b):
+        assert x[:3] == y[:3]
+        for u, v in zip(x[3:], y[3:]):
+            assert u == pytest.approx(v, rel=1e-12)
