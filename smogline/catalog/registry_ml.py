@@ -30,18 +30,26 @@ def features_ckpt(spark, d, mode="train"):
     return full(spark, d, mode).checkpoint(eager=True)
 
 
+def _reference_window(spark, d):
+    """(start, end) of the window before the first batch, resolved once on
+    the driver so the many jobs that filter on it do not re-derive it."""
+    s = schedule(spark, d).filter(F.col("batch") == 1)
+    r = s.select(
+        F.date_sub("batch_start", config.BATCH_DAYS).alias("lo"), F.date_sub("batch_start", 1).alias("hi")
+    ).first()
+    return r["lo"], r["hi"]
+
+
 def _train(spark, d, feats=None):
     """Training rows: train-mode features before the reference window."""
     f = feats if feats is not None else features_ckpt(spark, d)
-    cut = schedule(spark, d).filter(F.col("batch") == 1).select(F.date_sub("batch_start", config.BATCH_DAYS)).scalar()
-    return f.filter(F.col("date") < cut)
+    lo, _ = _reference_window(spark, d)
+    return f.filter(F.col("date") < F.lit(lo))
 
 
 def _reference_rows(spark, d):
-    s = schedule(spark, d).filter(F.col("batch") == 1)
-    lo = s.select(F.date_sub("batch_start", config.BATCH_DAYS)).scalar()
-    hi = s.select(F.date_sub("batch_start", 1)).scalar()
-    return full(spark, d).filter(F.col("date").between(lo, hi))
+    lo, hi = _reference_window(spark, d)
+    return features_ckpt(spark, d, "eval").filter(F.col("date").between(lo, hi))
 
 
 @register("split_xy")

@@ -246,7 +246,7 @@ def cross_validate(df: DataFrame, features: list[str], kind: str = "gbt", folds:
     return spark.createDataFrame(rows, "fold long, rmse double, fit_seconds double")
 
 
-def permute_column(df: DataFrame, col: str, seed: int, rows_per_bucket: int = 100_000) -> DataFrame:
+def permute_column(df: DataFrame, col: str, seed: int, rows_per_bucket: int = 100_000, n_rows: int | None = None) -> DataFrame:
     """``df`` with ``col`` shuffled across rows (deterministic for a seed).
 
     Rows are spread over hash buckets of about ``rows_per_bucket`` rows;
@@ -254,7 +254,7 @@ def permute_column(df: DataFrame, col: str, seed: int, rows_per_bucket: int = 10
     another.  Each window partition is one bucket, so no task holds more
     than a bucket whatever the table size.
     """
-    n = df.count()
+    n = df.count() if n_rows is None else n_rows
     buckets = max(1, -(-n // rows_per_bucket))
     key = [F.col("date"), F.col("city")]
     b = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(buckets))
@@ -267,14 +267,25 @@ def permute_column(df: DataFrame, col: str, seed: int, rows_per_bucket: int = 10
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], repeats: int = 3,
                            seed: int = config.RANDOM_SEED) -> DataFrame:
-    """RMSE increase when each feature is permuted: (feature, importance_mean, importance_std)."""
+    """RMSE increase when each feature is permuted: (feature, importance_mean, importance_std).
+
+    One scoring job per feature: its ``repeats`` permuted copies are
+    unioned (tagged by repeat) and scored by a single grouped RMSE.
+    """
+    from functools import reduce
+
     spark = df.sparkSession
+    n = df.count()
     base = evaluate_model(model, df).first()["rmse"]
     rows = []
     for i, f in enumerate(features):
-        for r in range(repeats):
-            perm = permute_column(df, f, seed + 1000 * i + 10 * r)
-            rows.append((f, r, float(evaluate_model(model, perm).first()["rmse"] - base)))
+        copies = [
+            permute_column(df, f, seed + 1000 * i + 10 * r, n_rows=n).withColumn("_rep", F.lit(r))
+            for r in range(repeats)
+        ]
+        scored = model.transform(reduce(lambda a, b: a.unionByName(b), copies))
+        for r in scored.groupBy("_rep").agg(rmse_col("target", "prediction").alias("rmse")).collect():
+            rows.append((f, int(r["_rep"]), float(r["rmse"] - base)))
     imp = spark.createDataFrame(rows, "feature string, rep long, delta double")
     return imp.groupBy("feature").agg(
         F.avg("delta").alias("importance_mean"), F.stddev_pop("delta").alias("importance_std")
