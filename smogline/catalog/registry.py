@@ -81,12 +81,22 @@ def full(spark, d, mode="eval"):
     return pp.features_table(readings(spark, d), weather(spark, d), mode=mode)
 
 
-def schedule(spark, d):
-    return monitoring.batch_schedule(full(spark, d).select("date"))
+def shared(spark, d, mode="eval"):
+    """Feature table for queries that read it in several branches (schedule
+    and scores): computed once and checkpointed to the shared folder, the
+    way the processed table is stored and read back, instead of being
+    recomputed per branch."""
+    return full(spark, d, mode).checkpoint(eager=True)
 
 
-def predictions(spark, d):
-    return monitoring.persistence_predictions(full(spark, d))
+def schedule(spark, d, f=None):
+    f = full(spark, d) if f is None else f
+    return monitoring.batch_schedule(f.select("date"))
+
+
+def predictions(spark, d, f=None):
+    f = full(spark, d) if f is None else f
+    return monitoring.persistence_predictions(f)
 
 
 def events(spark, d):
@@ -308,8 +318,9 @@ SELECT * FROM preds WHERE city = (SELECT min(city) FROM preds)
     ["y_true", "y_pred"],
 )
 def q_select_series_range(spark, d):
-    p = predictions(spark, d)
-    s = schedule(spark, d)
+    f = shared(spark, d)
+    p = predictions(spark, d, f)
+    s = schedule(spark, d, f)
     city = p.select(F.min("city")).scalar()
     lo = s.filter(F.col("batch") == 1).select("batch_start").scalar()
     hi = s.filter(F.col("batch") == 6).select("batch_end").scalar()
@@ -371,8 +382,8 @@ SELECT f.city, f.date, s.batch FROM full_eval f JOIN sched s ON f.date BETWEEN s
               "full_eval", extra=SCHED_CTES),
 )
 def q_assign_batch(spark, d):
-    f = full(spark, d).select("city", "date")
-    return joins.assign_batch(f, schedule(spark, d)).select("city", "date", "batch")
+    f = shared(spark, d)
+    return joins.assign_batch(f.select("city", "date"), schedule(spark, d, f)).select("city", "date", "batch")
 
 
 # ---------------------------------------------------------------------------
@@ -997,8 +1008,8 @@ WHERE s.batch = 6 AND f.date BETWEEN s.batch_start AND s.batch_end""", "full_eva
     FEAT_DOUBLES,
 )
 def q_evaluation_slice(spark, d):
-    f = full(spark, d)
-    s = schedule(spark, d).filter(F.col("batch") == 6)
+    f = shared(spark, d)
+    s = schedule(spark, d, f).filter(F.col("batch") == 6)
     lo = s.select("batch_start").scalar()
     hi = s.select("batch_end").scalar()
     return f.filter(F.col("date").between(lo, hi)).select(*config.SELECTED_FEATURES, "date", "target")
@@ -1067,21 +1078,23 @@ def q_fold_summary(spark, d):
 # §2.11 monitoring
 # ---------------------------------------------------------------------------
 
-def models(spark, d):
-    return monitoring.candidate_models(full(spark, d), schedule(spark, d))
+def models(spark, d, f=None):
+    f = shared(spark, d) if f is None else f
+    return monitoring.candidate_models(f, schedule(spark, d, f))
 
 
-def batch_scores(spark, d):
-    f = full(spark, d)
-    tagged = joins.assign_batch(f, schedule(spark, d))
+def batch_scores(spark, d, f=None):
+    f = shared(spark, d) if f is None else f
+    tagged = joins.assign_batch(f, schedule(spark, d, f))
     return tagged.groupBy("batch", "batch_start", "batch_end").agg(
         stats.rmse_col("target", forecast.baseline_col("persistence")).alias("champion_rmse"),
         stats.rmse_col("target", forecast.baseline_col("extrapolation")).alias("challenger_rmse"),
     )
 
 
-def batches(spark, d):
-    return monitoring.batch_log(full(spark, d), schedule(spark, d), models(spark, d))
+def batches(spark, d, f=None):
+    f = shared(spark, d) if f is None else f
+    return monitoring.batch_log(f, schedule(spark, d, f), models(spark, d, f))
 
 
 MON_ALL = _mon(SCHED_CTES, PRED_CTES, MODEL_CTES, BATCH_CTES)
@@ -1102,7 +1115,8 @@ GROUP BY s.batch, s.batch_start, s.batch_end, p.model_version""", "full_eval", e
     ["rmse"],
 )
 def q_score_batches(spark, d):
-    return monitoring.score_batches(predictions(spark, d), schedule(spark, d))
+    f = shared(spark, d)
+    return monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f))
 
 
 MODEL_DOUBLES = ["reference_rmse"]
@@ -1123,8 +1137,9 @@ LEFT JOIN models m ON m.model_version = s.model_version""", "full_eval", extra=M
     ["rmse", "reference_rmse"],
 )
 def q_reference_lookup(spark, d):
-    sc = monitoring.score_batches(predictions(spark, d), schedule(spark, d)).select("batch", "model_version", "rmse")
-    return joins.reference_lookup(sc, models(spark, d))
+    f = shared(spark, d)
+    sc = monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f)).select("batch", "model_version", "rmse")
+    return joins.reference_lookup(sc, models(spark, d, f))
 
 
 @register(
@@ -1137,8 +1152,9 @@ LEFT JOIN models m ON m.model_version = s.model_version""", "full_eval", extra=M
     ["rmse", "reference_rmse"],
 )
 def q_drift_check(spark, d):
-    sc = monitoring.score_batches(predictions(spark, d), schedule(spark, d)).select("batch", "model_version", "rmse")
-    return monitoring.drift_check(sc, models(spark, d))
+    f = shared(spark, d)
+    sc = monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f)).select("batch", "model_version", "rmse")
+    return monitoring.drift_check(sc, models(spark, d, f))
 
 
 @register(

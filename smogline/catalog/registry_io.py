@@ -28,6 +28,7 @@ from .registry import (
     predictions,
     register,
     schedule,
+    shared,
     weather,
 )
 from .sql_prelude import with_ctes
@@ -266,8 +267,9 @@ def q_log_predictions(spark, d):
     """Each batch's predictions logged in turn (range replace by the rows'
     own date bounds), the last batch twice; the table then holds every batch once."""
     root = scratch_path(spark, "predictions")
-    preds = predictions(spark, d)
-    sched = schedule(spark, d).collect()  # one row per batch (6)
+    f = shared(spark, d)
+    preds = predictions(spark, d, f)
+    sched = schedule(spark, d, f).collect()  # one row per batch (6)
     for b in sorted(sched, key=lambda r: r["batch"]) + [max(sched, key=lambda r: r["batch"])]:
         part = preds.filter(F.col("date").between(b["batch_start"], b["batch_end"]))
         storage.log_predictions(spark, root, part)

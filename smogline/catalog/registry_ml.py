@@ -151,7 +151,8 @@ def q_bootstrap_eval(spark, d):
 
 
 def _step(spark, d, ws):
-    ev, tr, sc = features_ckpt(spark, d, "eval"), features_ckpt(spark, d), schedule(spark, d).checkpoint(eager=True)
+    ev, tr = features_ckpt(spark, d, "eval"), features_ckpt(spark, d)
+    sc = schedule(spark, d, ev).checkpoint(eager=True)
     return lambda b: flows.periodic_step(spark, ws, ev, tr, sc, b, FEATURES, "gbt", **SMALL_GBT)
 
 
