@@ -161,20 +161,13 @@ def flagged_sensors(
     )
 
 
-def sensor_flag_col(
-    max_gap: int = config.MAX_GAP,
-    max_q: float = config.MAX_Q,
-    min_coverage_pct: float = config.MIN_COVERAGE_PCT,
-    min_bad_month_pct: float = config.MIN_BAD_MONTH_PCT,
-):
-    """Window expressions that tag every sensor-day with its sensor's flag.
-
-    Same rules as ``flag_gap_sensors`` ∪ ``flag_coverage_sensors``:
-    gaps from consecutive days of a sensor, gap statistics per
-    (city, sensor), monthly coverage per (city, sensor, month), and the
-    union taken per sensor id.  Every window is partitioned by a superset of
-    ``sensor_id``, so one hash exchange on ``sensor_id`` serves them all.
-    Returns (stage-1 columns, stage-2 columns, stage-3 flag column).
+def _sensor_window_cols():
+    """Window expressions behind the one-pass sensor filter.
+
+    Gaps come from consecutive days of a sensor; gap statistics are per
+    (city, sensor); monthly coverage per (city, sensor, month).  Every
+    window is partitioned by a superset of ``sensor_id``, so one hash
+    exchange on ``sensor_id`` serves them all.
     """
     w_s = Window.partitionBy("sensor_id").orderBy("date")
     w_cs = Window.partitionBy("city", "sensor_id")
@@ -190,7 +183,7 @@ def sensor_flag_col(
         F.count(F.lit(1)).over(w_csm).alias("_nb"),
         F.row_number().over(w_csm.orderBy("date")).alias("_rn"),
     ]
-    return stage1, stage2, (max_gap, max_q, min_coverage_pct, min_bad_month_pct)
+    return stage1, stage2
 
 
 def filter_sensors(
@@ -210,7 +203,7 @@ def filter_sensors(
     anti join.  ``flag_gap_sensors`` / ``flag_coverage_sensors`` give the
     same sets as tables.
     """
-    stage1, stage2, _ = sensor_flag_col(max_gap, max_q, min_coverage_pct, min_bad_month_pct)
+    stage1, stage2 = _sensor_window_cols()
     cols = df.columns
     a = df.select("*", *stage1).select("*", *stage2)
     w_cs = Window.partitionBy("city", "sensor_id")
