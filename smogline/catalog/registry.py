@@ -1061,7 +1061,9 @@ def q_time_folds(spark, d):
 
 @register("baseline_crossval", with_ctes("SELECT * FROM cv", "full_train", extra=FOLD_CTES), ["rmse"])
 def q_baseline_crossval(spark, d):
-    return forecast.baseline_crossval(full(spark, d, "train"))
+    # fold cut-offs and fold rows both read the features: one checkpointed copy
+    # instead of the feature chain planned twice from the raw scans
+    return forecast.baseline_crossval(shared(spark, d, "train"))
 
 
 @register(
@@ -1071,7 +1073,7 @@ def q_baseline_crossval(spark, d):
     ["mean_rmse", "std_rmse"],
 )
 def q_fold_summary(spark, d):
-    return forecast.fold_summary(forecast.baseline_crossval(full(spark, d, "train")))
+    return forecast.fold_summary(forecast.baseline_crossval(shared(spark, d, "train")))
 
 
 # ---------------------------------------------------------------------------

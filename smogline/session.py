@@ -61,3 +61,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/smogline-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    * scan splits of ``target_partition_bytes`` (the raw scans are the
+      largest stages);
+    * initial shuffle partitions so that a post-shuffle partition of the raw
+      readings stays near the same size, at least 3 waves of tasks, AQE then
+      coalesces the small shuffles (aggregated sensor-days, city-days);
+    * skew-join splitting on, with the skew threshold at the partition size;
+    * broadcast only below 64 MB of measured size.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(3 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024**2),
+        "spark.sql.session.timeZone": "UTC",
+    }

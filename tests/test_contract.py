@@ -41,3 +41,12 @@ def test_preprocess_invariant_to_partitioning(spark):
                 assert vx == pytest.approx(vy, rel=1e-12, abs=1e-12)  # summation order only
             else:
                 assert vx == vy
+
+
+def test_scale_conf_sizes_partitions():
+    from smogline.session import scale_conf
+
+    c = scale_conf(100 * 1024**4, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    small = scale_conf(10 * 1024**2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
