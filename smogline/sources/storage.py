@@ -1,15 +1,17 @@
 """Table storage on plain parquet: range replace, key replace, range scans.
 
-A table is a folder holding immutable *versions* plus a one-row pointer:
+A table is a folder holding immutable *versions* plus an append-only log of
+committed version names:
 
-    <root>/_current/      one-row JSON: {"version": "v-<id>"}
-    <root>/v-<id>/        parquet, optionally partitioned by calendar month
+    <root>/_versions/     JSON rows {"version": "v-<time>-<id>"}, appended per commit
+    <root>/v-<time>-<id>/ parquet, optionally partitioned by calendar month
 
 A write never reads and overwrites the same path: it builds the next version
 from the current one (e.g. ``rows outside [s, e]  ∪  new rows``), writes it
-to a fresh folder and then switches the pointer.  Readers resolve the
-pointer once.  A failed job leaves the previous version in place, so a
-retried task or a lost executor never exposes a half-written table.
+to a fresh folder and only then appends its name to the log.  Readers take
+the newest name in the log.  Nothing is ever deleted or overwritten, so a
+failed job, a retried task or a lost executor leaves the previous version
+current and never exposes a half-written table.
 
 Writes also cut the lineage: later steps read the written version, not the
 plan that produced it.
@@ -17,6 +19,7 @@ plan that produced it.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,17 +28,17 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 
-POINTER = "_current"
+POINTER = "_versions"
 MONTH = "_month"  # partition column of date-partitioned tables (first day of the month)
 DATA_TYPES = {"weather": schemas.WEATHER, "airqual": schemas.AIRQUAL, "processed": None}
 
 
 def _current_version(spark: SparkSession, root: str) -> str | None:
     try:
-        rows = spark.read.schema("version string").json(f"{root}/{POINTER}").collect()
+        log = spark.read.schema("version string").json(f"{root}/{POINTER}")
+        return log.agg(F.max("version")).first()[0]  # one small row per commit
     except AnalysisException:
         return None
-    return rows[0]["version"] if rows else None
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
@@ -63,7 +66,7 @@ def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> st
     scans prune on the month and then filter the days.
     """
     spark = df.sparkSession
-    v = f"v-{uuid.uuid4().hex}"
+    v = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sortable by commit time
     if partition_by == "date":
         df = df.withColumn(MONTH, F.trunc("date", "MM"))
         partition_by = MONTH
@@ -71,7 +74,7 @@ def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> st
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(f"{root}/{v}")
-    spark.createDataFrame([(v,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/{POINTER}")
+    spark.createDataFrame([(v,)], "version string").coalesce(1).write.mode("append").json(f"{root}/{POINTER}")
     return v
 
 
