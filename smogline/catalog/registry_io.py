@@ -157,7 +157,11 @@ def q_merge_weather_files(spark, d):
     return payload.merge_weather_files(spark, _weather_payload_root(spark, d), b["s"], b["e"])
 
 
-@register("quarantine_bad_weather")
+@register(
+    "quarantine_bad_weather",
+    with_ctes("SELECT city, count(*) AS good_payloads, CAST(0 AS BIGINT) AS quarantined FROM weather GROUP BY city",
+              "weather"),
+)
 def q_quarantine_bad_weather(spark, d):
     root = _weather_payload_root(spark, d)
     good, bad = payload.quarantine_bad_weather(spark, root)

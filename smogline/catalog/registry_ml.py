@@ -18,6 +18,7 @@ from ..sources import storage
 from ..streaming.periodic import stream_periodic
 from ..streaming.rollup import stream_daily_rollup, write_arrivals
 from .registry import events, full, register, schedule
+from .sql_prelude import with_ctes
 
 FEATURES = list(config.SELECTED_FEATURES)
 SMALL_GBT = dict(maxIter=20, maxDepth=4)
@@ -175,7 +176,14 @@ def q_stream_periodic(spark, d):
     return storage.read_table(spark, ws.batches)
 
 
-@register("stream_daily_rollup")
+@register(
+    "stream_daily_rollup",
+    with_ctes("""
+SELECT city, sensor_id, CAST(substr(ts_local, 1, 10) AS DATE) AS date, avg(value) AS pm25_avg,
+  min(value) AS pm25_min, max(value) AS pm25_max, count(*) AS n_readings
+FROM events_raw GROUP BY 1, 2, 3""", "events_raw"),
+    ["pm25_avg", "pm25_min", "pm25_max"],
+)
 def q_stream_daily_rollup(spark, d):
     src = scratch_path(spark, "raw-readings")
     ev = events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
