@@ -187,8 +187,8 @@ FROM events_raw GROUP BY 1, 2, 3""", "events_raw"),
 def q_stream_daily_rollup(spark, d):
     src = scratch_path(spark, "raw-readings")
     ev = events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    write_arrivals(ev, src, slices=8)  # arrival order = event-time order
-    return stream_daily_rollup(
-        spark, f"{src}/slice=*", scratch_path(spark, "rollup-table"), scratch_path(spark, "rollup-ckpt")
-    )
+    out, ckpt = scratch_path(spark, "rollup-table"), scratch_path(spark, "rollup-ckpt")
+    # data arrives in 8 event-time slices; the stream runs after each arrival
+    write_arrivals(ev, src, slices=8, on_arrival=lambda _: stream_daily_rollup(spark, f"{src}/slice=*", out, ckpt))
+    return storage.read_table(spark, out)
 

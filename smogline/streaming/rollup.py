@@ -60,11 +60,16 @@ def rollup_stream(raw: DataFrame, offset_hours: int = 2, watermark: str = "2 day
 
 
 def stream_daily_rollup(
-    spark: SparkSession, source_dir: str, out_root: str, checkpoint: str, files_per_trigger: int = 1
+    spark: SparkSession, source_dir: str, out_root: str, checkpoint: str, files_per_trigger: int | None = None
 ) -> DataFrame:
     """Run the incremental rollup over every file available now; returns
-    the resulting table (lazy read)."""
-    raw = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
+    the resulting table (lazy read).  Calling it again with the same
+    checkpoint processes only files that arrived since (state and offsets
+    live in the checkpoint)."""
+    reader = spark.readStream.schema(RAW_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    raw = reader.parquet(source_dir)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()  # read twice by the key replace
@@ -85,10 +90,11 @@ def stream_daily_rollup(
     return storage.read_table(spark, out_root)
 
 
-def write_arrivals(raw: DataFrame, root: str, slices: int = 8) -> list[str]:
-    """Write ``raw`` as ``slices`` time-ordered file groups, oldest first,
-    so the file source sees them arrive in event-time order (its order is
-    the files' modification time).  Slice bounds come from one aggregate."""
+def write_arrivals(raw: DataFrame, root: str, slices: int = 8, on_arrival=None) -> list[str]:
+    """Write ``raw`` as ``slices`` time-ordered slices, oldest first, calling
+    ``on_arrival(path)`` after each one — e.g. to run the stream over what has
+    arrived so far, as a scheduler would.  Slice bounds come from one
+    aggregate."""
     b = raw.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     lo, hi = b["lo"], b["hi"]
     step = (hi - lo) / slices
@@ -100,4 +106,6 @@ def write_arrivals(raw: DataFrame, root: str, slices: int = 8) -> list[str]:
         path = f"{root}/slice={i:03d}"
         raw.filter(cond).write.parquet(path)
         paths.append(path)
+        if on_arrival is not None:
+            on_arrival(path)
     return paths

@@ -20,8 +20,11 @@ def test_stream_rollup_equals_batch_rollup(spark):
     raw = spark.createDataFrame(rows, "city string, sensor_id long, event_id long, ts timestamp, value double")
     raw = raw.withColumn("ts_local", local_stamp(F.col("ts")))
     src = scratch_path(spark, "t-stream-src")
-    write_arrivals(raw, src, slices=4)
-    out = stream_daily_rollup(spark, f"{src}/slice=*", scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-ckpt"))
+    out_root, ckpt = scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-ckpt")
+    write_arrivals(raw, src, slices=4, on_arrival=lambda _: stream_daily_rollup(spark, f"{src}/slice=*", out_root, ckpt))
+    from smogline.sources import storage
+
+    out = storage.read_table(spark, out_root)
     got = {(r.city, r.sensor_id, r.date): r for r in out.collect()}
     ref = {(r.city, r.sensor_id, r.date): r for r in daily_rollup(raw).collect()}
     assert set(got) == set(ref)
