@@ -169,10 +169,12 @@ def q_periodic_step(spark, d):
 @register("stream_periodic")
 def q_stream_periodic(spark, d):
     ws = _bootstrapped(spark, d)
-    arrivals = scratch_path(spark, "arrivals")
-    for r in schedule(spark, d).select("batch").collect():  # one arrival file per batch (6)
+    arrivals, ckpt = scratch_path(spark, "arrivals"), scratch_path(spark, "arrivals-ckpt")
+    step = _step(spark, d, ws)
+    # batches arrive one after another (6 schedule rows); the stream runs after each arrival
+    for r in sorted(schedule(spark, d).select("batch").collect()):
         spark.createDataFrame([(r["batch"],)], "batch long").coalesce(1).write.json(f"{arrivals}/b{r['batch']:03d}")
-    stream_periodic(spark, f"{arrivals}/*", scratch_path(spark, "arrivals-ckpt"), _step(spark, d, ws))
+        stream_periodic(spark, f"{arrivals}/*", ckpt, step)
     return storage.read_table(spark, ws.batches)
 
 
