@@ -146,7 +146,7 @@ def batch_log(
         drift.alias("drift_detected"),
         F.when(drift, F.lit(challenger)).alias("challenger_version"),
         F.when(drift, F.col("challenger_rmse")).alias("rmse_challenger"),
-        F.to_timestamp(F.date_add("batch_end", 1)).alias("run_date"),
+        F.date_add("batch_end", 1).cast("timestamp_ntz").alias("run_date"),
         F.when(drift, promote).alias("promotion_applied"),
     )
 

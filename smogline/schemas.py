@@ -11,7 +11,7 @@ S, D, L, DT, B, I, TS = (
     T.DateType(),
     T.BooleanType(),
     T.IntegerType(),
-    T.TimestampType(),
+    T.TimestampNTZType(),  # wall-clock run times, no zone (as the source records them)
 )
 
 
