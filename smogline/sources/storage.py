@@ -1,11 +1,15 @@
 """Table storage on plain parquet: range replace, key replace, range scans.
 
 A table is a folder holding immutable *versions* plus an append-only log of
-committed version names:
+commits:
 
-    <root>/_versions/     JSON rows {"version": "v-<time>-<id>"}, appended per commit
+    <root>/_versions/     JSON rows {version, paths, schema}, appended per commit
     <root>/v-<time>-<id>/ parquet, optionally partitioned by calendar month
 
+For a month-partitioned table a commit lists the month folders that make up
+the version; unchanged months are carried over from earlier versions by
+reference, so a range replace rewrites only the months it touches.
+
 A write never reads and overwrites the same path: it builds the next version
 from the current one (e.g. ``rows outside [s, e]  ∪  new rows``), writes it
 to a fresh folder and only then appends its name to the log.  Readers take
@@ -19,73 +23,123 @@ plan that produced it.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 
 POINTER = "_versions"
 MONTH = "_month"  # partition column of date-partitioned tables (first day of the month)
+LOG_SCHEMA = "version string, paths array<string>, schema string"
 DATA_TYPES = {"weather": schemas.WEATHER, "airqual": schemas.AIRQUAL, "processed": None}
 
 
-def _current_version(spark: SparkSession, root: str) -> str | None:
+def _current(spark: SparkSession, root: str):
+    """Newest commit-log entry (version, month folders or null, schema json)."""
     try:
-        log = spark.read.schema("version string").json(f"{root}/{POINTER}")
-        return log.agg(F.max("version")).first()[0]  # one small row per commit
+        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{POINTER}")
+        return log.orderBy(F.col("version").desc()).first()  # one small row per commit
     except AnalysisException:
         return None
 
 
+def _current_version(spark: SparkSession, root: str) -> str | None:
+    cur = _current(spark, root)
+    return None if cur is None else cur["version"]
+
+
 def table_exists(spark: SparkSession, root: str) -> bool:
-    return _current_version(spark, root) is not None
+    return _current(spark, root) is not None
 
 
-def _read_raw(spark: SparkSession, root: str) -> DataFrame:
-    v = _current_version(spark, root)
-    if v is None:
-        raise FileNotFoundError(f"no table at {root}")
-    return spark.read.parquet(f"{root}/{v}")
+def _month_of(path: str) -> str:
+    return path.rstrip("/").rsplit(f"{MONTH}=", 1)[1][:10]
+
+
+def _read_paths(spark: SparkSession, cur, months: tuple[str, str] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(cur["schema"]))
+    paths = list(cur["paths"])
+    if months is not None:
+        paths = [p for p in paths if months[0] <= _month_of(p) <= months[1]]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
     """Current version of the table; error if the table does not exist."""
-    df = _read_raw(spark, root)
-    return df.drop(MONTH) if MONTH in df.columns else df
+    cur = _current(spark, root)
+    if cur is None:
+        raise FileNotFoundError(f"no table at {root}")
+    if cur["paths"] is None:
+        return spark.read.parquet(f"{root}/{cur['version']}")
+    return _read_paths(spark, cur)
+
 
+def _commit(spark: SparkSession, root: str, version: str, paths, schema: T.StructType) -> None:
+    row = [(version, paths, schema.json())]
+    spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/{POINTER}")
 
-def write_table(df: DataFrame, root: str, partition_by: str | None = None) -> str:
-    """Write ``df`` as a new version and switch the pointer to it.
+
+def _write_months(df: DataFrame, root: str, v: str) -> list[str]:
+    """Write ``df`` under ``root/v`` partitioned by month; return the month folders."""
+    df.withColumn(MONTH, F.trunc("date", "MM")).write.mode("errorifexists").partitionBy(MONTH).parquet(f"{root}/{v}")
+    spark = df.sparkSession
+    try:
+        files = spark.read.parquet(f"{root}/{v}").inputFiles()  # listing only, no job
+    except AnalysisException:
+        return []  # nothing written (no rows)
+    return sorted({f.rsplit("/", 1)[0] for f in files})
+
+
+def write_table(df: DataFrame, root: str, partition_by: str | None = None, carried: list[str] | None = None) -> str:
+    """Write ``df`` as a new version and append it to the commit log.
 
     ``partition_by="date"`` partitions by calendar month of ``date`` (daily
-    folders would mean thousands of tiny files per year of history); range
-    scans prune on the month and then filter the days.
+    folders would mean thousands of tiny files per year of history).  The
+    log entry then lists the month folders that make up the version:
+    the ones just written plus ``carried`` folders of earlier versions that
+    did not change.  Range scans read only the folders of their months.
     """
     spark = df.sparkSession
     v = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sortable by commit time
     if partition_by == "date":
-        df = df.withColumn(MONTH, F.trunc("date", "MM"))
-        partition_by = MONTH
+        paths = list(carried or []) + _write_months(df, root, v)
+        _commit(spark, root, v, paths, df.schema)
+        return v
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(f"{root}/{v}")
-    spark.createDataFrame([(v,)], "version string").coalesce(1).write.mode("append").json(f"{root}/{POINTER}")
+    _commit(spark, root, v, None, df.schema)
     return v
 
 
+def _month_bounds(start, end) -> tuple[str, str]:
+    s = dt.date.fromisoformat(str(start)[:10])
+    e = dt.date.fromisoformat(str(end)[:10])
+    return s.replace(day=1).isoformat(), e.replace(day=1).isoformat()
+
+
 def scan_range(spark: SparkSession, root: str, start, end, order: bool = False) -> DataFrame:
-    """Rows with ``start <= date <= end``; partition-pruned when the table is
-    partitioned by date.  Ordered by date only when asked."""
-    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
-    df = _read_raw(spark, root)
-    if MONTH in df.columns:
-        df = df.filter(F.col(MONTH).between(F.trunc(s, "MM"), F.trunc(e, "MM"))).drop(MONTH)
-    df = df.filter(F.col("date").between(s, e))
+    """Rows with ``start <= date <= end``; only the month folders of the range
+    are read when the table is partitioned by date.  Ordered by date only
+    when asked."""
+    cur = _current(spark, root)
+    if cur is None:
+        raise FileNotFoundError(f"no table at {root}")
+    if cur["paths"] is None:
+        df = spark.read.parquet(f"{root}/{cur['version']}")
+    else:
+        df = _read_paths(spark, cur, _month_bounds(start, end))
+    df = df.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return df.orderBy("date") if order else df
 
 
@@ -111,10 +165,21 @@ def range_replace(spark: SparkSession, root: str, new: DataFrame, start, end, pa
     """Idempotent write: rows of [start, end] are replaced by ``new``.
 
     Dates inside the range that ``new`` lacks disappear (unlike a dynamic
-    partition overwrite).  The first write creates the table.
+    partition overwrite).  The first write creates the table.  For a
+    month-partitioned table only the months overlapping the range are
+    rewritten; every other month folder is carried into the new version
+    unchanged, so a replace costs the size of the range, not of the table.
     """
-    old = read_table(spark, root) if table_exists(spark, root) else None
-    return write_table(replaced_range(old, new, start, end), root, partition_by)
+    cur = _current(spark, root)
+    if cur is None:
+        return write_table(new, root, partition_by)
+    if cur["paths"] is None or partition_by != "date":
+        return write_table(replaced_range(read_table(spark, root), new, start, end), root, partition_by)
+    lo, hi = _month_bounds(start, end)
+    touched = [p for p in cur["paths"] if lo <= _month_of(p) <= hi]
+    carried = [p for p in cur["paths"] if p not in touched]
+    old = _read_paths(spark, dict(version=cur["version"], paths=touched, schema=cur["schema"]))
+    return write_table(replaced_range(old, new, start, end), root, "date", carried=carried)
 
 
 def replaced_keys(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:

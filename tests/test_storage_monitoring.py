@@ -133,3 +133,20 @@ def test_stations_in_radius_grid_matches_brute_force(spark):
     d = payload.haversine_m(F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude"))
     ref = {(r.city, r.station_id) for r in pairs.filter(d <= 7000).collect()}
     assert got == ref and len(ref) > 10
+
+
+def test_range_replace_rewrites_only_touched_months(spark):
+    root = scratch_path(spark, "t-months")
+    storage.range_replace(spark, root, wx(spark, 90, start="2024-01-01"), "2024-01-01", "2024-03-30")
+    first = storage._current(spark, root)
+    assert len(first["paths"]) == 3  # Jan, Feb, Mar
+    storage.range_replace(spark, root, wx(spark, 10, bump=1.0, start="2024-02-05"), "2024-02-01", "2024-02-29")
+    second = storage._current(spark, root)
+    jan = [p for p in second["paths"] if "_month=2024-01-01" in p]
+    feb = [p for p in second["paths"] if "_month=2024-02-01" in p]
+    assert jan and all(first["version"] in p for p in jan)  # carried, not rewritten
+    assert feb and all(second["version"] in p for p in feb)  # rewritten
+    t = storage.read_table(spark, root)
+    assert t.filter("date between '2024-02-01' and '2024-02-29'").count() == 10
+    assert t.count() == 90 - 29 + 10
+    assert storage.scan_range(spark, root, "2024-03-01", "2024-03-31").count() == 30
