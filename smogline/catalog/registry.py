@@ -836,7 +836,27 @@ def q_acf(spark, d):
     return stats.acf(aq_eval(spark, d))
 
 
-@register("pacf")
+def _pacf_sql(nlags: int = config.ACF_LAGS) -> str:
+    """Durbin-Levinson as a recursive CTE over each city's list of ACF values."""
+    acf = _acf_sql(nlags)
+    head, body = acf.split("\nSELECT city, lag, acf,", 1)
+    rec = f"""
+, rl AS (SELECT city, list(acf ORDER BY lag) AS r FROM r GROUP BY city),
+dl AS (
+  SELECT city, 0 AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1.0 AS DOUBLE) AS v, CAST(NULL AS DOUBLE) AS a FROM rl
+  UNION ALL
+  SELECT city, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a1 * phi[k + 1 - j]), a1),
+         v * (1 - a1 * a1), a1
+  FROM (SELECT dl.city, dl.k, dl.phi, dl.v,
+               (rl.r[dl.k + 1] - coalesce(list_sum(list_transform(range(1, dl.k + 1), lambda j: dl.phi[j] * rl.r[dl.k + 1 - j])), 0))
+                 / dl.v AS a1
+        FROM dl JOIN rl ON rl.city = dl.city WHERE dl.k < {nlags}) t
+)
+SELECT city, CAST(k AS BIGINT) AS lag, a AS pacf FROM dl WHERE k >= 1"""
+    return "WITH RECURSIVE " + head[len("WITH "):] + rec
+
+
+@register("pacf", _pacf_sql(), ["pacf"])
 def q_pacf(spark, d):
     return stats.pacf(stats.acf(aq_eval(spark, d)))
 
