@@ -55,11 +55,20 @@ def time_folds(
 
     Fold f (1..n) tests the dates ranked ((n-f)·T, (n-f+1)·T] from the most
     recent one; its training set is every date ranked after the test block
-    plus ``gap_days``.  The ranking window runs over the distinct-date table
-    only (one row per calendar day).
+    plus ``gap_days``.  Dates are ranked inside their year (a window per
+    year) plus the count of dates in later years, so the only unpartitioned
+    window runs over one row per year.
     """
-    dates = df.select("date").distinct()
-    ranked = dates.withColumn("r", F.row_number().over(Window.orderBy(F.col("date").desc())))
+    dates = df.select("date").distinct().withColumn("_y", F.year("date"))
+    # rank from the most recent date: rank inside the year (partitioned window)
+    # + number of dates in later years (a running sum over one row per year)
+    years = dates.groupBy("_y").agg(F.count(F.lit(1)).alias("_n"))
+    later = Window.orderBy(F.col("_y").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = years.select("_y", F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_off"))
+    in_year = F.row_number().over(Window.partitionBy("_y").orderBy(F.col("date").desc()))
+    ranked = dates.withColumn("_ry", in_year).join(offsets, "_y").select(
+        "date", (F.col("_off") + F.col("_ry")).alias("r")
+    )
     per_fold = ranked.select("date", "r", F.explode(F.sequence(F.lit(1), F.lit(n_folds))).alias("fold"))
     lo = (F.lit(n_folds) - F.col("fold")) * test_days
     hi = lo + test_days
