@@ -150,3 +150,36 @@ def test_range_replace_rewrites_only_touched_months(spark):
     assert t.filter("date between '2024-02-01' and '2024-02-29'").count() == 10
     assert t.count() == 90 - 29 + 10
     assert storage.scan_range(spark, root, "2024-03-01", "2024-03-31").count() == 30
+
+
+def test_sensor_payload_scan_and_station_filter(spark):
+    import datetime as dt2
+
+    root = scratch_path(spark, "t-aq")
+    one = ('{"meta": {"found": 1}, "results": [{"period": {"datetimeFrom": {"utc": "2024-01-01T22:00:00Z", '
+           '"local": "2024-01-02T00:00:00+02:00"}, "datetimeTo": {"utc": "2024-01-02T22:00:00Z", '
+           '"local": "2024-01-03T00:00:00+02:00"}}, "value": 12.5, "summary": {"min": 1, "q25": 5, "median": 10, '
+           '"q75": 15, "max": 30}, "coverage": {"percentComplete": 95.8}}]}')
+    empty = '{"meta": {"found": 0}, "results": []}'
+    spark.createDataFrame([(one,)], "value string").coalesce(1).write.text(f"{root}/city=Paris/sensor_id=7")
+    spark.createDataFrame([(empty,)], "value string").coalesce(1).write.text(f"{root}/city=Paris/sensor_id=8")
+    rows = payload.scan_airqual_payload(spark, root).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.city, r.sensor_id, r.pm25_avg, r.pm25_q75) == ("Paris", 7, 12.5, 15.0)
+    assert r.date == dt2.date(2024, 1, 2)  # local calendar day, not the UTC one
+
+    st_root = scratch_path(spark, "t-st")
+    sensors = "array<struct<id:bigint,parameter:struct<id:int>>>"
+    stations = spark.createDataFrame(
+        [
+            ("Paris", 1, True, "2020-01-01T00:00:00Z", "2025-01-01T00:00:00Z", 48.0, 2.0, [(11, (2,)), (12, (1,))]),
+            ("Paris", 2, False, "2020-01-01T00:00:00Z", "2025-01-01T00:00:00Z", 48.0, 2.0, [(21, (2,))]),
+            ("Paris", 3, True, "2023-06-01T00:00:00Z", "2025-01-01T00:00:00Z", 48.0, 2.0, [(31, (2,))]),
+        ],
+        f"city string, id bigint, isMonitor boolean, first_utc string, last_utc string, latitude double, "
+        f"longitude double, sensors {sensors}",
+    )
+    payload.write_station_payloads(stations, st_root)
+    got = [(r.station_id, r.sensor_id) for r in payload.filter_stations(spark, st_root, "2023-05-01", "2024-12-31").collect()]
+    assert got == [(1, 11)]  # monitor, active over the whole span, PM2.5 sensor only
