@@ -176,10 +176,7 @@ def _sensor_window_cols():
         F.datediff("date", F.lag("date").over(w_s)).alias("_delta"),
         F.last_day("date").alias("_month"),
     ]
-    gap = F.when(F.col("_delta") > 1, F.col("_delta"))
     stage2 = [
-        F.max(gap).over(w_cs).alias("_gmax"),
-        F.percentile(gap.cast("double"), 0.75).over(w_cs).alias("_gq75"),
         F.count(F.lit(1)).over(w_csm).alias("_nb"),
         F.row_number().over(w_csm.orderBy("date")).alias("_rn"),
     ]
@@ -209,10 +206,14 @@ def filter_sensors(
     w_cs = Window.partitionBy("city", "sensor_id")
     first = (F.col("_rn") == 1).cast("int")
     bad = ((F.col("_nb") / F.dayofmonth("_month") * 100) < min_coverage_pct).cast("int")
+    gap = F.when(F.col("_delta") > 1, F.col("_delta"))
+    # gap statistics and the bad-month ratio share the (city, sensor) window: one Window node
+    gmax = F.max(gap).over(w_cs)
+    gq75 = F.percentile(gap.cast("double"), 0.75).over(w_cs)
     ratio = F.sum(bad * first).over(w_cs) / F.sum(first).over(w_cs)
     flag_cs = (
-        F.coalesce(F.col("_gmax") >= max_gap, F.lit(False))
-        | F.coalesce(F.col("_gq75") >= max_q, F.lit(False))
+        F.coalesce(gmax >= max_gap, F.lit(False))
+        | F.coalesce(gq75 >= max_q, F.lit(False))
         | (ratio > min_bad_month_pct)
     )
     b = a.withColumn("_f", flag_cs.cast("int"))
