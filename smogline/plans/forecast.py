@@ -165,7 +165,10 @@ def model_pipeline(features: list[str], kind: str = "gbt", categorical_native: b
 
 
 def train_model(df: DataFrame, features: list[str], kind: str = "gbt", **params) -> tuple[PipelineModel, float]:
-    """Fit the pipeline; returns (model, fit seconds)."""
+    """Fit the pipeline; returns (model, fit seconds).  No training row is an
+    error (e.g. train mode when every sensor was flagged)."""
+    if df.limit(1).isEmpty():
+        raise ValueError("no training rows: the training window is empty after preprocessing")
     t0 = time.perf_counter()
     model = model_pipeline(features, kind, **params).fit(df)
     return model, time.perf_counter() - t0
