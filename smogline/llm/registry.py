@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, mixing, sharding, simhash
+from . import decontaminate, language_id, license_scan, mixing, quality, sharding, simhash
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_mixing": mixing.op4_mixing,
     "op6_sharding": sharding.op6_sharding,
     "op7_language_id": language_id.op7_language_id,
+    "op8_quality": quality.op8_quality,
     "op10_simhash": simhash.op10_simhash,
 }
 
 SQL = {
+    "op1_license_scan": license_scan.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op6_sharding": sharding.OP6_SQL,
+    "op8_quality": quality.OP8_SQL,
 }
