@@ -50,9 +50,12 @@ MAX_FILTER_BYTES = 256 << 20
 BASE = {1: 2**0.5, 2: 2.0}
 #: tokens of the corpus per bucket of n-grams
 BUCKET_TOKENS = {1: 8_000_000, 2: 4_000_000}
+#: bytes of text handled at once
+PIECE_BYTES = 4 << 20
 
 _END = b" "  # no word holds white space
 _START = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64(0xFFFFFFFF)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -63,12 +66,32 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pairs(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mix(before * np.uint64(3) + _mix(word))
-
-
-def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each token, of the token before it, and the index where each text starts (and the end)."""
+@dataclass
+class Tokens:
+    """Tokens of some texts: hash of each distinct one, which one stands at each
+    place, and the place where each text starts (and the end)."""
+
+    kinds: np.ndarray
+    code: np.ndarray
+    at: np.ndarray
+
+    def pairs(self) -> np.ndarray:
+        """Hash of each token with the one before it in its text."""
+        before = np.empty(len(self.code), np.uint64)
+        before[1:] = (self.kinds * np.uint64(3))[self.code[:-1]]
+        before[self.at[:-1]] = np.uint64(int(_START) * 3 & 0xFFFFFFFFFFFFFFFF)
+        before += _mix(self.kinds)[self.code]
+        return _mix(before)
+
+    def before(self, of_kind: np.ndarray, of_start: float) -> np.ndarray:
+        """A value of the token before each token."""
+        out = np.empty(len(self.code))
+        out[1:] = of_kind[self.code[:-1]]
+        out[self.at[:-1]] = of_start
+        return out
+
+
+def hashed(texts: list[bytes]) -> Tokens:
     flat: list[bytes] = []
     starts = [0]
     for x in texts:
@@ -78,12 +101,7 @@ def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     coded = pa.array(flat, pa.large_binary()).dictionary_encode()
     digest = xxhash.xxh64_intdigest
     kinds = np.fromiter((digest(x) for x in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    word = kinds[coded.indices.to_numpy()]
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    at = np.array(starts, np.int64)
-    before[at[:-1]] = _START
-    return word, before, at
+    return Tokens(kinds, coded.indices.to_numpy(), np.array(starts, np.int64))
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -105,10 +123,14 @@ def meant(level: np.ndarray, base: float) -> np.ndarray:
     return np.where(level > 0, (low + np.maximum(low, low * base - 1)) / 2, 0.0)
 
 
-def _cells(h: np.ndarray, level: int, probe: int, size: np.ndarray) -> np.ndarray:
+def _drawn(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two numbers from which a level's probes are made."""
     g = _mix(h + np.uint64(level * int(_START) & 0xFFFFFFFFFFFFFFFF))
-    low, high = g & np.uint64(0xFFFFFFFF), (g >> np.uint64(32)) | np.uint64(1)
-    return (((low + np.uint64(probe) * high) & np.uint64(0xFFFFFFFF)) * size) >> np.uint64(32)
+    return g & _LOW, (g >> np.uint64(32)) | np.uint64(1)
+
+
+def _cell(low: np.ndarray, high: np.ndarray, probe: int, size: np.ndarray) -> np.ndarray:
+    return ((((low + np.uint64(probe) * high) & _LOW) * size) >> np.uint64(32)).astype(np.int64)
 
 
 def build(h: np.ndarray, n: np.ndarray, base: float) -> bytes:
@@ -117,9 +139,9 @@ def build(h: np.ndarray, n: np.ndarray, base: float) -> bytes:
     size = np.uint64(max(64, -(-int(level.sum()) * BITS // 64) * 64))
     bits = np.zeros(int(size), bool)
     for j in range(1, int(level.max(initial=0)) + 1):
-        some = h[level >= j]
+        low, high = _drawn(h[level >= j], j)
         for p in range(PROBES):
-            bits[_cells(some, j, p, size).astype(np.int64)] = True
+            bits[_cell(low, high, p, size)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -147,15 +169,17 @@ class Filter:
         mine = (own >= 0) & (own < len(self.parts))
         level = np.zeros(len(h), np.int64)
         left = np.flatnonzero(mine)
+        g, size, at = h[left], self._size[own[left]], self._at[own[left]]
         j = 1
         while len(left):
-            size, at, g = self._size[own[left]], self._at[own[left]], h[left]
-            met = np.ones(len(left), bool)
+            low, high = _drawn(g, j)
+            met = np.arange(len(left))  # those that all probes so far found
+            z, a = size, at
             for p in range(PROBES):
-                some = np.flatnonzero(met)
-                cell = _cells(g[some], j, p, size[some]).astype(np.int64)
-                met[some] = (self._bits[at[some] + (cell >> 3)] >> (cell & 7).astype(np.uint8)) & 1
-            left = left[met]
+                cell = _cell(low, high, p, z)
+                hit = np.flatnonzero((self._bits[a + (cell >> 3)] >> (cell & 7).astype(np.uint8)) & 1)
+                met, low, high, z, a = met[hit], low[hit], high[hit], z[hit], a[hit]
+            left, g, size, at = left[met], g[met], z, a
             level[left] = j
             j += 1
         return meant(level, self.base), mine
@@ -195,10 +219,11 @@ def train(rows: DataFrame, text: str, bits: int = BITS) -> tuple[DataFrame, dict
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {1: [], 2: []}
         for _, texts in chunks(batches, "_q_text"):
-            word, before, _ = hashed(texts)
-            for kind, h in ((1, word), (2, pairs(before, word))):
-                held[kind].append(np.unique(h, return_counts=True))
-                if sum(len(h) for h, _ in held[kind]) > 4_000_000:
+            tokens = hashed(texts)
+            held[1].append((tokens.kinds, np.bincount(tokens.code, minlength=len(tokens.kinds))))
+            held[2].append(np.unique(tokens.pairs(), return_counts=True))
+            for kind in held:
+                if sum(len(h) for h, _ in held[kind]) > 4_000_000:  # combine and send before memory fills
                     yield from dealt(kind, *summed(*map(np.concatenate, zip(*held[kind]))))
                     held[kind] = []
         for kind, some in held.items():
@@ -234,18 +259,15 @@ def _filters(trained: DataFrame, kind: int, buckets: int, limit: int) -> Iterato
         yield Filter(BASE[kind], buckets, first, [found.get(b, bytes(8)) for b in range(first, end)])
 
 
-def probabilities(model: Model, word: np.ndarray, before: np.ndarray) -> np.ndarray:
+def probabilities(model: Model, tokens: Tokens) -> np.ndarray:
     """log10 probabilities; 0 for a token whose pair is of another group of buckets."""
-    both, mine = model.two.count(pairs(before, word))
-    kinds, at = np.unique(word, return_inverse=True)
-    one = model.one.count(kinds)[0]
-    single = one[at]
-    ctx_kinds, ctx_at = np.unique(before, return_inverse=True)
-    ctx = np.where(ctx_kinds == _START, float(model.texts), model.one.count(ctx_kinds)[0])[ctx_at]
-    flat = (single + 0.5) / (model.tokens + 0.5 * (model.kinds + 1))
+    both, mine = model.two.count(tokens.pairs())
+    single = model.one.count(tokens.kinds)[0]
+    flat = ((1 - MIX) * (single + 0.5) / (model.tokens + 0.5 * (model.kinds + 1)))[tokens.code]
+    ctx = tokens.before(single, float(model.texts))
     seen = ctx > 0
     given = np.minimum(1.0, np.divide(both, ctx, out=np.zeros(len(both)), where=seen))
-    p = np.where(seen, MIX * given + (1 - MIX) * flat, flat)
+    p = np.where(seen, MIX * given + flat, flat / (1 - MIX))
     return np.where(mine, np.log10(np.minimum(1.0, p)), 0.0)
 
 
@@ -278,13 +300,14 @@ def score(docs: DataFrame, text: str, training: Column, max_filter_bytes: int =
         held = later
     shared = model(held)
     own = rows.select(*names, "_q_row", F.lit(0).cast("long").alias("_q_tokens"), F.lit(0).cast("long").alias("_q_known"), F.lit(0.0).alias("_q_base"), "_q_score",
-                      F.lit(0).alias("_q_bucket"), F.lit(b"").alias("_q_h"), F.lit(b"").alias("_q_r"), F.lit(b"").alias("_q_n")).schema
+                      F.lit(0).alias("_q_bucket"), F.lit(0).cast("long").alias("_q_piece"), F.lit(b"").alias("_q_h"), F.lit(b"").alias("_q_r"), F.lit(b"").alias("_q_n")).schema
     made = stored(rows.mapInArrow(_final(shared, names, pa_kinds(rows, names), buckets[1]), as_nullable(own)), "lm-docs")
 
-    rare = made.where("_q_bucket is not null").select("_q_bucket", "_q_h", "_q_r", "_q_n")
+    rare = made.where("_q_bucket is not null").select("_q_bucket", "_q_piece", "_q_h", "_q_r", "_q_n")
     counts = trained.where("kind = 1").select("bucket", "h", "n")
-    sums = (rare.groupBy("_q_bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_rare, "_q_at long, _q_part double, _q_met long")
-            .groupBy("_q_at").agg(F.sum("_q_part").alias("_q_part"), F.sum("_q_met").alias("_q_met")))
+    # from each bucket one packed row of sums per piece of texts, then the pieces' rows are added up
+    packed = rare.groupBy("_q_bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_rare, "_q_piece long, _q_r binary, _q_part binary, _q_met binary")
+    sums = packed.groupBy("_q_piece").applyInArrow(_add_up, "_q_at long, _q_part double, _q_met long")
     out = made.where("_q_bucket is null").join(sums, F.col("_q_row") == F.col("_q_at"), "left")
     norm = float(np.log10((total["n"] or 0) + 0.5 * ((total["v"] or 0) + 1)))
     return out.select(*names, "_q_tokens", (F.col("_q_known") + F.coalesce("_q_met", F.lit(0))).alias("_q_known"), F.lit(total["n"] or 0).cast("long").alias("_q_train_tokens"),
@@ -309,62 +332,73 @@ def _per_text(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _partial(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, "_q_text"):
-            word, before, at = hashed(texts)
-            value = part.column("_q_score").to_numpy() + _per_text(probabilities(shared.value, word, before), at)
+        for part, texts in chunks(batches, "_q_text", PIECE_BYTES):
+            tokens = hashed(texts)
+            value = part.column("_q_score").to_numpy() + _per_text(probabilities(shared.value, tokens), tokens.at)
             yield from part.set_column(part.schema.get_field_index("_q_score"), "_q_score", pa.array(value)).combine_chunks().to_batches()
 
     return run
 
 
 def _final(shared, names: list[str], kinds: list[pa.DataType], buckets: int):
-    """Rows of documents (bucket null) and, packed per bucket, of their tokens that are not heavy."""
-    last = ["_q_row", "_q_tokens", "_q_known", "_q_base", "_q_score", "_q_bucket", "_q_h", "_q_r", "_q_n"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    """Rows of documents (bucket null) and, packed per piece of texts and bucket, of their tokens that are not heavy."""
+    last = ["_q_row", "_q_tokens", "_q_known", "_q_base", "_q_score", "_q_bucket", "_q_piece", "_q_h", "_q_r", "_q_n"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for part, texts in chunks(batches, "_q_text"):
-            word, before, at = hashed(texts)
-            size = np.diff(at)
+        for part, texts in chunks(batches, "_q_text", PIECE_BYTES):
+            tokens = hashed(texts)
             row = part.column("_q_row").to_numpy()
-            value = part.column("_q_score").to_numpy() + _per_text(probabilities(model, word, before), at)
-            spot = np.minimum(np.searchsorted(model.heavy, word), max(0, len(model.heavy) - 1))
-            easy = model.heavy[spot] == word if len(model.heavy) else np.zeros(len(word), bool)
-            gain = np.where(easy, np.log10((model.heavy_n[spot] if len(model.heavy) else np.zeros(len(word))) + 0.5), 0.0)
-            cols = [*part.columns[: len(names)], part.column("_q_row"), pa.array(size), pa.array(_per_text(easy.astype(np.int64), at)), pa.array(_per_text(gain, at)), pa.array(value)]
+            value = part.column("_q_score").to_numpy() + _per_text(probabilities(model, tokens), tokens.at)
+            easy, gain = np.zeros(len(tokens.kinds), bool), np.zeros(len(tokens.kinds))
+            if len(model.heavy):
+                spot = np.minimum(np.searchsorted(model.heavy, tokens.kinds), len(model.heavy) - 1)
+                easy = model.heavy[spot] == tokens.kinds
+                gain = np.where(easy, np.log10(model.heavy_n[spot] + 0.5), 0.0)
+            plain = easy[tokens.code]
+            size = np.diff(tokens.at)
+            cols = [*part.columns[: len(names)], part.column("_q_row"), pa.array(size), pa.array(_per_text(plain.astype(np.int64), tokens.at)), pa.array(_per_text(gain[tokens.code], tokens.at)), pa.array(value)]
             void = [pa.nulls(len(texts), t) for t in types[5:]]
             yield from pa.table([*cols, *void], names=[*names, *last]).cast(pa.schema(list(zip([*names, *last], [*kinds, *types])))).combine_chunks().to_batches()
-            # (text, token) pairs of the others, with how often
-            who = np.repeat(np.arange(len(texts)), size)[~easy]
-            h = word[~easy]
-            order = np.lexsort((who, h))
-            h, who = h[order], who[order]
-            new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (who[1:] != who[:-1])])) if len(h) else np.zeros(0, np.int64)
-            often = np.diff(np.concatenate([new, [len(h)]])).astype(np.uint32)
-            h, who = h[new], who[new]
+            # (token, text) pairs of the others, with how often
+            other = np.flatnonzero(~plain)
+            who = np.repeat(np.arange(len(texts)), size)[other]
+            both, often = np.unique(tokens.code[other].astype(np.int64) * len(texts) + who, return_counts=True)
+            h, who = tokens.kinds[both // len(texts)], both % len(texts)
             to = bucket_of(h, buckets)
-            for b in np.unique(to):
-                some = to == b
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds] + [pa.nulls(1, t) for t in types[:5]] + [
-                    pa.array([int(b)], pa.int32()), pa.array([h[some].tobytes()], pa.binary()), pa.array([row[who[some]].tobytes()], pa.binary()), pa.array([often[some].tobytes()], pa.binary())], names=[*names, *last])
+            order = np.argsort(to, kind="stable")
+            cut = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
+            for b in range(buckets):
+                some = order[cut[b] : cut[b + 1]]
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, k) for k in kinds] + [pa.nulls(1, t) for t in types[:5]] + [
+                        pa.array([b], pa.int32()), pa.array([int(row[0])], pa.int64()), pa.array([h[some].tobytes()], pa.binary()),
+                        pa.array([row[who[some]].tobytes()], pa.binary()), pa.array([often[some].astype(np.uint32).tobytes()], pa.binary())], names=[*names, *last])
 
     return run
 
 
 def _rare(key, tokens: pa.Table, counts: pa.Table) -> pa.Table:
-    """Sums over one bucket's tokens per text."""
-    if not tokens.num_rows:
-        return pa.table({"_q_at": pa.array([], pa.int64()), "_q_part": pa.array([], pa.float64()), "_q_met": pa.array([], pa.int64())})
-    glue = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in tokens.column(name).to_pylist()])
-    h, who, often = glue("_q_h", np.uint64), glue("_q_r", np.int64), glue("_q_n", np.uint32).astype(np.int64)
-    n = np.zeros(len(h), np.int64)
+    """Of one bucket, per piece of texts, the sums of each text."""
+    kinds, total = np.zeros(1, np.uint64), np.zeros(1, np.int64)
     if counts.num_rows:
         kinds, total = np.frombuffer(counts.column("h")[0].as_py(), np.uint64), np.frombuffer(counts.column("n")[0].as_py(), np.int64)
+    out: list[tuple] = []
+    for piece, h, who, often in zip(*(tokens.column(c) for c in ("_q_piece", "_q_h", "_q_r", "_q_n"))):
+        h, who, often = np.frombuffer(h.as_py(), np.uint64), np.frombuffer(who.as_py(), np.int64), np.frombuffer(often.as_py(), np.uint32).astype(np.int64)
         spot = np.minimum(np.searchsorted(kinds, h), len(kinds) - 1)
         n = np.where(kinds[spot] == h, total[spot], 0)
-    rows, at = np.unique(who, return_inverse=True)
-    return pa.table({"_q_at": rows, "_q_part": np.bincount(at, often * np.log10(n + 0.5), len(rows)), "_q_met": np.bincount(at, often * (n > 0), len(rows)).astype(np.int64)})
+        rows, at = np.unique(who, return_inverse=True)
+        met = np.bincount(at, often * (n > 0), len(rows)).astype(np.int64)
+        out.append((piece.as_py(), rows.tobytes(), np.bincount(at, often * np.log10(n + 0.5), len(rows)).tobytes(), met.tobytes()))
+    return pa.table([pa.array(list(x), t) for x, t in zip(zip(*out) if out else [[]] * 4, [pa.int64(), pa.binary(), pa.binary(), pa.binary()])], names=["_q_piece", "_q_r", "_q_part", "_q_met"])
+
+
+def _add_up(part: pa.Table) -> pa.Table:
+    glue = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in part.column(name).to_pylist()])
+    rows, at = np.unique(glue("_q_r", np.int64), return_inverse=True)
+    return pa.table({"_q_at": rows, "_q_part": np.bincount(at, glue("_q_part", np.float64), len(rows)), "_q_met": np.bincount(at, glue("_q_met", np.int64), len(rows)).astype(np.int64)})
 
 
 def op3_lm_score(spark, sf_dir: str) -> DataFrame:
