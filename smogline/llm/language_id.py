@@ -106,7 +106,7 @@ def fit(samples: dict[str, list[bytes]], order: int = ORDER) -> ContextTrees:
             code[at, sym] = np.log2((total[at] + kinds[at]) / count)
             bits[rows, :size, j] = code
     width = size + 1
-    return ContextTrees(labels, order, classes, step.reshape(-1), bits.reshape(-1, len(labels)), width)
+    return ContextTrees(labels, order, classes, step.reshape(-1), bits.reshape(first[-1] * (size + 1), len(labels)), width)
 
 
 def code_lengths(trees: ContextTrees, texts: list[bytes]) -> np.ndarray:

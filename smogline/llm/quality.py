@@ -66,7 +66,8 @@ def with_repeats(docs: DataFrame, words: str, out: str, run: int = RUN) -> DataF
     twice = F.sort_array(F.transform(F.filter(c, same), lambda x: x["i"]))
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate(twice, start, lambda acc, i: F.struct((acc["n"] + i + run - F.greatest(i, acc["end"])).alias("n"), (i + run).alias("end")), lambda acc: acc["n"])
-    return out_c.withColumn(out, F.when(F.size(c) > 0, covered).otherwise(F.lit(0).cast("long"))).drop("_q_h", "_q_bits", "_q_s", "_q_c")
+    # a filter on the result would be pushed down and spelled out through all these steps; it stops at explode
+    return out_c.withColumn(out, F.explode(F.array(F.when(F.size(c) > 0, covered).otherwise(F.lit(0).cast("long"))))).drop("_q_h", "_q_bits", "_q_s", "_q_c")
 
 
 def measures(docs: DataFrame, text: str, prefix: str = "") -> DataFrame:
