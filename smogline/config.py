@@ -121,9 +121,6 @@ RANDOM_SEED = 273
 # not exist in MLlib; these are sized for Spark, not copied).
 GBT_PARAMS = dict(maxIter=50, maxDepth=5, stepSize=0.1, subsamplingRate=0.91, seed=RANDOM_SEED)
 
-# Above this many rows a group is "hot" and its quantiles are computed by the
-# distributed rank method instead of an in-memory aggregate buffer.
-HOT_GROUP_ROWS = 1_000_000
 
 # Rounding applied to doubles in registered queries so that Spark and the SQL
 # oracle hash to the same values although they sum in different orders:

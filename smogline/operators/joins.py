@@ -17,13 +17,12 @@ from . import series
 
 
 def assert_columns(df: DataFrame, expected: list[str]) -> DataFrame:
-    """The column set must equal ``expected``; returns ``df`` in that order."""
-    have, want = set(df.columns), set(expected)
-    if have != want:
-        raise ValueError(
-            f"column mismatch: absent {sorted(want - have)}, unexpected {sorted(have - want)}"
-        )
-    return df.select(*expected)
+    """``df`` in the order of ``expected``, which must name exactly its columns."""
+    odd = set(df.schema.fieldNames()) ^ set(expected)
+    if odd:
+        notes = [f"{c} ({'missing' if c in expected else 'not expected'})" for c in sorted(odd)]
+        raise ValueError("columns differ: " + ", ".join(notes))
+    return df.select(expected)
 
 
 def merge_sources(

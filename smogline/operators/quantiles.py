@@ -1,104 +1,71 @@
-"""Exact, linearly interpolated quantiles per group that survive hot groups.
+"""Exact, linearly interpolated quantiles per group, by one method at every size.
 
-Spark's ``percentile`` is exact but keeps every distinct value of a group in
-one aggregation buffer, i.e. one task holds a whole group.  That is fine for
-ordinary groups and fatal when a single key carries a large share of the
-rows.  ``grouped_quantiles`` therefore splits the groups by size:
+1. Equal values of a group become one row with a count (combined before the
+   shuffle), so ties, however many, are one row.
+2. A value's slice is a fixed expression of the value and its group's range.
+   Slices are ordered like the values.
+3. Slice totals, accumulated per group (at most ``SLICES`` + 2 rows each), tell
+   in which slices the wanted ranks lie.
+4. Only those slices are ordered, each in a window of its own.
 
-* groups with at most ``hot_rows`` rows → ``percentile`` aggregate;
-* larger ("hot") groups → a distributed rank method:
-    1. range-partition the hot rows on (key, value): one hot key is spread
-       over many partitions, each holding a contiguous slice of its values;
-    2. number the rows inside each (key, partition) slice (a window whose
-       partitions are slices, so bounded by the partition size);
-    3. slice sizes → cumulative offsets per key (a table with one row per
-       slice), giving every row its global rank inside its group;
-    4. keep only the rows at the ranks the quantiles need (2 per quantile
-       per group) and interpolate.
-
-The hot set has at most N / hot_rows keys.  No row is dropped or sampled:
-both paths are exact and their union covers every group.
+Every step is a function of the data, so it does not matter whether Spark
+computes a shared input once or again.  No row is dropped or sampled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import config
+SLICES = 256
 
 
-def _percentile_path(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    names = list(probs)
-    q = F.percentile(F.col(value), [probs[n] for n in names])
-    agg = df.groupBy(*keys).agg(q.alias("_q"))
-    return agg.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+def _on(left: list[str], right: list[str]) -> Column:
+    """Join condition in which null keys meet."""
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
 
 
-def _rank_path(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], partitions: int) -> DataFrame:
-    ordered = df.select(*keys, value).repartitionByRange(partitions, *[F.col(k) for k in keys], F.col(value))
-    sliced = ordered.withColumn("_pid", F.spark_partition_id())
-    slice_w = Window.partitionBy(*keys, "_pid").orderBy(value)
-    local = sliced.withColumn("_lr", F.row_number().over(slice_w) - 1)
-    sizes = sliced.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_sz"))
-    off_w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    tot_w = Window.partitionBy(*keys)
-    offsets = sizes.select(
-        *keys,
-        "_pid",
-        F.coalesce(F.sum("_sz").over(off_w), F.lit(0)).alias("_off"),
-        F.sum("_sz").over(tot_w).alias("_n"),
-    )
-    ranked = local.join(offsets, [*keys, "_pid"]).withColumn("_rank", F.col("_off") + F.col("_lr"))
-    needed = []
-    for n, p in probs.items():
-        h = (F.col("_n") - 1) * p
-        needed += [F.floor(h), F.ceil(h)]
-    picked = ranked.filter(F.array_contains(F.array(*needed), F.col("_rank")))
-    aggs = []
-    for n, p in probs.items():
-        h = (F.col("_n") - 1) * p
-        aggs += [
-            F.max(F.when(F.col("_rank") == F.floor(h), F.col(value))).alias(f"_{n}_lo"),
-            F.max(F.when(F.col("_rank") == F.ceil(h), F.col(value))).alias(f"_{n}_hi"),
-            F.max(h - F.floor(h)).alias(f"_{n}_fr"),
-        ]
-    g = picked.groupBy(*keys).agg(*aggs)
-    return g.select(
-        *keys,
-        *[
-            (F.col(f"_{n}_lo") + F.col(f"_{n}_fr") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))).alias(n)
-            for n in probs
-        ],
-    )
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def grouped_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probs: dict[str, float],
-    hot_rows: int = config.HOT_GROUP_ROWS,
-    partitions: int | None = None,
-    hot_keys: DataFrame | None = None,
-) -> DataFrame:
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], count: str | None = None) -> DataFrame:
     """Exact linear quantiles ``{name: p}`` of ``value`` per ``keys``.
 
-    ``hot_keys`` (the keys of groups with more than ``hot_rows`` values)
-    can be passed when the caller already counted the groups; otherwise it
-    is derived here.  When it is known to be empty only the percentile path
-    is planned.  Null values are ignored.
+    With ``count``, ``df`` already has one row per (keys, value) and that column
+    says how often.  Null values are ignored.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*keys, value)
-    if hot_keys is None:
-        sizes = vals.groupBy(*keys).agg(F.count(value).alias("_cnt"))
-        hot_keys = sizes.filter(F.col("_cnt") > hot_rows).select(*keys)
-    elif hot_keys.limit(1).isEmpty():
-        return _percentile_path(vals, keys, value, probs)
-    cold_rows = vals.join(hot_keys, keys, "left_anti")
-    hot_rows_df = vals.join(hot_keys, keys, "left_semi").filter(F.col(value).isNotNull())
-    return _percentile_path(cold_rows, keys, value, probs).unionByName(
-        _rank_path(hot_rows_df, keys, value, probs, partitions)
-    )
+    counts = df.select(*keys, value, F.col(count).alias("_n")) if count else value_counts(df, keys, value)
+    counts = counts.filter(F.col(value).isNotNull())
+    v = F.col(value).cast("double")
+    top, low = F.lit(float("inf")), F.lit(float("-inf"))
+    finite = ~F.isnan(v) & (v != top) & (v != low)
+    k = [f"_k{i}" for i in range(len(keys))]
+    span = counts.groupBy(*[F.col(c).alias(n) for c, n in zip(keys, k)]).agg(
+        F.min(F.when(finite, v)).alias("_lo"), F.max(F.when(finite, v)).alias("_hi"))
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((v - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * SLICES), F.lit(SLICES - 1))).otherwise(0)
+    slice_ = F.when(v == low, -1).when(finite, place).otherwise(SLICES).cast("int")
+    sliced = counts.join(span, _on(keys, k)).select(*keys, value, "_n", slice_.alias("_s"))
+
+    sizes = sliced.groupBy(*[F.col(c).alias(n) for c, n in zip(keys, k)], F.col("_s").alias("_ks")).agg(F.sum("_n").alias("_size"))
+    group = Window.partitionBy(*k)
+    offsets = sizes.withColumn("_from", F.sum("_size").over(group.orderBy("_ks")) - F.col("_size")).withColumn("_all", F.sum("_size").over(group))
+    ranks = {n: (F.col("_all") - 1) * p for n, p in probs.items()}
+    wanted = F.array(*[f(h).cast("long") for h in ranks.values() for f in (F.floor, F.ceil)])
+    needed = offsets.filter(F.exists(wanted, lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_size"))))
+    inside = Window.partitionBy(*keys, "_s").orderBy(value)
+    ordered = (sliced.join(needed, _on([*keys, "_s"], [*k, "_ks"]))
+               .withColumn("_end", F.col("_from") + F.sum("_n").over(inside)).withColumn("_begin", F.col("_end") - F.col("_n")))
+    aggs = []
+    for n, h in ranks.items():
+        for side, f in (("lo", F.floor), ("hi", F.ceil)):
+            r = f(h).cast("long")
+            aggs.append(F.max(F.when((r >= F.col("_begin")) & (r < F.col("_end")), F.col(value))).alias(f"_{n}_{side}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_{n}_part"))
+    g = ordered.groupBy(*keys).agg(*aggs)
+    found = g.select(*[F.col(c).alias(n) for c, n in zip(keys, k)], *[
+        (F.col(f"_{n}_lo") + F.col(f"_{n}_part") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))).alias(n) for n in probs])
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keys, k)], *probs)

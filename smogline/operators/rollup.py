@@ -15,41 +15,35 @@ from .quantiles import grouped_quantiles
 ROLLUP_KEYS = ("city", "sensor_id", "date")
 
 
-def daily_rollup(raw: DataFrame, value: str = "value", local_ts: str = "ts_local",
-                 hot_rows: int = config.HOT_GROUP_ROWS) -> DataFrame:
+def daily_rollup(raw: DataFrame, value: str = "value", local_ts: str = "ts_local") -> DataFrame:
     """Per (city, sensor, local day): avg, min, q25, median, q75, max, coverage.
 
     Day = first 10 characters of the local timestamp.  Coverage = percentage
     of the day's 24 local hours with at least one reading.  Quantiles are
     exact and linear.
 
-    Two passes over the raw readings: (1) the decomposable aggregates and
-    the group sizes, checkpointed to the shared folder (one row per
-    sensor-day); (2) the quantiles.  Groups larger than ``hot_rows`` — known
-    from pass 1 — go through the distributed rank path of
-    ``grouped_quantiles``; when there is none, pass 2 is a single
-    ``percentile`` aggregation.
+    The raw readings are combined once, map side first, to one row per
+    (sensor-day, value): how often, and a bit for every hour.  Everything else
+    is derived from those rows.
     """
     keyed = raw.select(
         "city",
         "sensor_id",
         fx.local_date(local_ts).alias("date"),
-        F.substring(local_ts, 12, 2).alias("_hour"),
+        F.substring(local_ts, 12, 2).cast("int").alias("_hour"),
         F.col(value).alias("_v"),
     )
-    simple = keyed.groupBy(*ROLLUP_KEYS).agg(
-        F.avg("_v").alias("pm25_avg"),
+    hour_bit = F.call_function("shiftleft", F.lit(1), F.col("_hour"))
+    counts = keyed.groupBy(*ROLLUP_KEYS, "_v").agg(F.count(F.lit(1)).alias("_n"), F.bit_or(hour_bit).alias("_hours"))
+    n_values = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))
+    simple = counts.groupBy(*ROLLUP_KEYS).agg(
+        (F.sum(F.col("_v") * F.col("_n")) / n_values).alias("pm25_avg"),
         F.min("_v").alias("pm25_min"),
         F.max("_v").alias("pm25_max"),
-        (F.count_distinct("_hour") * 100.0 / 24).alias("coverage"),
-        F.count(F.lit(1)).alias("n_readings"),
-        F.count("_v").alias("_n_values"),
-    ).checkpoint(eager=True)
-    hot = simple.filter(F.col("_n_values") > hot_rows).select(*ROLLUP_KEYS)
-    q = grouped_quantiles(
-        keyed, list(ROLLUP_KEYS), "_v", {"pm25_q25": 0.25, "pm25_median": 0.5, "pm25_q75": 0.75},
-        hot_rows=hot_rows, hot_keys=hot,
+        (F.coalesce(F.bit_count(F.bit_or("_hours")), F.lit(0)) * 100.0 / 24).alias("coverage"),
+        F.sum("_n").alias("n_readings"),
     )
+    q = grouped_quantiles(counts, list(ROLLUP_KEYS), "_v", {"pm25_q25": 0.25, "pm25_median": 0.5, "pm25_q75": 0.75}, count="_n")
     return simple.join(q, list(ROLLUP_KEYS)).select(
         *ROLLUP_KEYS, "pm25_avg", "pm25_min", "pm25_q25", "pm25_median", "pm25_q75", "pm25_max", "coverage", "n_readings"
     )

@@ -61,8 +61,9 @@ def impute_gaps(
 ) -> DataFrame:
     """Linear interpolation inside each series, at most ``limit`` values per gap.
 
-    Position is the day number, so the input must be contiguous per series
-    (``merge_sources`` checks it).  Only the first ``limit`` missing days of
+    Position is the row number in date order (rows of one day: by value, unknown
+    ones last), so duplicated days are rows of their own and an absent day is no
+    gap.  Only the first ``limit`` missing days of
     an inner gap are filled, forward from the last known value; gaps at the
     series edges stay missing.  ``[1,_,_,_,5]`` with limit 1 gives
     ``[1,2,_,_,5]``.
@@ -74,16 +75,16 @@ def impute_gaps(
     ``check_contiguous`` evaluates the day step in the same Window node and
     fails the job when a series skips a day.
     """
-    pos = F.unix_date(F.col(ORDER))
+    pos = F.col("_pos")
     known_pos = F.when(F.col(col).isNotNull(), pos)
-    fwd = Window.partitionBy(key).orderBy(F.col(ORDER).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    bwd = Window.partitionBy(key).orderBy(F.col(ORDER).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    fwd = Window.partitionBy(key).orderBy(pos.asc()).rowsBetween(Window.unboundedPreceding, -1)
+    bwd = Window.partitionBy(key).orderBy(pos.desc()).rowsBetween(Window.unboundedPreceding, -1)
     extra = []
     if check_contiguous:
         extra = [F.datediff(ORDER, F.lag(ORDER).over(series_window(key))).alias("_step")]
-    tagged = df.select(
+    order = Window.partitionBy(key).orderBy(F.col(ORDER).asc(), F.col(col).asc_nulls_last())
+    tagged = df.select("*", *extra, F.row_number().over(order).alias("_pos")).select(
         "*",
-        *extra,
         F.last(col, ignorenulls=True).over(fwd).alias("_pv"),
         F.last(known_pos, ignorenulls=True).over(fwd).alias("_pp"),
         F.last(col, ignorenulls=True).over(bwd).alias("_nv"),

@@ -92,13 +92,12 @@ def box_stats(df: DataFrame, group_cols, col: str = "pm25_avg") -> DataFrame:
     return q.join(w, list(group_cols))
 
 
-def describe(df: DataFrame, cols: list[str], hot_rows: int = config.HOT_GROUP_ROWS) -> DataFrame:
+def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """Summary per column (count, mean, std, min, quartiles, max), long format.
 
     Moments: one aggregation pass over the wide table, unpivoted with
     ``stack``.  Quartiles: exact, from ``grouped_quantiles`` over the
-    (column, value) long form, so a column with more than ``hot_rows``
-    values is ranked by the distributed path instead of one task's buffer.
+    (column, value) long form: no column is ordered in one task.
     """
     aggs = []
     for c in cols:
@@ -118,7 +117,7 @@ def describe(df: DataFrame, cols: list[str], hot_rows: int = config.HOT_GROUP_RO
     )
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
     long = df.select(F.explode(pairs).alias("kv")).select("kv.column", "kv.value")
-    q = grouped_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, hot_rows=hot_rows)
+    q = grouped_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
     return moments.join(q, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "median", "q75", "max"
     )

@@ -142,17 +142,19 @@ def periodic_step(
         else:
             tr = train_features.filter(F.col("date").between(b["train_start"], b["train_end"]))
             model, _ = forecast.train_model(tr, features, kind, **params)
-            chall_version = str(models.count() + 1)
+            chall_version = str(models.agg(F.max(F.col("model_version").cast("long"))).first()[0] + 1)
             model.write().overwrite().save(ws.store(chall_version))
             chall_score = forecast.evaluate_model(model, rows).first()["rmse"]
             new = _model_row(spark, chall_version, b["train_start"], b["train_end"], start, end, chall_score).drop("alias")
             models = monitoring.register_version(models, new)
         promoted = chall_score <= (1 - config.IMPROVEMENT_THRESHOLD / 100) * champ_score
         if promoted:
-            models = monitoring.promote_challenger(models)
+            models = monitoring.promote_challenger(models, chall_version)
             current = model
         if prior is None or promoted:
             storage.write_table(models, ws.models)
+            if monitoring.load_by_alias(storage.read_table(spark, ws.models)).count() != 1:
+                raise ValueError("the registry must hold one champion")
 
     log = spark.createDataFrame(
         [(start, end, champ["model_version"], champ_score, drift, chall_version, chall_score,

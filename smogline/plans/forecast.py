@@ -31,7 +31,10 @@ def baseline_col(name: str) -> Column:
     if name == "extrapolation":
         return fx.clip_lower(F.col("lag_1") + (F.col("lag_1") - F.col("lag_2")), 0.001)
     if name == "average":
-        return (F.col("lag_1") + F.col("lag_2") + F.col("lag_3")) / 3
+        lags = [F.col(f"lag_{i}") for i in (1, 2, 3)]
+        known = sum(F.when(c.isNotNull(), 1).otherwise(0) for c in lags)
+        # the mean of the lags that are there; null if none is
+        return F.when(known > 0, sum(F.coalesce(c, F.lit(0.0)) for c in lags) / known)
     raise ValueError(f"baseline must be one of {BASELINES}, got {name!r}")
 
 
@@ -258,16 +261,13 @@ def cross_validate(df: DataFrame, features: list[str], kind: str = "gbt", folds:
     return spark.createDataFrame(rows, "fold long, rmse double, fit_seconds double")
 
 
-def permute_column(df: DataFrame, col: str, seed: int, rows_per_bucket: int = 100_000, n_rows: int | None = None) -> DataFrame:
+def permute_column(df: DataFrame, col: str, seed: int, buckets: int = 32) -> DataFrame:
     """``df`` with ``col`` shuffled across rows (deterministic for a seed).
 
-    Rows are spread over hash buckets of about ``rows_per_bucket`` rows;
-    inside a bucket the column is re-assigned from one hash order to
-    another.  Each window partition is one bucket, so no task holds more
-    than a bucket whatever the table size.
+    Rows are spread over ``buckets`` hash buckets; inside a bucket the column is
+    re-assigned from one hash order to another.  The method is the same at every
+    size; give more buckets for more rows.
     """
-    n = df.count() if n_rows is None else n_rows
-    buckets = max(1, -(-n // rows_per_bucket))
     key = [F.col("date"), F.col("city")]
     b = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(buckets))
     w_src = Window.partitionBy("_b").orderBy(F.xxhash64(*key, F.lit(seed + 1)), "date", "city")
@@ -287,12 +287,11 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
     from functools import reduce
 
     spark = df.sparkSession
-    n = df.count()
     base = evaluate_model(model, df).first()["rmse"]
     rows = []
     for i, f in enumerate(features):
         copies = [
-            permute_column(df, f, seed + 1000 * i + 10 * r, n_rows=n).withColumn("_rep", F.lit(r))
+            permute_column(df, f, seed + 1000 * i + 10 * r).withColumn("_rep", F.lit(r))
             for r in range(repeats)
         ]
         scored = model.transform(reduce(lambda a, b: a.unionByName(b), copies))

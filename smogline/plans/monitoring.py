@@ -8,7 +8,7 @@ day and city); they are plain DataFrames written through
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -153,23 +153,34 @@ def batch_log(
 
 # --- registry ------------------------------------------------------------------
 
-def register_version(models: DataFrame, new: DataFrame) -> DataFrame:
-    """Append versions: the first ever becomes champion, later ones challenger."""
-    has_champion = models.filter(F.col("alias") == config.CHAMPION).select(F.count(F.lit(1)) > 0).scalar()
-    first_new = new.select(F.min("model_version")).scalar()
-    alias = F.when(~has_champion & (F.col("model_version") == first_new), F.lit(config.CHAMPION)).otherwise(
-        F.lit(config.CHALLENGER)
-    )
-    added = new.withColumn("alias", alias).select(*models.columns)
-    return models.unionByName(added)
+def _number(version: str) -> Column:
+    return F.col(version).cast("long")
 
 
-def promote_challenger(models: DataFrame) -> DataFrame:
-    """champion → archived, challenger → champion (also without a champion)."""
+def register_version(models: DataFrame, new: DataFrame) -> DataFrame:
+    """Append versions.  An alias belongs to one version: the first ever becomes
+    champion, the newest of the later ones challenger, and whatever was
+    challenger before is archived.  Versions are ordered as numbers."""
+    has_champion = models.filter(F.col("alias") == config.CHAMPION).select(F.count(F.lit(1)) > 0).scalar()
+    first_new = new.select(F.min(_number("model_version"))).scalar()
+    last_new = new.select(F.max(_number("model_version"))).scalar()
+    is_first = ~has_champion & (_number("model_version") == first_new)
+    alias = F.when(is_first, config.CHAMPION).when(_number("model_version") == last_new, config.CHALLENGER).otherwise(config.ARCHIVED)
+    # the older challenger keeps its place only if the one new version became champion
+    replaced = (F.col("alias") == config.CHALLENGER) & (has_champion | (first_new < last_new))
+    kept = models.withColumn("alias", F.when(replaced, config.ARCHIVED).otherwise(F.col("alias")))
+    return kept.unionByName(new.withColumn("alias", alias).select(*models.columns))
+
+
+def promote_challenger(models: DataFrame, version: str | None = None) -> DataFrame:
+    """``version`` (default: the newest challenger) becomes the one champion; the
+    champion before is archived.  Without such a version nothing changes."""
     a = F.col("alias")
+    chosen = models.filter(a == config.CHALLENGER) if version is None else models.filter(F.col("model_version") == version)
+    new = chosen.select(F.max(_number("model_version"))).scalar()
     return models.withColumn(
         "alias",
-        F.when(a == config.CHAMPION, F.lit(config.ARCHIVED)).when(a == config.CHALLENGER, F.lit(config.CHAMPION)).otherwise(a),
+        F.when(_number("model_version") == new, F.lit(config.CHAMPION)).when((a == config.CHAMPION) & new.isNotNull(), F.lit(config.ARCHIVED)).otherwise(a),
     )
 
 

@@ -46,10 +46,17 @@ def _current(spark: SparkSession, root: str):
     try:
         log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{POINTER}")
         return log.orderBy(F.col("version").desc()).first()  # one small row per commit
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
         return None
 
 
+def _absent(e: AnalysisException) -> bool:
+    """The path does not exist (any other failure must not pass for an empty table)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def _current_version(spark: SparkSession, root: str) -> str | None:
     cur = _current(spark, root)
     return None if cur is None else cur["version"]
@@ -90,12 +97,10 @@ def _commit(spark: SparkSession, root: str, version: str, paths, schema: T.Struc
 
 def _write_months(df: DataFrame, root: str, v: str) -> list[str]:
     """Write ``df`` under ``root/v`` partitioned by month; return the month folders."""
-    df.withColumn(MONTH, F.trunc("date", "MM")).write.mode("errorifexists").partitionBy(MONTH).parquet(f"{root}/{v}")
-    spark = df.sparkSession
-    try:
-        files = spark.read.parquet(f"{root}/{v}").inputFiles()  # listing only, no job
-    except AnalysisException:
-        return []  # nothing written (no rows)
+    months = df.withColumn(MONTH, F.trunc("date", "MM"))
+    # rows of a month meet first: files per month follow its size, not the number of tasks
+    months.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).parquet(f"{root}/{v}")
+    files = df.sparkSession.read.schema(df.schema).parquet(f"{root}/{v}").inputFiles()  # listing only, no job
     return sorted({f.rsplit("/", 1)[0] for f in files})
 
 
@@ -157,7 +162,8 @@ def replaced_range(old: DataFrame | None, new: DataFrame, start, end) -> DataFra
     """The table after 'delete rows in [start, end], append new' (lazy)."""
     if old is None:
         return new
-    keep = old.filter(~F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    keep = old.filter(~F.coalesce(inside, F.lit(False)))  # a row without a date lies in no range
     return keep.unionByName(new.select(*old.columns))
 
 
@@ -189,6 +195,19 @@ def replaced_keys(old: DataFrame | None, new: DataFrame, keys: list[str]) -> Dat
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new.select(*old.columns))
 
 
+def key_replace_months(spark: SparkSession, root: str, new: DataFrame, keys: list[str]) -> str:
+    """Replace rows by a key that holds ``date``: only the months of ``new`` are
+    read and rewritten, the others are carried over."""
+    cur = _current(spark, root)
+    if cur is None or cur["paths"] is None:
+        old = None if cur is None else read_table(spark, root)
+        return write_table(replaced_keys(old, new, keys), root, "date")
+    months = {str(r[0]) for r in new.select(F.trunc("date", "MM")).distinct().collect()}  # at most the calendar's months
+    touched = [p for p in cur["paths"] if _month_of(p) in months]
+    old = _read_paths(spark, dict(version=cur["version"], paths=touched, schema=cur["schema"]))
+    return write_table(replaced_keys(old, new, keys), root, "date", carried=[p for p in cur["paths"] if p not in touched])
+
+
 def key_replace(spark: SparkSession, root: str, new: DataFrame, keys: list[str]) -> tuple[str, int]:
     """Replace rows by key; returns (version, number of replaced rows)."""
     old = read_table(spark, root) if table_exists(spark, root) else None
@@ -214,7 +233,9 @@ def prediction_bounds(preds: DataFrame):
 def log_predictions(spark: SparkSession, root: str, preds: DataFrame) -> str:
     """Delete all cities' rows between the new rows' min and max date, append."""
     lo, hi = prediction_bounds(preds)
-    return range_replace(spark, root, preds, lo, hi, partition_by=None)
+    if lo is None:
+        raise ValueError("no predictions to log: they hold no date")
+    return range_replace(spark, root, preds, lo, hi)
 
 
 # --- CSV round trip --------------------------------------------------------
@@ -237,6 +258,8 @@ def load_csv(spark: SparkSession, root: str, data_type: str, schema=None, start=
     try:
         df = reader.csv(f"{root}/{data_type}")
     except AnalysisException as e:
+        if not _absent(e):
+            raise
         raise FileNotFoundError(f"no {data_type} data under {root}") from e
     if start is not None and end is not None:
         df = df.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))

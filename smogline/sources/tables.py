@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Base-table DataFrames per (session, path): reading parquet resolves the
+# Base-table DataFrames per (application, path): reading parquet resolves the
 # file list and footers eagerly, so building a plan repeatedly over the same
 # immutable inputs would otherwise pay that on every call.
-_BASE: dict[tuple[int, str], DataFrame] = {}
+_BASE: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     Selecting immediately keeps the scan's ReadSchema to what is used.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)  # an id() may come back after a restart
     df = _BASE.get(key)
     if df is None:
         df = _BASE[key] = spark.read.parquet(path)

@@ -74,7 +74,7 @@ def stream_daily_rollup(
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()  # read twice by the key replace
         try:
-            storage.key_replace(batch.sparkSession, out_root, batch, KEYS)
+            storage.key_replace_months(batch.sparkSession, out_root, batch, KEYS)
         finally:
             batch.unpersist()
 

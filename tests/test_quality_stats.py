@@ -124,17 +124,24 @@ def test_acf_and_pacf_against_numpy(spark):
     np.testing.assert_allclose(p["pacf"], exp, rtol=1e-8)
 
 
-def test_hot_group_quantiles_equal_percentile(spark):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_quantiles_equal_percentile(spark, reuse):
     rng = np.random.default_rng(11)
     rows = [("hot", float(v)) for v in rng.normal(size=3000)] + [("cold", float(v)) for v in rng.normal(size=50)]
+    rows += [("ties", 2.0)] * 900 + [("ties", float(v)) for v in range(100)] + [("one", 5.0), ("none", None), (None, 1.0), (None, 4.0)]
+    rows += [("odd", v) for v in (float("inf"), float("-inf"), 1.0, 2.0, 3e300)]
     df = spark.createDataFrame(rows, "k string, v double").repartition(4)
-    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    got = {r.k: r for r in grouped_quantiles(df, ["k"], "v", probs, hot_rows=100, partitions=6).collect()}
-    ref = {r.k: r for r in df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).collect()}
-    assert set(got) == {"hot", "cold"}
+    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q9": 0.9}
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = {r.k: r for r in grouped_quantiles(df, ["k"], "v", probs).collect()}
+        ref = {r.k: r for r in df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert set(got) == {"hot", "cold", "ties", "one", "odd", None}
     for k in got:
         for n in probs:
-            assert getattr(got[k], n) == pytest.approx(getattr(ref[k], n), rel=1e-12)
+            assert getattr(got[k], n) == pytest.approx(getattr(ref[k], n), rel=1e-12, nan_ok=True)
 
 
 def test_scalar_helpers(spark):
@@ -153,7 +160,7 @@ def test_local_date_ignores_zone(spark):
     assert df.select(fx.local_date("ts").alias("d")).first().d == dt.date(2024, 1, 1)
 
 
-def test_daily_rollup_hot_path_equals_percentile_path(spark):
+def test_daily_rollup_equals_pandas(spark):
     import datetime as dt2
 
     from smogline.operators.rollup import daily_rollup
@@ -167,10 +174,11 @@ def test_daily_rollup_hot_path_equals_percentile_path(spark):
         rows.append(("c", sensor, ts.strftime("%Y-%m-%dT%H:%M:%S") + "+02:00", float(rng.normal(20, 5))))
     raw = spark.createDataFrame(rows, "city string, sensor_id long, ts_local string, value double")
     cols = ["city", "sensor_id", "date", "pm25_q25", "pm25_median", "pm25_q75", "pm25_avg"]
-    a = sorted(daily_rollup(raw).select(*cols).collect())
-    b = sorted(daily_rollup(raw, hot_rows=100).select(*cols).collect())
-    assert len(a) == len(b) > 0
-    for x, y in zip(a, b):
-        assert x[:3] == y[:3]
-        for u, v in zip(x[3:], y[3:]):
-            assert u == pytest.approx(v, rel=1e-12)
+    a = sorted(daily_rollup(raw).select(*cols, "coverage", "n_readings").collect())
+    pdf = raw.toPandas()
+    pdf["date"] = pdf.ts_local.str[:10].map(dt.date.fromisoformat)
+    g = pdf.groupby(["city", "sensor_id", "date"])
+    want = {k: (*v.value.quantile([0.25, 0.5, 0.75]), v.value.mean(), v.ts_local.str[11:13].nunique() * 100 / 24, len(v)) for k, v in g}
+    assert len(a) == len(want) > 0
+    for x in a:
+        assert list(x[3:]) == pytest.approx(list(want[x[:3]]), rel=1e-12)

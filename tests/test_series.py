@@ -127,3 +127,22 @@ def test_in_plan_contiguity_guard_fails_the_job(spark):
         series.impute_gaps(gap, check_contiguous=True).collect()
     ok = series_df(spark, [1, None, 3])
     assert len(series.impute_gaps(ok, check_contiguous=True).collect()) == 3
+
+
+def test_imputer_counts_rows_not_days(spark):
+    import datetime as dt
+
+    from smogline.operators import series
+
+    d = dt.date(2024, 1, 1)
+    twice = spark.createDataFrame([("A", d, 2.0), ("A", d, None), ("A", d + dt.timedelta(1), 4.0)], "city string, date date, pm25_avg double")
+    assert sorted(r.pm25_avg for r in series.impute_gaps(twice).collect()) == [2.0, 3.0, 4.0]
+    absent = spark.createDataFrame([("A", d, 2.0), ("A", d + dt.timedelta(5), None), ("A", d + dt.timedelta(6), 4.0)], "city string, date date, pm25_avg double")
+    assert sorted(r.pm25_avg for r in series.impute_gaps(absent).collect()) == [2.0, 3.0, 4.0]
+
+
+def test_average_baseline_skips_nulls(spark):
+    from smogline.plans.forecast import baseline_col
+
+    df = spark.createDataFrame([(1.0, None, 3.0), (None, None, None), (1.0, 2.0, 6.0)], "lag_1 double, lag_2 double, lag_3 double")
+    assert [r.p for r in df.select(baseline_col("average").alias("p")).collect()] == [2.0, None, 3.0]

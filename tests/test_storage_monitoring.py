@@ -79,6 +79,12 @@ def test_register_version_first_is_champion(spark):
     assert [r.alias for r in m.orderBy("model_version").collect()] == ["champion", "challenger"]
     m3 = monitoring.register_version(m, models_df(spark, [None, None, None]).drop("alias").filter("model_version = '3'"))
     assert m3.filter("model_version = '3'").first().alias == "challenger"
+    assert [r.alias for r in m3.orderBy("model_version").collect()] == ["champion", "archived", "challenger"]  # an alias has one holder
+    m4 = monitoring.promote_challenger(m3, "3")
+    assert [r.alias for r in m4.orderBy("model_version").collect()] == ["archived", "archived", "champion"]
+    assert [r.alias for r in monitoring.promote_challenger(m4).orderBy("model_version").collect()] == ["archived", "archived", "champion"]
+    ten = spark.createDataFrame([(v, None, None, None, None, None) for v in ("10", "9")], m.drop("alias").schema)
+    assert {r.model_version: r.alias for r in monitoring.register_version(empty, ten).collect()} == {"9": "champion", "10": "challenger"}
     with pytest.raises(ValueError):
         monitoring.update_alias(m, "1", "boss")
 
@@ -183,3 +189,20 @@ def test_sensor_payload_scan_and_station_filter(spark):
     payload.write_station_payloads(stations, st_root)
     got = [(r.station_id, r.sensor_id) for r in payload.filter_stations(spark, st_root, "2023-05-01", "2024-12-31").collect()]
     assert got == [(1, 11)]  # monitor, active over the whole span, PM2.5 sensor only
+
+
+def test_storage_keeps_what_it_should(spark):
+    d = lambda x: None if x is None else dt.date.fromisoformat(x)
+    frame = lambda rows: spark.createDataFrame([(d(a), k, v) for a, k, v in rows], "date date, k string, v double")
+    root = scratch_path(spark, "keeps")
+    storage.write_table(frame([(None, "n", 0.0), ("2024-01-01", "a", 1.0), ("2024-01-02", "a", 2.0), ("2024-03-01", "b", 3.0)]), root, "date")
+    storage.range_replace(spark, root, frame([("2024-01-02", "z", 9.0)]), "2024-01-02", "2024-01-02")
+    assert sorted(r.k for r in storage.read_table(spark, root).collect()) == ["a", "b", "n", "z"]
+    march = [p for p in storage._current(spark, root)["paths"] if "2024-03" in p]
+    storage.key_replace_months(spark, root, frame([("2024-01-01", "a", 7.0)]), ["date", "k"])
+    assert {r.k: r.v for r in storage.read_table(spark, root).collect()} == {"a": 7.0, "b": 3.0, "n": 0.0, "z": 9.0}
+    assert [p for p in storage._current(spark, root)["paths"] if "2024-03" in p] == march  # carried over, not rewritten
+    before = storage.read_table(spark, root).count()
+    with pytest.raises(ValueError):
+        storage.log_predictions(spark, root, frame([]))
+    assert storage.read_table(spark, root).count() == before
