@@ -105,12 +105,19 @@ def hashed(texts: list[bytes]) -> Tokens:
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (h >> np.uint64(33)) % np.uint64(buckets)
+    """Buckets are ranges of hashes, so sorted hashes need no dealing out."""
+    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    kinds, at = np.unique(h, return_inverse=True)
-    return kinds, np.bincount(at, n, len(kinds)).astype(np.int64)
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of all parts and their summed counts; empties the list."""
+    h, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    parts.clear()
+    order = np.argsort(h, kind="stable")  # quick on runs that are sorted already
+    h, n = h[order], n[order]
+    del order
+    new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[new], np.add.reduceat(n, new, dtype=np.int64) if len(new) else np.zeros(0, np.int64)
 
 
 def levels(n: np.ndarray, base: float) -> np.ndarray:
@@ -207,9 +214,8 @@ def train(rows: DataFrame, text: str, bits: int = BITS) -> tuple[DataFrame, dict
     top = HEAVY // buckets[1] + 1
 
     def dealt(kind: int, h: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        to = bucket_of(h, buckets[kind])
-        order = np.argsort(to, kind="stable")
-        h, n, cut = h[order], n[order].astype(np.uint32), np.searchsorted(to[order], np.arange(buckets[kind] + 1, dtype=np.uint64))
+        cut = np.searchsorted(bucket_of(h, buckets[kind]), np.arange(buckets[kind] + 1, dtype=np.uint64))
+        n = n.astype(np.uint32)
         for b in range(buckets[kind]):
             part = slice(cut[b], cut[b + 1])
             if cut[b] < cut[b + 1]:
@@ -220,23 +226,23 @@ def train(rows: DataFrame, text: str, bits: int = BITS) -> tuple[DataFrame, dict
         held: dict[int, list] = {1: [], 2: []}
         for _, texts in chunks(batches, "_q_text"):
             tokens = hashed(texts)
-            held[1].append((tokens.kinds, np.bincount(tokens.code, minlength=len(tokens.kinds))))
-            held[2].append(np.unique(tokens.pairs(), return_counts=True))
+            held[1].append((tokens.kinds, np.bincount(tokens.code, minlength=len(tokens.kinds)).astype(np.uint32)))
+            kinds, often = np.unique(tokens.pairs(), return_counts=True)
+            held[2].append((kinds, often.astype(np.uint32)))
             for kind in held:
-                if sum(len(h) for h, _ in held[kind]) > 4_000_000:  # combine and send before memory fills
-                    yield from dealt(kind, *summed(*map(np.concatenate, zip(*held[kind]))))
-                    held[kind] = []
+                if sum(len(h) for h, _ in held[kind]) > 3_000_000:  # combine and send before memory fills
+                    yield from dealt(kind, *summed(held[kind]))
         for kind, some in held.items():
             if some:
-                yield from dealt(kind, *summed(*map(np.concatenate, zip(*some))))
+                yield from dealt(kind, *summed(some))
 
     def merge(part: pa.Table) -> pa.Table:
         kind, bucket = part.column("kind")[0].as_py(), part.column("bucket")[0].as_py()
-        hs, ns = [], []
+        parts = []
         for h, n in zip(part.column("h").to_pylist(), part.column("n").to_pylist()):
-            hs.append(np.frombuffer(h, np.uint64))
-            ns.append(np.frombuffer(n, np.uint8 if len(n) == len(hs[-1]) else np.uint32))
-        h, n = summed(np.concatenate(hs), np.concatenate(ns))
+            h = np.frombuffer(h, np.uint64)
+            parts.append((h, np.frombuffer(n, np.uint8 if len(n) == len(h) else np.uint32).astype(np.uint32)))
+        h, n = summed(parts)
         heavy = np.sort(np.argsort(-n, kind="stable")[:top]) if kind == 1 else np.zeros(0, np.int64)
         row = {"kind": kind, "bucket": bucket, "total": int(n.sum()), "distinct": len(h), "filter": build(h, n, BASE[kind]),
                "heavy_h": h[heavy].tobytes(), "heavy_n": n[heavy].tobytes(), "h": h.tobytes() if kind == 1 else b"", "n": n.tobytes() if kind == 1 else b""}
@@ -366,8 +372,7 @@ def _final(shared, names: list[str], kinds: list[pa.DataType], buckets: int):
             who = np.repeat(np.arange(len(texts)), size)[other]
             both, often = np.unique(tokens.code[other].astype(np.int64) * len(texts) + who, return_counts=True)
             h, who = tokens.kinds[both // len(texts)], both % len(texts)
-            to = bucket_of(h, buckets)
-            order = np.argsort(to, kind="stable")
+            order = np.argsort(to := bucket_of(h, buckets), kind="stable")
             cut = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
             for b in range(buckets):
                 some = order[cut[b] : cut[b + 1]]
