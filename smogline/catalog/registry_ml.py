@@ -62,20 +62,20 @@ def q_split_xy(spark, d):
 @register("train_model")
 def q_train_model(spark, d):
     train = _train(spark, d)
-    model, secs = forecast.train_model(train, FEATURES, "gbt", **SMALL_GBT)
+    model, _ = forecast.train_model(train, FEATURES, "gbt")
     fit = forecast.evaluate_model(model, train)
-    return fit.select(F.lit("gbt").alias("model"), F.col("rmse").alias("train_rmse"), F.lit(secs).alias("fit_seconds"))
+    return fit.select(F.lit("gbt").alias("model"), F.col("rmse").alias("train_rmse"))
 
 
 @register("predict")
 def q_predict(spark, d):
-    model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt", **SMALL_GBT)
+    model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt")
     return forecast.predict(model, _reference_rows(spark, d))
 
 
 @register("evaluate_model")
 def q_evaluate_model(spark, d):
-    model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt", **SMALL_GBT)
+    model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt")
     test = forecast.evaluate_model(model, _reference_rows(spark, d)).withColumn("mode", F.lit("test_set"))
     return test.select("mode", "rmse")
 
@@ -98,10 +98,14 @@ def q_categorical_native(spark, d):
     return forecast.fold_summary(sc.withColumn("model", F.lit("gbt_city_categorical")), key="model")
 
 
-def _importances(spark, d):
-    train = _train(spark, d)
-    model, _ = forecast.train_model(train, FEATURES, "gbt", **SMALL_GBT)
-    return forecast.permutation_importance(model, train, FEATURES, repeats=2)
+def _importances(spark, d, feats=None):
+    train = _train(spark, d, feats)
+    model, _ = forecast.train_model(train, FEATURES, "gbt")
+    return forecast.permutation_importance(model, train, FEATURES)
+
+
+def _ranked(spark, d, feats=None, k=None):
+    return forecast.rank_features(_importances(spark, d, feats).select("feature", F.col("importance_mean").alias("importance")), k)
 
 
 @register("permutation_importance")
@@ -111,16 +115,14 @@ def q_permutation_importance(spark, d):
 
 @register("rank_features")
 def q_rank_features(spark, d):
-    """Top 10 features by tree importance (the limit is the feature)."""
-    model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt", **SMALL_GBT)
-    return forecast.rank_features(forecast.feature_importances(model, FEATURES), k=10)
+    """Top 10 features by permutation importance (the limit is the feature)."""
+    return _ranked(spark, d, k=10)
 
 
 @register("topk_sweep")
 def q_topk_sweep(spark, d):
     feats = features_ckpt(spark, d)
-    model, _ = forecast.train_model(_train(spark, d, feats), FEATURES, "gbt", **SMALL_GBT)
-    ranked = [r["feature"] for r in forecast.rank_features(forecast.feature_importances(model, FEATURES)).collect()]
+    ranked = [r["feature"] for r in _ranked(spark, d, feats).collect()]
     return forecast.topk_sweep(feats, ranked, kind="ridge")
 
 

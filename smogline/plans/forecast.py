@@ -167,11 +167,18 @@ def model_pipeline(features: list[str], kind: str = "gbt", categorical_native: b
     return Pipeline(stages=stages)
 
 
+def city_bins(df: DataFrame) -> int:
+    """Tree bins that hold every city of ``df`` as a category, and one for unseen ones."""
+    return max(32, df.agg(F.count_distinct("city")).first()[0] + 1)
+
+
 def train_model(df: DataFrame, features: list[str], kind: str = "gbt", **params) -> tuple[PipelineModel, float]:
     """Fit the pipeline; returns (model, fit seconds).  No training row is an
     error (e.g. train mode when every sensor was flagged)."""
     if df.limit(1).isEmpty():
         raise ValueError("no training rows: the training window is empty after preprocessing")
+    if params.get("categorical_native"):
+        params.setdefault("maxBins", city_bins(df))
     t0 = time.perf_counter()
     model = model_pipeline(features, kind, **params).fit(df)
     return model, time.perf_counter() - t0
@@ -194,6 +201,8 @@ def model_comparison(df: DataFrame, features: list[str], kinds=("linear", "rf",
     """
     spark = df.sparkSession
     folds = time_folds(df) if folds is None else folds
+    if categorical_native:
+        params.setdefault("maxBins", city_bins(df))
     bounds = {(r["fold"], r["role"]): (r["start"], r["end"]) for r in folds.collect()}  # ≤ 2·n_folds rows
     fold_ids = sorted({f for f, _ in bounds})
     if n_folds:
@@ -244,6 +253,8 @@ def cross_validate(df: DataFrame, features: list[str], kind: str = "gbt", folds:
 
     spark = df.sparkSession
     folds = time_folds(df) if folds is None else folds
+    if categorical_native:
+        params.setdefault("maxBins", city_bins(df))
     bounds = {(r["fold"], r["role"]): (r["start"], r["end"]) for r in folds.collect()}  # 2 rows per fold
     fold_ids = sorted({f for f, role in bounds if role == "test" and (f, "train") in bounds})
 

@@ -40,3 +40,14 @@ def test_bootstrap_and_periodic_steps(spark):
     preds = storage.read_table(spark, ws.predictions)
     assert preds.count() == ev.filter(F.col("date").between(first.batch_start, sched.filter("batch = 2").first().batch_end)).count()
     assert flows.next_batch(spark, ws, sched) == 3
+
+
+def test_trees_take_more_cities_than_default_bins(spark):
+    import datetime as dt
+
+    from smogline.plans import forecast
+
+    rows = [(f"c{i}", dt.date(2024, 1, 1) + dt.timedelta(j), float(i % 7), float(i + j)) for i in range(50) for j in range(4)]
+    df = spark.createDataFrame(rows, "city string, date date, lag_1 double, target double")
+    model, _ = forecast.train_model(df, ["city", "lag_1"], "gbt", categorical_native=True, maxIter=1)
+    assert model.transform(df).count() == 200
