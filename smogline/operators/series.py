@@ -77,12 +77,12 @@ def impute_gaps(
     """
     pos = F.col("_pos")
     known_pos = F.when(F.col(col).isNotNull(), pos)
-    fwd = Window.partitionBy(key).orderBy(pos.asc()).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy(key).orderBy(F.col(ORDER).asc(), F.col(col).asc_nulls_last())
+    fwd = order.rowsBetween(Window.unboundedPreceding, -1)
     bwd = Window.partitionBy(key).orderBy(pos.desc()).rowsBetween(Window.unboundedPreceding, -1)
     extra = []
     if check_contiguous:
         extra = [F.datediff(ORDER, F.lag(ORDER).over(series_window(key))).alias("_step")]
-    order = Window.partitionBy(key).orderBy(F.col(ORDER).asc(), F.col(col).asc_nulls_last())
     tagged = df.select("*", *extra, F.row_number().over(order).alias("_pos")).select(
         "*",
         F.last(col, ignorenulls=True).over(fwd).alias("_pv"),
