@@ -8,8 +8,11 @@ text's code length under a language is the exact sum over all its bytes
 (ASCII lower-cased); the shortest code wins.
 
 Training sample (documented bound): per label at most ``docs_per_label``
-documents of at most ``max_doc_bytes`` bytes each, chosen by a hash.  Only
-text and label are learned from.  Scoring reads every whole text.
+distinct texts of at most ``max_doc_bytes`` bytes each, chosen by a hash.
+Copies of one text count once and are dropped before anything reaches the
+driver, so no group of copies fills the sample.  A label that has longer texts
+only is not learned.  Only text and label are learned from.  Scoring reads
+every whole text.
 
 For speed the trees of all labels share one automaton: a state is the longest
 context in any tree, so code lengths become two table look-ups per byte, done
@@ -147,16 +150,17 @@ def learn(docs: DataFrame, text: str, label: str, training: Column, order: int =
     rows = docs.select(F.col(text).alias("_q_text"), F.col(label).cast("string").alias("_q_label"), training.alias("_q_train"))
     rows = rows.where(F.col("_q_train") & F.col("_q_label").isNotNull() & F.octet_length("_q_text").between(1, max_doc_bytes))
     rows = rows.withColumn("_q_key", F.xxhash64("_q_text"))
-    counts = {r["_q_label"]: r["n"] for r in rows.groupBy("_q_label").agg(F.count("*").alias("n")).collect()}
+    counts = {r["_q_label"]: max(1, r["n"]) for r in rows.groupBy("_q_label").agg(F.approx_count_distinct("_q_key").alias("n")).collect()}
     if not counts:
         return fit({}, order)
-    # a share of each label by hash, twice what is kept; the exact cut follows on the driver
+    # a share of each label's distinct texts by hash, twice what is kept; the exact cut follows on the driver
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * docs_per_label / n)))])
     some = rows.where((F.pmod(F.col("_q_key"), F.lit(1_000_003)) / 1_000_003.0) < F.element_at(share, F.col("_q_label")))
+    some = some.groupBy("_q_label", "_q_key").agg(F.min("_q_text").alias("_q_text"))
     kept: dict[str, list] = {k: [] for k in counts}
     for r in some.select("_q_label", "_q_key", F.col("_q_text").cast("binary").alias("_q_text")).toLocalIterator():
         kept[r["_q_label"]].append((r["_q_key"], bytes(r["_q_text"])))
-    return fit({k: [x for _, x in sorted(set(v))[:docs_per_label]] for k, v in kept.items() if v}, order)
+    return fit({k: [x for _, x in sorted(v)[:docs_per_label]] for k, v in kept.items() if v}, order)
 
 
 def predict(docs: DataFrame, text: str, trees: ContextTrees, pred: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -255,11 +255,14 @@ def train(rows: DataFrame, text: str, bits: int = BITS) -> tuple[DataFrame, dict
 def _filters(trained: DataFrame, kind: int, buckets: int, limit: int) -> Iterator[Filter]:
     """Groups of neighbouring buckets of at most ``limit`` bytes; one is fetched at a time."""
     size = {r["bucket"]: r["s"] for r in trained.where(F.col("kind") == kind).select("bucket", F.length("filter").alias("s")).collect()}
-    groups, first = [[0, 0]], 0
+    groups, first, held = [], 0, 0
     for b in range(buckets):
-        if groups[-1][1] > groups[-1][0] and sum(size.get(x, 8) for x in range(groups[-1][0], b + 1)) > limit:
-            groups.append([b, b])
-        groups[-1][1] = b + 1
+        own = size.get(b, 8)
+        if b > first and held + own > limit:
+            groups.append((first, b))
+            first, held = b, 0
+        held += own
+    groups.append((first, buckets))
     for first, end in groups:
         found = {r["bucket"]: bytes(r["filter"]) for r in trained.where((F.col("kind") == kind) & F.col("bucket").between(first, end - 1)).select("bucket", "filter").toLocalIterator()}
         yield Filter(BASE[kind], buckets, first, [found.get(b, bytes(8)) for b in range(first, end)])

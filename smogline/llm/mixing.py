@@ -8,8 +8,11 @@ until none is above its clamp.
 A source's target is met by repetitions: every document ``whole`` times, and
 some documents once more.  Which ones is a seeded draw: documents are ordered
 by a hash of (seed, id, size), and taken in that order while they fit the
-rest; then one more, the one whose size is nearest to what is still missing,
-if that brings the source nearer to its target.  The order is cut without
+rest.  Two corrections are then weighed, and the one that comes nearest to the
+target is made, if it comes nearer at all: one document more, of the size
+nearest to what is missing; or the smallest one more that covers it, and one
+of those taken given back, of the size nearest to what that is too much.  The
+order is cut without
 sorting a source: sizes are summed per hash bucket, the buckets of a source
 are accumulated, and only the one bucket in which the rest runs out is ordered
 in rows.  The number of buckets grows with the rows, so that a bucket holds
@@ -62,8 +65,8 @@ def water_fill(sources: DataFrame, size: str, weight: str, max_epochs: int = MAX
 
 def plan(rows: DataFrame, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Per source of ``rows`` (_q_source, _q_size, _q_key): size, target, whole
-    repetitions, the key up to which documents get one more, and the one
-    document beyond it that does too."""
+    repetitions, the key up to which documents get one more, the one document
+    beyond it that does too, and the one before it that does not."""
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     digits = 1
     n = rows.count()
@@ -91,13 +94,24 @@ def plan(rows: DataFrame, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...]
     cut = split.join(fits, same("s", "f"), "left").select("s", "rest", F.coalesce("last_key", "cut_bucket").alias("cut_key"), F.coalesce("upto", "ahead").alias("got"))
     cut = stored(cut, "mix")
 
-    # one document more, the nearest in size to what is missing; sizes of repeated rows count together
-    beyond = rows.join(cut, same("_q_source", "s") & (F.col("_q_key") > F.col("cut_key")))
-    beyond = beyond.groupBy("_q_source", "_q_key").agg(F.sum("_q_size").alias("size"), F.first(F.col("rest") - F.col("got")).alias("missing"))
-    beyond = beyond.withColumn("off", F.abs(F.col("size") - F.col("missing"))).where("off < missing")
-    more = beyond.groupBy(F.col("_q_source").alias("m")).agg(F.min(F.struct("off", "_q_key")).getField("_q_key").alias("more_key"))
-    out = sources.join(cut.select("s", "cut_key"), same("_q_source", "s"), "left").drop("s").join(more, same("_q_source", "m"), "left").drop("m")
-    return stored(out.select(F.col("_q_source").alias("_q_name"), F.col("size").alias("source_size"), "target", "whole", "cut_key", "more_key"), "mix")
+    # documents beyond the cut: the nearest in size to what is missing, and the smallest that covers it;
+    # sizes of repeated rows count together
+    missing, size = F.col("missing"), F.col("size")
+    keyed = rows.join(cut.select("s", "cut_key", (F.col("rest") - F.col("got")).alias("missing")), same("_q_source", "s"))
+    beyond = keyed.where(F.col("_q_key") > F.col("cut_key")).groupBy("_q_source", "_q_key").agg(F.sum("_q_size").alias("size"), F.first("missing").alias("missing"))
+    beyond = beyond.groupBy(F.col("_q_source").alias("m")).agg(
+        F.first("missing").alias("missing"), F.min(F.struct(F.abs(size - missing).alias("off"), "_q_key")).alias("near"),
+        F.min(F.when(size >= missing, F.struct("size", "_q_key"))).alias("above"))
+    beyond = stored(beyond.select("m", "missing", "near", F.col("above._q_key").alias("above_key"), (F.col("above.size") - F.col("missing")).alias("over")), "mix")
+    # documents before it: the nearest in size to what the covering one is too much
+    before = keyed.where(F.col("_q_key") <= F.col("cut_key")).groupBy("_q_source", "_q_key").agg(F.sum("_q_size").alias("size"))
+    before = before.join(beyond.where("over is not null").select("m", "over"), same("_q_source", "m"))
+    before = before.groupBy(F.col("_q_source").alias("b")).agg(F.min(F.struct(F.abs(size - F.col("over")).alias("off"), "_q_key")).alias("less"))
+    swap = (F.col("less.off") < F.col("near.off")) & (F.col("less.off") < F.col("missing"))
+    fix = beyond.join(before, same("m", "b"), "left").select(
+        "m", F.when(swap, F.col("above_key")).when(F.col("near.off") < F.col("missing"), F.col("near._q_key")).alias("more_key"), F.when(swap, F.col("less._q_key")).alias("less_key"))
+    out = sources.join(cut.select("s", "cut_key"), same("_q_source", "s"), "left").drop("s").join(fix, same("_q_source", "m"), "left").drop("m")
+    return stored(out.select(F.col("_q_source").alias("_q_name"), F.col("size").alias("source_size"), "target", "whole", "cut_key", "more_key", "less_key"), "mix")
 
 
 def mix(docs: DataFrame, doc_id: str, text: str, source: str, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
@@ -111,10 +125,12 @@ def mix(docs: DataFrame, doc_id: str, text: str, source: str, max_epochs: int =
     narrow = stored(rows.select("_q_source", "_q_size", "_q_key"), "mix")
     by_source = plan(narrow, max_epochs, weights)
     joined = rows.join(by_source, F.col("_q_source").eqNullSafe(F.col("_q_name")))
-    extra = F.coalesce((F.col("_q_size") > 0) & ((F.col("_q_key") <= F.col("cut_key")) | (F.col("_q_key") == F.coalesce("more_key", F.lit("")))), F.lit(False))
+    key = F.col("_q_key")
+    extra = (key <= F.col("cut_key")) & (key != F.coalesce("less_key", F.lit(""))) | (key == F.coalesce("more_key", F.lit("")))
+    extra = F.coalesce((F.col("_q_size") > 0) & extra, F.lit(False))
     # a clamped source is taken whole; a document never passes max_epochs
     copies = F.least(F.col("whole") + extra.cast("long"), F.lit(max_epochs))
-    return joined.withColumn("_q_copies", copies).drop("_q_source", "_q_key", "_q_name", "whole", "cut_key", "more_key")
+    return joined.withColumn("_q_copies", copies).drop("_q_source", "_q_key", "_q_name", "whole", "cut_key", "more_key", "less_key")
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
@@ -136,11 +152,16 @@ r AS (SELECT *, CASE WHEN size > 0 THEN CAST(floor(target / size) AS BIGINT) ELS
 u AS (SELECT source, key, sum(size) AS size FROM k GROUP BY source, key),
 c AS (SELECT u.*, sum(u.size) OVER (PARTITION BY u.source ORDER BY key ROWS UNBOUNDED PRECEDING) AS upto, r.target - r.whole * r.size AS rest FROM u JOIN r ON u.source IS NOT DISTINCT FROM r.source),
 got AS (SELECT source, max(rest) AS rest, max(CASE WHEN upto <= rest THEN key END) AS cut, coalesce(max(CASE WHEN upto <= rest THEN upto END), 0) AS got FROM c GROUP BY source),
-more AS (SELECT c.source, arg_min(c.key, (abs(c.size - (got.rest - got.got)), c.key)) AS more FROM c JOIN got ON c.source IS NOT DISTINCT FROM got.source
-         WHERE c.key > coalesce(got.cut, '') AND abs(c.size - (got.rest - got.got)) < got.rest - got.got GROUP BY c.source)
+beyond AS (SELECT c.source, got.rest - got.got AS missing, min((abs(c.size - (got.rest - got.got)), c.key)) AS near,
+           min((c.size, c.key)) FILTER (WHERE c.size >= got.rest - got.got) AS above FROM c JOIN got ON c.source IS NOT DISTINCT FROM got.source
+           WHERE c.key > coalesce(got.cut, '') GROUP BY c.source, got.rest - got.got),
+before AS (SELECT c.source, min((abs(c.size - (b.above[1] - b.missing)), c.key)) AS less FROM c JOIN got ON c.source IS NOT DISTINCT FROM got.source
+           JOIN beyond b ON c.source IS NOT DISTINCT FROM b.source WHERE c.key <= coalesce(got.cut, '') AND b.above IS NOT NULL GROUP BY c.source),
+fix AS (SELECT b.source, CASE WHEN less[1] < near[1] AND less[1] < missing THEN above[2] WHEN near[1] < missing THEN near[2] END AS more,
+        CASE WHEN less[1] < near[1] AND less[1] < missing THEN less[2] END AS less FROM beyond b LEFT JOIN before l ON b.source IS NOT DISTINCT FROM l.source)
 SELECT k.doc_id, k.size, r.size AS source_size, round(r.target, 6) AS target,
-       CAST(k.size * least(3, r.whole + CASE WHEN k.key <= coalesce(got.cut, '') OR k.key = coalesce(more.more, '') THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source JOIN got ON k.source IS NOT DISTINCT FROM got.source LEFT JOIN more ON k.source IS NOT DISTINCT FROM more.source
+       CAST(k.size * least(3, r.whole + CASE WHEN k.key <= coalesce(got.cut, '') AND k.key <> coalesce(fix.less, '') OR k.key = coalesce(fix.more, '') THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source JOIN got ON k.source IS NOT DISTINCT FROM got.source LEFT JOIN fix ON k.source IS NOT DISTINCT FROM fix.source
 """
 
 
