@@ -15,6 +15,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from smogline.llm import decontaminate, html_extract, language_id, license_scan, lm_score, mixing, quality, registry, sharding, simhash, token_counts
 
@@ -145,6 +146,26 @@ def test_mixing_hits_targets_and_reruns(spark):
     assert sum({r["_q_2"]: r["target"] for r in out}.values()) == pytest.approx(sum(r["_q_size"] for r in out))
 
 
+def test_mixing_swaps_documents_in_small_sources(spark):
+    rng = random.Random(11)
+    docs = [(i, "w " * rng.randint(1, 400), f"s{i % 6}") for i in range(180)]
+    out = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string"), "doc_id", "text", "source").collect()
+    taken, target = collections.Counter(), {}
+    for r in out:
+        taken[r["_q_2"]] += r["_q_size"] * r["_q_copies"]
+        target[r["_q_2"]] = r["target"]
+        assert 0 <= r["_q_copies"] <= 3
+    assert all(abs(taken[s] - t) <= 0.01 * t for s, t in target.items())
+
+
+def test_language_id_learns_copies_once(spark):
+    texts = [(i, f"stone river window number {i} of the garden", "en") for i in range(40)] + [(100 + i, f"une petite école où l'élève {i} étudie", "fr") for i in range(40)]
+    hot = texts + [(1000 + i, "copied text of the table", "en") for i in range(3000)]
+    fit = lambda rows: language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", F.lit(True), docs_per_label=50)
+    few, many = fit(texts + hot[-1:]), fit(hot)
+    assert few.labels == many.labels == ["en", "fr"] and (few.bits == many.bits).all() and (few.step == many.step).all()
+
+
 def test_token_counts_and_splices(spark, odd_documents):
     path = str(public_tokenizers.path("word_bpe_49k.json"))
     tokenizer, _ = token_counts.load(open(path, encoding="utf-8").read())
