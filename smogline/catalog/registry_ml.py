@@ -8,17 +8,20 @@ defaults live in ``config.GBT_PARAMS``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import config
 from ..plans import flows, forecast
+from ..plans import preprocess as pp
 from ..session import scratch_path
 from ..sources import storage
 from ..streaming.periodic import stream_periodic
 from ..streaming.rollup import stream_daily_rollup, write_arrivals
-from .registry import events, full, register, schedule
-from .sql_prelude import with_ctes
+from .registry import SCHED_CTES, events, full, readings, register, schedule, weather
+from .sql_prelude import windowed, with_ctes
 
 FEATURES = list(config.SELECTED_FEATURES)
 SMALL_GBT = dict(maxIter=20, maxDepth=4)
@@ -53,10 +56,23 @@ def _reference_rows(spark, d):
     return features_ckpt(spark, d, "eval").filter(F.col("date").between(lo, hi))
 
 
-@register("split_xy")
+_SLOTS = ", ".join(f"CAST({f} AS DOUBLE)" for f in FEATURES if f != "city")
+
+
+@register(
+    "split_xy",
+    with_ctes(f"""
+SELECT CAST(unnest(range(len(v))) AS BIGINT) AS slot, unnest(v) AS value, target AS label
+FROM (SELECT f.target, list_concat([{_SLOTS}], list_transform(range((SELECT count(*) FROM city_at)), lambda x: CASE WHEN x = c.at THEN 1.0 ELSE 0.0 END::DOUBLE)) AS v
+      FROM full_train f JOIN city_at c USING (city)) t""", "full_train",
+              extra={"city_at": "SELECT city, row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS at FROM full_train GROUP BY city"}),
+    ["value", "label"],
+)
 def q_split_xy(spark, d):
-    xy = forecast.split_xy(full(spark, d, "train"), FEATURES)
-    return xy.select(vector_to_array("features").alias("features"), "label")
+    """Every slot of every feature vector beside its row's label: the numbers
+    in feature order, then the one-hot slots of the city."""
+    xy = forecast.split_xy(features_ckpt(spark, d), FEATURES)
+    return xy.select(F.posexplode(vector_to_array("features")).alias("slot", "value"), "label")
 
 
 @register("train_model")
@@ -75,20 +91,27 @@ def q_predict(spark, d):
 
 @register("evaluate_model")
 def q_evaluate_model(spark, d):
+    """Both modes: the reference window as test set, the last batch as fresh one."""
     model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt")
-    test = forecast.evaluate_model(model, _reference_rows(spark, d)).withColumn("mode", F.lit("test_set"))
-    return test.select("mode", "rmse")
+    last = schedule(spark, d).filter(F.col("batch") == config.BATCH_COUNT).first()
+    fresh = features_ckpt(spark, d, "eval").filter(F.col("date").between(last["batch_start"], last["batch_end"]))
+    rows = {"test_set": _reference_rows(spark, d), "fresh_batch": fresh}
+    scores = [forecast.evaluate_model(model, rows[m]).select(F.lit(m).alias("mode"), "rmse") for m in forecast.EVAL_MODES]
+    return scores[0].unionByName(scores[1])
 
 
 @register("model_comparison")
 def q_model_comparison(spark, d):
-    df = features_ckpt(spark, d)
-    folds = forecast.time_folds(df).cache()
-    out = None
-    for kind, params in (("linear", {}), ("rf", dict(numTrees=20, maxDepth=6)), ("gbt", SMALL_GBT)):
-        sc = forecast.cross_validate(df, FEATURES, kind, folds, **params).withColumn("model", F.lit(kind))
-        out = sc if out is None else out.unionByName(sc)
-    return forecast.fold_summary(out, key="model")
+    """Families on the selected features, and boosted trees on the 14- and
+    21-lag sets too, one-hot and with the city as a category."""
+    trees = {"gbt": dict(kind="gbt", **SMALL_GBT), "gbt_city_categorical": dict(kind="gbt", categorical_native=True, **SMALL_GBT)}
+    families = {"linear": dict(kind="linear"), "rf": dict(kind="rf", numTrees=20, maxDepth=6), **trees}
+    out = forecast.model_comparison({"custom": (features_ckpt(spark, d), FEATURES)}, families)
+    for approach in ("all_lags_14", "all_lags_21"):
+        cfg = pp.with_approach(config.PreprocessConfig(), approach)
+        rows = pp.preprocess_train(readings(spark, d), weather(spark, d), cfg).checkpoint(eager=True)
+        out = out.unionByName(forecast.model_comparison({approach: (rows, list(cfg.features))}, trees))
+    return forecast.fold_summary(out, key=["feature_set", "model"])
 
 
 @register("categorical_native")
@@ -134,17 +157,38 @@ def q_param_search(spark, d):
 
 # --- flows -------------------------------------------------------------------
 
-def _bootstrapped(spark, d):
+def _sources(spark, d):
+    days = lambda df: lambda start, end: df.filter(F.col("date").between(F.lit(start), F.lit(end)))
+    return flows.Sources(airqual=days(readings(spark, d)), weather=days(weather(spark, d)))
+
+
+def _trained(spark, d):
+    """A workspace with a champion fitted on the days before the reference window."""
     ws = flows.Workspace(scratch_path(spark, "flows"))
-    flows.bootstrap_train(spark, ws, _train(spark, d), FEATURES, "gbt", **SMALL_GBT)
-    flows.bootstrap_eval(spark, ws, _reference_rows(spark, d))
+    lo, hi = _reference_window(spark, d)
+    first = weather(spark, d).agg(F.min("date")).first()[0]
+    flows.bootstrap_train_flow(spark, ws, _sources(spark, d), first, lo - dt.timedelta(days=1), FEATURES, "gbt", **SMALL_GBT)
+    return ws, lo, hi
+
+
+def _bootstrapped(spark, d):
+    ws, lo, hi = _trained(spark, d)
+    flows.bootstrap_eval_flow(spark, ws, _sources(spark, d), lo, hi)
     return ws
 
 
-@register("bootstrap_train")
+REFERENCE_START = {"refstart": "SELECT CAST(batch_start - 42 AS DATE) AS lo FROM sched WHERE batch = 1"}
+
+
+@register(
+    "bootstrap_train",
+    with_ctes("""
+SELECT '1' AS model_version, min(date) AS train_start, max(date) AS train_end, CAST(NULL AS DATE) AS eval_start,
+  CAST(NULL AS DATE) AS eval_end, CAST(NULL AS DOUBLE) AS reference_rmse, 'champion' AS alias FROM full_train_w""",
+              "full_eval", extra={**SCHED_CTES, **REFERENCE_START, **windowed("w", "train", "date < (SELECT lo FROM refstart)")}),
+)
 def q_bootstrap_train(spark, d):
-    ws = flows.Workspace(scratch_path(spark, "flows"))
-    flows.bootstrap_train(spark, ws, _train(spark, d), FEATURES, "gbt", **SMALL_GBT)
+    ws, _, _ = _trained(spark, d)
     return storage.read_table(spark, ws.models)
 
 
@@ -154,9 +198,9 @@ def q_bootstrap_eval(spark, d):
 
 
 def _step(spark, d, ws):
-    ev, tr = features_ckpt(spark, d, "eval"), features_ckpt(spark, d)
-    sc = schedule(spark, d, ev).checkpoint(eager=True)
-    return lambda b: flows.periodic_step(spark, ws, ev, tr, sc, b, FEATURES, "gbt", **SMALL_GBT)
+    sources = _sources(spark, d)
+    sc = schedule(spark, d).checkpoint(eager=True)
+    return lambda b: flows.periodic_flow(spark, ws, sources, sc, b, FEATURES, "gbt", **SMALL_GBT)
 
 
 @register("periodic_step")

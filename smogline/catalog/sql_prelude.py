@@ -8,6 +8,8 @@ plain ANSI SQL (DuckDB dialect), independent of the Spark code.
 
 from __future__ import annotations
 
+import re
+
 CTE = {}
 
 CTE["geo"] = """
@@ -230,6 +232,18 @@ def _order(names: list[str]) -> list[str]:
     return out
 
 
+def windowed(tag: str, mode: str, where: str) -> dict[str, str]:
+    """The chain down to ``full_<mode>`` over the raw rows that meet ``where``
+    only: every CTE once more, its name ended by ``_<tag>``."""
+    chain = [n for n in _order([f"full_{mode}"]) if n not in ("geo", "wday", "spine", "wjoin")]
+    out = {}
+    for n in chain:
+        body = f"SELECT * FROM {n} WHERE {where}" if n in ("readings", "weather") else re.sub(
+            r"\b(" + "|".join(chain) + r")\b", lambda m: f"{m[1]}_{tag}", CTE[n])
+        out[f"{n}_{tag}"] = body
+    return out
+
+
 def with_ctes(body: str, *needs: str, extra: dict[str, str] | None = None) -> str:
     """``WITH`` clause of the needed fixture CTEs (plus ``extra`` ones, in
     the given order, after them) followed by ``body``."""

@@ -103,12 +103,12 @@ def baseline_crossval(df: DataFrame, folds: DataFrame | None = None) -> DataFram
     return wide.selectExpr("fold", f"stack({len(BASELINES)}, {parts}) AS (baseline, rmse)")
 
 
-def fold_summary(scores: DataFrame, key: str = "baseline") -> DataFrame:
+def fold_summary(scores: DataFrame, key: str | list[str] = "baseline") -> DataFrame:
     """Mean and population std of fold scores per model/baseline."""
     aggs = [F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse")]
     if "fit_seconds" in scores.columns:
         aggs.append(F.avg("fit_seconds").alias("mean_fit_seconds"))
-    return scores.groupBy(key).agg(*aggs)
+    return scores.groupBy(*([key] if isinstance(key, str) else key)).agg(*aggs)
 
 
 # --- MLlib models -------------------------------------------------------------
@@ -188,38 +188,38 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select("city", "date", "target", F.col("prediction").alias("y_pred"))
 
 
+EVAL_MODES = ("test_set", "fresh_batch")
+
+
+def check_mode(mode: str) -> str:
+    if mode not in EVAL_MODES:
+        raise ValueError(f"mode must be one of {EVAL_MODES}, got {mode!r}")
+    return mode
+
+
 def evaluate_model(model: PipelineModel, df: DataFrame) -> DataFrame:
     """One row: RMSE in log space."""
     return predict(model, df).agg(rmse_col("target", "y_pred").alias("rmse"))
 
 
-def model_comparison(df: DataFrame, features: list[str], kinds=("linear", "rf", "gbt"), folds: DataFrame | None = None,
-                     n_folds: int | None = None, **params) -> DataFrame:
-    """Fold scores of several model families: (model, fold, rmse, fit_seconds).
+def model_comparison(sets: dict[str, tuple[DataFrame, list[str]]], kinds: dict[str, dict]) -> DataFrame:
+    """Fold scores of model families on several feature sets: (feature_set, model, fold, rmse).
 
-    Each fit is a distributed MLlib job; the loop only sequences them.
+    ``sets``: name -> (rows, features).  ``kinds``: name -> arguments of
+    ``cross_validate``, its ``kind`` among them.  Each fit is a distributed
+    MLlib job; the loop only sequences them.
     """
-    spark = df.sparkSession
-    folds = time_folds(df) if folds is None else folds
-    if categorical_native:
-        params.setdefault("maxBins", city_bins(df))
-    bounds = {(r["fold"], r["role"]): (r["start"], r["end"]) for r in folds.collect()}  # ≤ 2·n_folds rows
-    fold_ids = sorted({f for f, _ in bounds})
-    if n_folds:
-        fold_ids = fold_ids[-n_folds:]
-    rows = []
-    for kind in kinds:
-        for f in fold_ids:
-            tr = bounds.get((f, "train"))
-            te = bounds[(f, "test")]
-            if tr is None:
-                continue
-            train = df.filter(F.col("date").between(tr[0], tr[1]))
-            test = df.filter(F.col("date").between(te[0], te[1]))
-            model, secs = train_model(train, features, kind, **params.get(kind, {}))
-            score = evaluate_model(model, test).first()["rmse"]
-            rows.append((kind, int(f), float(score), float(secs)))
-    return spark.createDataFrame(rows, "model string, fold long, rmse double, fit_seconds double")
+    out = None
+    for set_name, (df, features) in sets.items():
+        folds = time_folds(df).cache()
+        for name, params in kinds.items():
+            scores = cross_validate(df, features, folds=folds, **params).select(
+                F.lit(set_name).alias("feature_set"), F.lit(name).alias("model"), "fold", "rmse")
+            out = scores if out is None else out.unionByName(scores)
+        folds.unpersist()
+    if out is None:
+        raise ValueError("nothing to compare")
+    return out
 
 
 def feature_importances(model: PipelineModel, features: list[str]) -> DataFrame:

@@ -42,6 +42,36 @@ def test_bootstrap_and_periodic_steps(spark):
     assert flows.next_batch(spark, ws, sched) == 3
 
 
+def test_flows_build_each_window_from_its_own_days(spark):
+    import datetime as dt
+
+    import pytest
+
+    r, w = fixtures.readings(spark, SF01).checkpoint(), fixtures.weather(spark, SF01).checkpoint()
+    between = lambda df: lambda s, e: df.filter(F.col("date").between(F.lit(s), F.lit(e)))
+    sources = flows.Sources(between(r), between(w))
+    sched = monitoring.batch_schedule(w.select("date")).checkpoint()
+    one = sched.filter("batch = 1").first()
+    lo, day = one.batch_start - dt.timedelta(config.BATCH_DAYS), dt.timedelta(1)
+    ws, feats = flows.Workspace(scratch_path(spark, "t-flows")), list(config.SELECTED_FEATURES)
+    assert flows.bootstrap_train_flow(spark, ws, sources, one.train_start, lo - day, feats, "ridge") == "1"
+    # the last training day has no next day in its window, so no target
+    assert storage.read_table(spark, ws.models).first().train_end == lo - 2 * day
+    with pytest.raises(ValueError):
+        flows.bootstrap_eval(spark, ws, w, mode="other")
+    assert flows.bootstrap_eval_flow(spark, ws, sources, lo, one.train_end) > 0
+    assert not flows.ingest_window(spark, ws, sources, lo, one.train_end)  # held already
+    assert flows.ingest_window(spark, ws, sources, lo, one.train_end, force=True)
+    assert storage.read_table(spark, ws.raw("weather")).count() == w.filter(F.col("date") <= F.lit(one.train_end)).count()
+    out = flows.periodic_flow(spark, ws, sources, sched, 1, feats, "ridge")
+    assert flows.periodic_flow(spark, ws, sources, sched, 1, feats, "ridge")["champion_rmse"] == out["champion_rmse"]
+    logged = storage.read_table(spark, ws.predictions)
+    assert logged.agg(F.max("date")).first()[0] == one.batch_end - day
+    days = {x.n for x in logged.groupBy("city").agg(F.countDistinct("date").alias("n")).collect()}
+    assert max(days) == config.BATCH_DAYS - 1
+    assert storage.read_table(spark, ws.models).filter("alias = 'champion'").count() == 1
+
+
 def test_trees_take_more_cities_than_default_bins(spark):
     import datetime as dt
 
