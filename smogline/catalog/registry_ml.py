@@ -183,13 +183,14 @@ REFERENCE_START = {"refstart": "SELECT CAST(batch_start - 42 AS DATE) AS lo FROM
 @register(
     "bootstrap_train",
     with_ctes("""
-SELECT '1' AS model_version, min(date) AS train_start, max(date) AS train_end, CAST(NULL AS DATE) AS eval_start,
-  CAST(NULL AS DATE) AS eval_end, CAST(NULL AS DOUBLE) AS reference_rmse, 'champion' AS alias FROM full_train_w""",
+SELECT '1' AS model_version, min(date) AS train_start, max(date) AS train_end, CAST(NULL AS VARCHAR) AS eval_start,
+  CAST(NULL AS VARCHAR) AS eval_end, CAST(NULL AS DOUBLE) AS reference_rmse, 'champion' AS alias FROM full_train_w""",
               "full_eval", extra={**SCHED_CTES, **REFERENCE_START, **windowed("w", "train", "date < (SELECT lo FROM refstart)")}),
 )
 def q_bootstrap_train(spark, d):
     ws, _, _ = _trained(spark, d)
-    return storage.read_table(spark, ws.models)
+    # not evaluated yet: both days are null
+    return storage.read_table(spark, ws.models).withColumns({c: F.col(c).cast("string") for c in ("eval_start", "eval_end")})
 
 
 @register("bootstrap_eval")
