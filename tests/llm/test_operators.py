@@ -263,6 +263,13 @@ def test_html_induced_wrapper(spark):
     assert html_extract.align('["a",["b"],["c",["d"]]]', '["a",["x"],["c",["e"],["d"]]]') == {0: 0, 2: 2, 4: 3}
 
 
+def test_html_deep_pages(spark):
+    deep = ["<body>" + x * 5000 + "end" for x in ("<font>", "<div>", "<span><div class=a>")] + ["<article>" + "<div>" * 3000 + "<p>one<p>two"]
+    pages = spark.createDataFrame([(i, "http://deep.example/", x) for i, x in enumerate(deep)], "page_id long, url string, html string")
+    got = {r["_q_0"]: r["_q_text"] for r in html_extract.extract(pages, "url", "html").collect()}
+    assert got == {0: "end", 1: "end", 2: "end", 3: "one\n\ntwo"}
+
+
 def brute_simhash(text):
     w = tokens(lower(text))
     s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
