@@ -270,6 +270,24 @@ def test_html_deep_pages(spark):
     assert got == {0: "end", 1: "end", 2: "end", 3: "one\n\ntwo"}
 
 
+def extracted(spark, hosts):
+    """Texts of the pages of some hosts."""
+    rows = [(f"{host}{i}", f"http://{host}/{i}", x) for host, pages in hosts.items() for i, x in enumerate(pages)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id string, url string, html string"), "url", "html").collect()
+    return {r["_q_0"]: r["_q_text"] for r in got}
+
+
+def test_html_induced_keeps_all_slots_and_copies(spark):
+    page = "<body><div class=top>Site</div><h1>Title {0}</h1><div class=lead>Lead {0} of it</div><div class=content><p>" + "Long text {0}. " * 40 + "</p><p>End {0}</p></div><div class=legal>Legal</div></body>"
+    body = [" ".join(["Long text {0}."] * 40).format(i) for i in range(6)]
+    got = extracted(spark, {"slots": [page.format(i) for i in range(6)], "copies": [page.format(1)] * 5, "few": [page.format(i % 3) for i in range(9)]})
+    for i in range(6):
+        assert got[f"slots{i}"] == f"Title {i}\n\nLead {i} of it\n\n{body[i]}\n\nEnd {i}"
+    # copies prove no constant: everything stays
+    assert {got[f"copies{i}"] for i in range(5)} == {f"Site\n\nTitle 1\n\nLead 1 of it\n\n{body[1]}\n\nEnd 1\n\nLegal"}
+    assert all(got[f"few{i}"].startswith(f"Site\n\nTitle {i % 3}") for i in range(9))
+
+
 def brute_simhash(text):
     w = tokens(lower(text))
     s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
