@@ -288,6 +288,17 @@ def test_html_induced_keeps_all_slots_and_copies(spark):
     assert all(got[f"few{i}"].startswith(f"Site\n\nTitle {i % 3}") for i in range(9))
 
 
+def test_html_constants_inside_article(spark):
+    page = "<body><nav>n</nav><article><h1>Title {0}</h1><p>Text {0} of this page.</p><div class=box7>Read our terms.</div><p>More {0}.</p></article></body>"
+    got = extracted(spark, {"host": [page.format(i) for i in range(6)] + [page.format(0)] * 6, "copies": [page.format(1)] * 5,
+                            "counter": [page.format(1).replace("</article>", f"<i>{i}</i></article>") for i in range(5)]})
+    for i in range(12):
+        assert got[f"host{i}"] == "Title {0}\n\nText {0} of this page.\n\nMore {0}.".format(i if i < 6 else 0)
+    assert {got[f"copies{i}"] for i in range(5)} == {"Title 1\n\nText 1 of this page.\n\nRead our terms.\n\nMore 1."}
+    # one article fetched again with another count of views is no template
+    assert {got[f"counter{i}"] for i in range(5)} == {f"Title 1\n\nText 1 of this page.\n\nRead our terms.\n\nMore 1.\n\n{i}" for i in range(5)}
+
+
 def brute_simhash(text):
     w = tokens(lower(text))
     s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
