@@ -299,6 +299,19 @@ def test_html_constants_inside_article(spark):
     assert {got[f"counter{i}"] for i in range(5)} == {f"Title 1\n\nText 1 of this page.\n\nRead our terms.\n\nMore 1.\n\n{i}" for i in range(5)}
 
 
+def test_html_names_are_one_vote(spark):
+    page = lambda x: html_extract.main_text(html_extract.parse(x), set(), set())
+    for name in ("class=has-sidebar", 'class="content-sidebar-wrap with-nav"', "id=related-work", "class=search-result", "class=widget", "id=social"):
+        assert page(f"<body><div {name}><article><h1>T</h1><p>text of it</article></div>") == "T\n\ntext of it"
+    assert page('<body><article class="post comments-open comments"><p>a</article>') == "a"
+    assert page("<body><form><main><p>text of it</main></form><form>go</form>") == "text of it"
+    assert page("<main><p>long text of it<section id=related-work><p>one</section><div class=related><p>x</div></main>") == "long text of it\n\none"
+    assert page("<main><p>text of the page<div class=promo><article>a</article></div></main>") == "text of the page\n\na"
+    body = "<body><div class=top>Site</div><div class=widget><p>Varying text {0} of the page.</p></div><div class=comments><p>nice {0}</p></div></body>"
+    got = extracted(spark, {"host": [body.format(i) for i in range(5)]})
+    assert {got[f"host{i}"] for i in range(5)} == {f"Varying text {i} of the page." for i in range(5)}
+
+
 def brute_simhash(text):
     w = tokens(lower(text))
     s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
