@@ -10,8 +10,10 @@ text's code length under a language is the exact sum over all its bytes
 Training sample (documented bound): per label at most ``docs_per_label``
 distinct texts of at most ``max_doc_bytes`` bytes each, chosen by a hash.
 Copies of one text count once and are dropped before anything reaches the
-driver, so no group of copies fills the sample.  A label that has longer texts
-only is not learned.  Only text and label are learned from.  Scoring reads
+driver, so no group of copies fills the sample.  A label with fewer such texts
+also takes whole longer ones, by hash, while all its texts stay within
+``label_bytes``; a label whose every text is above that learns from that much
+of its shortest one.  Only text and label are learned from.  Scoring reads
 every whole text.
 
 For speed the trees of all labels share one automaton: a state is the longest
@@ -20,7 +22,7 @@ for many 256-byte segments at once.  A segment starts in the state reached
 after the ``order`` bytes before it, which is the state of the whole text
 there, so cutting changes nothing.
 
-Broadcast bound: contexts <= docs_per_label * max_doc_bytes * labels * order;
+Broadcast bound: contexts <= (docs_per_label * max_doc_bytes + label_bytes) * labels * order;
 a table holds (contexts x byte classes x labels) floats of a sample of that
 bound, independent of the number of documents.
 
@@ -44,6 +46,7 @@ from .common import chunks, held_out, table, tune
 ORDER = 3
 DOCS_PER_LABEL = 400
 MAX_DOC_BYTES = 32_768
+LABEL_BYTES = 4 << 20
 UNKNOWN = "und"
 SEGMENT = 256
 
@@ -141,26 +144,55 @@ def code_lengths(trees: ContextTrees, texts: list[bytes]) -> np.ndarray:
 
 
 def learn(docs: DataFrame, text: str, label: str, training: Column, order: int = ORDER,
-          docs_per_label: int = DOCS_PER_LABEL, max_doc_bytes: int = MAX_DOC_BYTES) -> ContextTrees:
+          docs_per_label: int = DOCS_PER_LABEL, max_doc_bytes: int = MAX_DOC_BYTES, label_bytes: int = LABEL_BYTES) -> ContextTrees:
     """Fit the trees on the bounded sample of ``docs`` where ``training`` holds.
 
     The label column must be a code of few values (languages): one count per
     label comes to the driver.
     """
     rows = docs.select(F.col(text).alias("_q_text"), F.col(label).cast("string").alias("_q_label"), training.alias("_q_train"))
-    rows = rows.where(F.col("_q_train") & F.col("_q_label").isNotNull() & F.octet_length("_q_text").between(1, max_doc_bytes))
-    rows = rows.withColumn("_q_key", F.xxhash64("_q_text"))
-    counts = {r["_q_label"]: max(1, r["n"]) for r in rows.groupBy("_q_label").agg(F.approx_count_distinct("_q_key").alias("n")).collect()}
-    if not counts:
-        return fit({}, order)
-    # a share of each label's distinct texts by hash, twice what is kept; the exact cut follows on the driver
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * docs_per_label / n)))])
-    some = rows.where((F.pmod(F.col("_q_key"), F.lit(1_000_003)) / 1_000_003.0) < F.element_at(share, F.col("_q_label")))
-    some = some.groupBy("_q_label", "_q_key").agg(F.min("_q_text").alias("_q_text"))
-    kept: dict[str, list] = {k: [] for k in counts}
-    for r in some.select("_q_label", "_q_key", F.col("_q_text").cast("binary").alias("_q_text")).toLocalIterator():
-        kept[r["_q_label"]].append((r["_q_key"], bytes(r["_q_text"])))
-    return fit({k: [x for _, x in sorted(v)[:docs_per_label]] for k, v in kept.items() if v}, order)
+    rows = rows.where(F.col("_q_train") & F.col("_q_label").isNotNull() & (F.octet_length("_q_text") > 0))
+    rows = rows.withColumns({"_q_key": F.xxhash64("_q_text"), "_q_size": F.octet_length("_q_text")})
+    short = F.col("_q_size") <= max_doc_bytes
+    found = rows.groupBy("_q_label").agg(*[F.approx_count_distinct(F.when(x, F.col("_q_key"))).alias(n) for n, x in (("short", short), ("long", ~short))]).collect()
+
+    def some(which: Column, counts: dict[str, int]) -> DataFrame:
+        """A share of each label's distinct texts by hash, twice what is kept; the exact cut follows on the driver."""
+        share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * docs_per_label / max(1, n))))])
+        return rows.where(which & ((F.pmod(F.col("_q_key"), F.lit(1_000_003)) / 1_000_003.0) < F.element_at(share, F.col("_q_label"))))
+
+    kept: dict[str, list] = {r["_q_label"]: [] for r in found}
+    counts = {r["_q_label"]: r["short"] for r in found if r["short"]}
+    if counts:
+        texts = some(short, counts).groupBy("_q_label", "_q_key").agg(F.min("_q_text").alias("_q_text"))
+        for r in texts.select("_q_label", "_q_key", F.col("_q_text").cast("binary").alias("_q_text")).toLocalIterator():
+            kept[r["_q_label"]].append((r["_q_key"], bytes(r["_q_text"])))
+    kept = {k: sorted(v)[:docs_per_label] for k, v in kept.items()}
+    counts = {r["_q_label"]: r["long"] for r in found if r["long"] and len(kept[r["_q_label"]]) < docs_per_label}
+    if counts:
+        sizes = some(~short, counts).groupBy("_q_label", "_q_key").agg(F.min("_q_size").alias("n")).collect()
+        chosen: list[tuple[str, int]] = []
+        for k in counts:
+            own = sorted((r["_q_key"], r["n"]) for r in sizes if r["_q_label"] == k)
+            room, places = label_bytes - sum(len(x) for _, x in kept[k]), docs_per_label - len(kept[k])
+            fit_in = []
+            for key, n in own:
+                if n <= room and len(fit_in) < places:
+                    fit_in.append(key)
+                    room -= n
+            if own and not kept[k] and not fit_in:
+                fit_in = [min(own, key=lambda x: (x[1], x[0]))[0]]
+            chosen += [(k, key) for key in fit_in]
+        if chosen:
+            wanted = docs.sparkSession.createDataFrame(chosen, "_q_label string, _q_key long")
+            whole = rows.where(~short).join(F.broadcast(wanted), ["_q_label", "_q_key"]).groupBy("_q_label", "_q_key").agg(F.min("_q_text").alias("_q_text"))
+            for r in whole.select("_q_label", "_q_key", F.substring(F.col("_q_text").cast("binary"), 1, label_bytes).alias("_q_text")).toLocalIterator():
+                kept[r["_q_label"]].append((r["_q_key"], bytes(r["_q_text"])))
+    return fit({k: [x for _, x in sorted(v)] for k, v in kept.items() if v}, order)
+
+
+def _letter(text: str) -> Column:
+    return F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
 
 
 def predict(docs: DataFrame, text: str, trees: ContextTrees, pred: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -169,7 +201,7 @@ def predict(docs: DataFrame, text: str, trees: ContextTrees, pred: str = "lang_p
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     source = docs.select(*[F.col(f"`{c}`").alias(f"_q_{i}") for i, c in enumerate(docs.columns)],
                          F.col(f"`{text}`").alias("_q_text"),
-                         F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("_q_letter"))
+                         _letter(text).alias("_q_letter"))
     keep = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +234,9 @@ def op7_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents whose language cannot be told (no letter at all) go."""
+    """Pipeline stage: documents whose language cannot be told (no letter at all) go.
+    Where nothing was learned, that no label fits says nothing about a document."""
     trees = learn(docs, "text", "lang", ~held_out(F.col("doc_id"), 0))
+    if not trees.labels:
+        return docs.where(_letter("text"))
     return predict(docs, "text", trees, "_q_lang_pred", "_q_lang_score").where(F.col("_q_lang_pred") != UNKNOWN).drop("_q_lang_pred", "_q_lang_score")

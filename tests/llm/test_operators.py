@@ -166,6 +166,19 @@ def test_language_id_learns_copies_once(spark):
     assert few.labels == many.labels == ["en", "fr"] and (few.bits == many.bits).all() and (few.step == many.step).all()
 
 
+def test_language_id_learns_long_texts_and_keeps_without_labels(spark):
+    en = [(i, f"stone river window number {i} of the garden", "en") for i in range(40)]
+    fr = [(100 + i, f"une petite école où l'élève {i} étudie " * 60, "fr") for i in range(8)]
+    docs = spark.createDataFrame(en + fr, "doc_id long, text string, lang string")
+    learn = lambda **k: language_id.learn(docs, "text", "lang", F.lit(True), docs_per_label=50, max_doc_bytes=1000, **k)
+    for trees in (learn(), learn(label_bytes=6000), learn(label_bytes=1500)):  # all long texts, some, a part of the shortest
+        assert trees.labels == ["en", "fr"]
+        got = language_id.predict(docs, "text", trees).collect()
+        assert all(r["lang"] == r["lang_pred"] for r in got)
+    bare = spark.createDataFrame([(1, "stone river", None), (2, "12 !", None), (3, None, None), (4, "été", None)], "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in language_id.stage(spark, bare, "").collect()) == [1, 4]
+
+
 def test_token_counts_and_splices(spark, odd_documents):
     path = str(public_tokenizers.path("word_bpe_49k.json"))
     tokenizer, _ = token_counts.load(open(path, encoding="utf-8").read())
