@@ -19,8 +19,9 @@ which no frequent token can fill.
 
 The filter grows with the corpus.  It is broadcast in groups of buckets of at
 most ``MAX_FILTER_BYTES`` each (the bound); each further group is a further
-pass over the texts.  The unigram filter, which grows with the vocabulary
-only, is needed in every pass, and refused above the same bound.
+pass over the texts.  The unigram filter is needed in every pass.  Above the
+bound it goes in groups as well: a pass for each notes the levels of its tokens
+beside the texts, one byte a token, and the later passes read them there.
 
 Tokens are compared by 64-bit hashes.  Defined results: a null or empty text
 is its end token alone; a null id counts as the empty text when ids are
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +169,10 @@ class Filter:
 
     def count(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated counts, and which n-grams belong to these buckets at all."""
+        level, mine = self.level(h)
+        return meant(level, self.base), mine
+
+    def level(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self._bits is None:
             self._bits = np.frombuffer(b"".join(self.parts), np.uint8)
             sizes = np.array([len(x) for x in self.parts], np.int64)
@@ -189,7 +195,7 @@ class Filter:
             left, g, size, at = left[met], g[met], z, a
             level[left] = j
             j += 1
-        return meant(level, self.base), mine
+        return level, mine
 
 
 @dataclass
@@ -201,7 +207,7 @@ class Model:
     texts: int
     heavy: np.ndarray  # sorted hashes
     heavy_n: np.ndarray
-    one: Filter
+    one: Filter | None  # none: the levels stand beside the texts
     two: Filter
 
 
@@ -268,12 +274,17 @@ def _filters(trained: DataFrame, kind: int, buckets: int, limit: int) -> Iterato
         yield Filter(BASE[kind], buckets, first, [found.get(b, bytes(8)) for b in range(first, end)])
 
 
-def probabilities(model: Model, tokens: Tokens) -> np.ndarray:
+def probabilities(model: Model, tokens: Tokens, level: np.ndarray | None = None) -> np.ndarray:
     """log10 probabilities; 0 for a token whose pair is of another group of buckets."""
     both, mine = model.two.count(tokens.pairs())
-    single = model.one.count(tokens.kinds)[0]
-    flat = ((1 - MIX) * (single + 0.5) / (model.tokens + 0.5 * (model.kinds + 1)))[tokens.code]
-    ctx = tokens.before(single, float(model.texts))
+    share = lambda single: (1 - MIX) * (single + 0.5) / (model.tokens + 0.5 * (model.kinds + 1))
+    if level is None:
+        single = model.one.count(tokens.kinds)[0]
+        flat, ctx = share(single)[tokens.code], tokens.before(single, float(model.texts))
+    else:
+        single = meant(level.astype(np.int64), BASE[1])
+        flat, ctx = share(single), np.concatenate([[0.0], single[:-1]])
+        ctx[tokens.at[:-1]] = float(model.texts)
     seen = ctx > 0
     given = np.minimum(1.0, np.divide(both, ctx, out=np.zeros(len(both)), where=seen))
     p = np.where(seen, MIX * given + flat, flat / (1 - MIX))
@@ -295,13 +306,17 @@ def score(docs: DataFrame, text: str, training: Column, max_filter_bytes: int =
     hh = np.concatenate([np.zeros(0, np.uint64)] + [np.frombuffer(bytes(r["heavy_h"]), np.uint64) for r in heavy])
     hn = np.concatenate([np.zeros(0, np.int64)] + [np.frombuffer(bytes(r["heavy_n"]), np.int64) for r in heavy])
     order = np.argsort(hh)
-    one = list(_filters(trained, 1, buckets[1], max_filter_bytes))
-    if len(one) > 1:
-        raise ValueError("the unigram filter is above max_filter_bytes: give more")
-    model = lambda two: spark.sparkContext.broadcast(Model(total["n"] or 0, total["v"] or 0, learn_count, hh[order], hn[order], one[0], two))
+    ones = _filters(trained, 1, buckets[1], max_filter_bytes)
+    one, later = next(ones), next(ones, None)
+    model = lambda two: spark.sparkContext.broadcast(Model(total["n"] or 0, total["v"] or 0, learn_count, hh[order], hn[order], one, two))
     learn_count = learn.count()
 
     rows = rows.drop("_q_train").withColumns({"_q_row": F.monotonically_increasing_id(), "_q_score": F.lit(0.0)})
+    if later is not None:
+        rows = rows.withColumn("_q_level", F.lit(b""))
+        for group in chain((one, later), ones):
+            rows = stored(rows.mapInArrow(_levels(spark.sparkContext.broadcast(group)), rows.schema), "lm-pass")
+        one = later = group = None
     groups = _filters(trained, 2, buckets[2], max_filter_bytes)
     held = next(groups)
     for later in groups:  # every group but the last: a pass of its own
@@ -339,11 +354,29 @@ def _per_text(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, at[:-1]) if len(at) > 1 else np.zeros(0)
 
 
+def _noted(part: pa.Table) -> np.ndarray | None:
+    """The levels noted beside the texts, if they are: one byte a token."""
+    return np.frombuffer(b"".join(part.column("_q_level").to_pylist()), np.uint8) if "_q_level" in part.column_names else None
+
+
+def _levels(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches, "_q_text", PIECE_BYTES):
+            tokens, noted = hashed(texts), _noted(part)
+            level = shared.value.level(tokens.kinds)[0].astype(np.uint8)[tokens.code]
+            if len(noted):  # a token is of one group only
+                level += noted
+            column = pa.array([level[a:b].tobytes() for a, b in zip(tokens.at[:-1], tokens.at[1:])], pa.binary())
+            yield from part.set_column(part.schema.get_field_index("_q_level"), "_q_level", column).combine_chunks().to_batches()
+
+    return run
+
+
 def _partial(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "_q_text", PIECE_BYTES):
             tokens = hashed(texts)
-            value = part.column("_q_score").to_numpy() + _per_text(probabilities(shared.value, tokens), tokens.at)
+            value = part.column("_q_score").to_numpy() + _per_text(probabilities(shared.value, tokens, _noted(part)), tokens.at)
             yield from part.set_column(part.schema.get_field_index("_q_score"), "_q_score", pa.array(value)).combine_chunks().to_batches()
 
     return run
@@ -359,7 +392,7 @@ def _final(shared, names: list[str], kinds: list[pa.DataType], buckets: int):
         for part, texts in chunks(batches, "_q_text", PIECE_BYTES):
             tokens = hashed(texts)
             row = part.column("_q_row").to_numpy()
-            value = part.column("_q_score").to_numpy() + _per_text(probabilities(model, tokens), tokens.at)
+            value = part.column("_q_score").to_numpy() + _per_text(probabilities(model, tokens, _noted(part)), tokens.at)
             easy, gain = np.zeros(len(tokens.kinds), bool), np.zeros(len(tokens.kinds))
             if len(model.heavy):
                 spot = np.minimum(np.searchsorted(model.heavy, tokens.kinds), len(model.heavy) - 1)

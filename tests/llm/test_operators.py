@@ -158,6 +158,20 @@ def test_mixing_swaps_documents_in_small_sources(spark):
     assert all(abs(taken[s] - t) <= 0.01 * t for s, t in target.items())
 
 
+def test_lm_unigram_filter_in_groups(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    scores = lambda **k: {r["_q_0"]: (r["_q_score"], r["_q_base"], r["_q_known"]) for r in lm_score.score(docs, "text", F.col("doc_id") % 3 != 0, **k).collect()}
+    monkeypatch.setitem(lm_score.BUCKET_TOKENS, 1, 20_000)
+    monkeypatch.setitem(lm_score.BUCKET_TOKENS, 2, 20_000)
+    one = scores()
+    passes, levels = [], lm_score._levels
+    monkeypatch.setattr(lm_score, "_levels", lambda shared: passes.append(1) or levels(shared))
+    many = scores(max_filter_bytes=4_000)
+    assert len(passes) > 1 and one.keys() == many.keys()
+    for i in one:
+        assert many[i] == pytest.approx(one[i], rel=1e-9)
+
+
 def test_language_id_learns_copies_once(spark):
     texts = [(i, f"stone river window number {i} of the garden", "en") for i in range(40)] + [(100 + i, f"une petite école où l'élève {i} étudie", "fr") for i in range(40)]
     hot = texts + [(1000 + i, "copied text of the table", "en") for i in range(3000)]
