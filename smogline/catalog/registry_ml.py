@@ -1,9 +1,8 @@
 """Registered MLlib, flow and streaming queries (rows-only checks: model
 fits and streams have no SQL equivalent).
 
-Model sizes here are modest (boosted trees of 20 rounds, depth 4) so that
-every registered query finishes quickly on the check data; the library
-defaults live in ``config.GBT_PARAMS``.
+Every model has the library's own settings (``config.GBT_PARAMS``, and the
+defaults of ``forecast.make_regressor``).
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from .registry import SCHED_CTES, events, full, readings, register, schedule, we
 from .sql_prelude import windowed, with_ctes
 
 FEATURES = list(config.SELECTED_FEATURES)
-SMALL_GBT = dict(maxIter=20, maxDepth=4)
 
 
 def features_ckpt(spark, d, mode="train"):
@@ -104,8 +102,8 @@ def q_evaluate_model(spark, d):
 def q_model_comparison(spark, d):
     """Families on the selected features, and boosted trees on the 14- and
     21-lag sets too, one-hot and with the city as a category."""
-    trees = {"gbt": dict(kind="gbt", **SMALL_GBT), "gbt_city_categorical": dict(kind="gbt", categorical_native=True, **SMALL_GBT)}
-    families = {"linear": dict(kind="linear"), "rf": dict(kind="rf", numTrees=20, maxDepth=6), **trees}
+    trees = {"gbt": dict(kind="gbt"), "gbt_city_categorical": dict(kind="gbt", categorical_native=True)}
+    families = {"linear": dict(kind="linear"), "rf": dict(kind="rf"), **trees}
     out = forecast.model_comparison({"custom": (features_ckpt(spark, d), FEATURES)}, families)
     for approach in ("all_lags_14", "all_lags_21"):
         cfg = pp.with_approach(config.PreprocessConfig(), approach)
@@ -117,7 +115,7 @@ def q_model_comparison(spark, d):
 @register("categorical_native")
 def q_categorical_native(spark, d):
     df = features_ckpt(spark, d)
-    sc = forecast.cross_validate(df, FEATURES, "gbt", categorical_native=True, **SMALL_GBT)
+    sc = forecast.cross_validate(df, FEATURES, "gbt", categorical_native=True)
     return forecast.fold_summary(sc.withColumn("model", F.lit("gbt_city_categorical")), key="model")
 
 
@@ -146,13 +144,12 @@ def q_rank_features(spark, d):
 def q_topk_sweep(spark, d):
     feats = features_ckpt(spark, d)
     ranked = [r["feature"] for r in _ranked(spark, d, feats).collect()]
-    return forecast.topk_sweep(feats, ranked, kind="ridge")
+    return forecast.topk_sweep(feats, ranked, kind="gbt")
 
 
 @register("param_search")
 def q_param_search(spark, d):
-    grid = [dict(maxIter=20, maxDepth=md, stepSize=lr) for md in (3, 5) for lr in (0.05, 0.1)]
-    return forecast.param_search(features_ckpt(spark, d), FEATURES, grid)
+    return forecast.param_search(features_ckpt(spark, d), FEATURES, forecast.sample_params(config.SEARCH_TRIALS))
 
 
 # --- flows -------------------------------------------------------------------
@@ -167,7 +164,7 @@ def _trained(spark, d):
     ws = flows.Workspace(scratch_path(spark, "flows"))
     lo, hi = _reference_window(spark, d)
     first = weather(spark, d).agg(F.min("date")).first()[0]
-    flows.bootstrap_train_flow(spark, ws, _sources(spark, d), first, lo - dt.timedelta(days=1), FEATURES, "gbt", **SMALL_GBT)
+    flows.bootstrap_train_flow(spark, ws, _sources(spark, d), first, lo - dt.timedelta(days=1), FEATURES, "gbt")
     return ws, lo, hi
 
 
@@ -201,7 +198,7 @@ def q_bootstrap_eval(spark, d):
 def _step(spark, d, ws):
     sources = _sources(spark, d)
     sc = schedule(spark, d).checkpoint(eager=True)
-    return lambda b: flows.periodic_flow(spark, ws, sources, sc, b, FEATURES, "gbt", **SMALL_GBT)
+    return lambda b: flows.periodic_flow(spark, ws, sources, sc, b, FEATURES, "gbt")
 
 
 @register("periodic_step")

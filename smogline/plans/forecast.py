@@ -9,6 +9,8 @@ cut-off rows.  Every fold and every baseline is scored in one aggregation.
 
 from __future__ import annotations
 
+import math
+import random
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -327,6 +329,21 @@ def topk_sweep(df: DataFrame, ranked: list[str], kind: str = "linear", kmin: int
     return spark.createDataFrame(out, "nb_features long, score double, std_score double")
 
 
+def sample_params(trials: int, ranges: dict | None = None, seed: int = config.RANDOM_SEED) -> list[dict]:
+    """Seeded draws from ranges (low, high, log scale); whole numbers where both ends are."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(trials):
+        point = {}
+        for name, (low, high, log) in (ranges or config.SEARCH_RANGES).items():
+            if isinstance(low, int) and isinstance(high, int):
+                point[name] = rng.randint(low, high)
+            else:
+                point[name] = math.exp(rng.uniform(math.log(low), math.log(high))) if log else rng.uniform(low, high)
+        out.append(point)
+    return out
+
+
 def param_search(df: DataFrame, features: list[str], grid: list[dict], kind: str = "gbt") -> DataFrame:
     """Mean/std fold RMSE per parameter set, best first: (params, score, std_score)."""
     import json
