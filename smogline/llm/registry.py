@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, language_id, license_scan, lm_score, mixing, quality, sharding, simhash, token_counts
+from . import byte_bpe, decontaminate, html_extract, language_id, license_scan, lm_score, mixing, quality, sharding, simhash, token_counts
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_simhash": simhash.op10_simhash,
+    "op12_byte_bpe": byte_bpe.op12_byte_bpe,
 }
 
 # the others are no SQL: fitted models, Bloom filters, a tokenizer library, DOM trees, XXH64 bit votes;
