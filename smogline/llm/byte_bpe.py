@@ -5,15 +5,16 @@ file) with two tables made from a ranks file: ``vocab`` (id, bytes) and
 ``merges`` (left id, right id, merged id), every way to cut a token into two.
 
 Encoding: a text is cut by the pattern; a piece that is a token is that token,
-any other starts as one row per byte, each with the place of the row after it.
-The recursive query joins neighbouring rows with ``merges``, contracts each
+any other starts as one row per byte, keyed by its place.  The recursive query
+joins neighbouring rows with ``merges``, contracts each
 word's leftmost pair of least rank and goes on with the words that changed,
 until no word does.  State is keyed by place, so it never grows beyond the
 bytes it began with.  Words of over ``LONG`` bytes contract, at once, all
 places of their least pair where no younger pair can arise from it (``bulk``:
 no merge with that token has a smaller rank), and else the leftmost only; so
 a text without a break takes few rounds.  Each distinct word of a piece of
-texts is encoded once; a worker remembers at most ``WORDS_KEPT`` words.
+texts is encoded once; a worker remembers about ``WORDS_KEPT`` words, and when
+they are more, it goes on with those that it met in several pieces.
 
 Decoding: token rows join ``vocab``, and an ordered aggregation per document
 gives its bytes.
@@ -46,17 +47,21 @@ LONG = 256
 WORDS_KEPT = 400_000
 PIECE_BYTES = 4 << 20
 SLICE_WORDS = 500_000
+#: words of one recursive query; more fit no longer in the processor's cache
+ROUND_WORDS = 16_000
 
 _ENCODE = """
-WITH RECURSIVE state(place, word, token, after) USING KEY (place) AS (
-  SELECT place, word, token, after FROM bytes
+WITH RECURSIVE state(place, word, token) USING KEY (place) AS (
+  SELECT place, word, token FROM bytes
   UNION
   (WITH live AS (
-     SELECT * FROM recurring.state WHERE token >= 0 AND word IN (SELECT word FROM state)),
-   least AS (
-     SELECT a.word, arg_min({'place': a.place, 'merged': merged, 'gone': b.place, 'after': b.after}, merged::BIGINT << 32 | a.place) AS x
-     FROM live a JOIN live b ON a.after = b.place JOIN merges ON l = a.token AND r = b.token GROUP BY a.word)
-   SELECT x.place, word, x.merged, x.after FROM least UNION ALL SELECT x.gone, word, -1, -1 FROM least)
+     SELECT place, word, token, lead(place) OVER o AS gone, lead(token) OVER o AS next, lead(word) OVER o AS same
+     FROM recurring.state WHERE token >= 0 AND word IN (SELECT word FROM state) WINDOW o AS (ORDER BY place)),
+   pairs AS (
+     SELECT word, merged::BIGINT << 32 | place AS least, gone
+     FROM live JOIN merges ON pair = (token::BIGINT << 32 | next) WHERE word = same),
+   cut AS (SELECT word, min(least) AS least, arg_min(gone, least) AS gone FROM pairs GROUP BY word)
+   SELECT (least & 4294967295)::INTEGER, word, (least >> 32)::INTEGER FROM cut UNION ALL SELECT gone, word, -1 FROM cut)
 )
 SELECT word, token FROM state WHERE token >= 0 ORDER BY place
 """
@@ -70,7 +75,7 @@ WITH RECURSIVE state(place, word, token) USING KEY (place) AS (
      FROM recurring.state WHERE token >= 0 AND word IN (SELECT word FROM state)),
    pairs AS (
      SELECT place, word, merged, bulk, min(merged) OVER (PARTITION BY word) AS least, row_number() OVER (PARTITION BY word ORDER BY place) AS i
-     FROM live LEFT JOIN merges ON l = token AND r = next),
+     FROM live LEFT JOIN merges ON pair = (token::BIGINT << 32 | next)),
    runs AS (
      SELECT *, CASE WHEN merged = least THEN i - row_number() OVER (PARTITION BY word, merged ORDER BY place) END AS run
      FROM pairs WHERE least IS NOT NULL),
@@ -162,28 +167,28 @@ class Codec:
         self.db.register("given", pa.table({"l": left, "r": right, "merged": merged}))
         self.db.execute(
             """CREATE TABLE merges AS
-            SELECT l, r, merged, coalesce(youngest > merged, true) AS bulk FROM given LEFT JOIN (
+            SELECT l::BIGINT << 32 | r AS pair, merged, coalesce(youngest > merged, true) AS bulk FROM given LEFT JOIN (
               SELECT part, min(merged) AS youngest FROM (SELECT l AS part, merged FROM given UNION ALL SELECT r, merged FROM given) GROUP BY part
             ) ON part = merged"""
         )
         self.db.unregister("given")
-        self.forget()
-
-    def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.flat, self.bounds, self.met = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def forget(self, keep: int = 0) -> None:
+        """Forget all words, or all but those met in several pieces, if these are at most ``keep``."""
+        often = np.flatnonzero(self.met > 1) if keep else np.zeros(0, np.int64)
+        often = often if len(often) <= keep else often[:0]
+        names, count = list(self.known), np.diff(self.bounds)[often]
+        self.flat = _ragged(self.flat, self.bounds[often], count)
+        self.known = {names[i]: k for k, i in enumerate(often)}
+        self.bounds, self.met = np.concatenate([[0], np.cumsum(count)]), np.zeros(len(often), np.int64)
 
     def _contract(self, words: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of the words one after another, and how many each has."""
-        if not words:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         size = np.array([len(w) for w in words])
-        n, ends = int(size.sum()), np.cumsum(size)
-        place = np.arange(n, dtype=np.int64)
-        after = place + 1
-        after[ends - 1] = -1
         token = self.byte[np.frombuffer(b"".join(words), np.uint8)]
-        rows = pa.table({"place": place, "word": np.repeat(np.arange(len(words), dtype=np.int32), size), "token": token, "after": after})
+        rows = pa.table({"place": np.arange(len(token), dtype=np.int32), "word": np.repeat(np.arange(len(words), dtype=np.int32), size), "token": token})
         self.db.register("bytes", rows)
         out = self.db.sql(query).to_arrow_table()
         self.db.unregister("bytes")
@@ -197,9 +202,11 @@ class Codec:
             kinds[i] = 0 if w in self.ranks else 1 if len(w) <= LONG else 2
         parts = [np.array([self.ranks[raw[i]] for i in np.flatnonzero(kinds == 0)], np.int32)]
         for kind, query in ((1, _ENCODE), (2, _ENCODE_LONG)):
-            which = np.flatnonzero(kinds == kind)
-            tokens, count[which] = self._contract([raw[i] for i in which], query)
-            parts.append(tokens)
+            every = np.flatnonzero(kinds == kind)
+            for a in range(0, len(every), ROUND_WORDS):
+                which = every[a : a + ROUND_WORDS]
+                tokens, count[which] = self._contract([raw[i] for i in which], query)
+                parts.append(tokens)
         # from the order of kinds to that of words
         order = np.argsort(kinds, kind="stable")
         starts = np.empty(len(raw), np.int64)
@@ -207,16 +214,18 @@ class Codec:
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         self.flat = np.concatenate([self.flat, _ragged(np.concatenate(parts), starts, count)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(count)])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
 
     def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of texts given as words, one after another, and how many each has."""
         if len(self.known) > WORDS_KEPT:
-            self.forget()
+            self.forget(WORDS_KEPT // 2)
         new = list({w: None for words in texts for w in words if w not in self.known})
         if new:
             self.learn(new)
         get = self.known.__getitem__
         words = np.fromiter((get(w) for x in texts for w in x), np.int64)
+        self.met[np.unique(words)] += 1
         count = self.bounds[words + 1] - self.bounds[words]
         ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, texts)])]
         return _ragged(self.flat, self.bounds[words], count), np.diff(ends)

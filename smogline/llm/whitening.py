@@ -7,8 +7,7 @@ r"""Embedding whitening: exact covariance by bit-sliced scatter, then ``eigh``.
    dimension; each dimension's bit planes are packed across rows into 64-bit
    words; the popcount of the AND of two planes, weighted by 2^(p + q), is
    their part of the cross-product.  The shift is taken back exactly.  Chunks
-   give integers, as pairs of 32-bit halves, which Spark adds up per pair of
-   dimensions.
+   give integers, in parts of 40 bits, which Spark adds up per pair of dimensions.
 3. The driver holds d (d + 1) / 2 sums, however many rows there are: it centres
    them as integers, n C - S S', and only then divides and calls ``eigh``.
 4. One pass over the fit list measures the covariance of the whitened values;
@@ -41,6 +40,8 @@ COMPONENTS = 4
 #: entries of a chunk (rows x dimensions): 32 MB of longs
 CHUNK_ENTRIES = 1 << 22
 _LONG = 1 << 63
+#: a sum travels as 40-bit parts: products of any longs, added up over millions of chunks
+_LIMBS, _LIMB = ("v0", "v1", "v2", "v3"), (1 << 40) - 1
 
 
 def _usable(df: DataFrame, id_: str, vec: str) -> DataFrame:
@@ -158,10 +159,12 @@ def fit(rows: DataFrame, d: int, components: int) -> tuple[Fit, DataFrame]:
             n, s, c = cross_products(x)
             cells = [(-1, -1, n)] + [(i, -1, v) for i, v in enumerate(s)] + [(i, i + k, v) for i, row in enumerate(c) for k, v in enumerate(row)]
             i, j, v = zip(*cells)
-            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array([a >> 32 for a in v], pa.int64()), pa.array([a & 0xFFFFFFFF for a in v], pa.int64())], names=["i", "j", "hi", "lo"])
+            top = len(_LIMBS) - 1
+            limbs = [pa.array([a >> 40 * k if k == top else a >> 40 * k & _LIMB for a in v], pa.int64()) for k in range(top + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *limbs], names=["i", "j", *_LIMBS])
 
-    parts = distinct.mapInArrow(scatter, "i int, j int, hi long, lo long")
-    total = {(r.i, r.j): (r.hi << 32) + r.lo for r in parts.groupBy("i", "j").agg(F.sum("hi").alias("hi"), F.sum("lo").alias("lo")).collect()}
+    parts = distinct.mapInArrow(scatter, "i int, j int, " + ", ".join(f"{x} long" for x in _LIMBS))
+    total = {(r.i, r.j): sum(r[x] << 40 * k for k, x in enumerate(_LIMBS)) for r in parts.groupBy("i", "j").agg(*[F.sum(x).alias(x) for x in _LIMBS]).collect()}
     return Fit(total[-1, -1], [total[i, -1] for i in range(d)], total, components), distinct
 
 
