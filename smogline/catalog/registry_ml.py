@@ -13,13 +13,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import config
-from ..plans import flows, forecast
+from ..plans import flows, forecast, gram
 from ..plans import preprocess as pp
 from ..session import scratch_path
 from ..sources import storage
 from ..streaming.periodic import stream_periodic
 from ..streaming.rollup import stream_daily_rollup, write_arrivals
-from .registry import SCHED_CTES, events, full, readings, register, schedule, weather
+from .registry import FOLD_CTES, SCHED_CTES, events, full, readings, register, schedule, weather
 from .sql_prelude import windowed, with_ctes
 
 FEATURES = list(config.SELECTED_FEATURES)
@@ -112,6 +112,65 @@ def q_model_comparison(spark, d):
     return forecast.fold_summary(out, key=["feature_set", "model"])
 
 
+def _ridge_sql(body: str, prefixes: str, l2: float) -> str:
+    """Normal equations of standardised features on every fold and feature prefix, solved by
+    Gauss-Jordan elimination over lists; ``weights``: (fold, k, w, icept)."""
+    slots = ", ".join(f"CAST({f} AS DOUBLE)" for f in FEATURES if f != "city")
+    numeric = [f for f in FEATURES if f != "city"]
+    at = ", ".join(str(FEATURES.index(f) + 1) for f in numeric)  # rank of each numeric slot
+    extra = FOLD_CTES | {
+        "cs": "SELECT list(DISTINCT city ORDER BY city) AS cs FROM full_train",
+        "x": f"SELECT date, target AS y, list_concat([{slots}], list_transform(cs, lambda c: CASE WHEN c = city THEN 1.0 ELSE 0.0 END::DOUBLE)) AS v FROM full_train, cs",
+        "ranks": f"SELECT list_concat([{at}], list_transform(cs, lambda c: {FEATURES.index('city') + 1})) AS rk, len(cs) + {len(numeric)} AS p FROM cs",
+        "tr": "SELECT f.fold, x.* FROM x JOIN folds f ON f.role = 'train' AND x.date BETWEEN f.start AND f.\"end\"",
+        "moments": """
+SELECT fold, i, avg(v[i]) AS m, CASE WHEN stddev_pop(v[i]) <= 1e-7 * abs(avg(v[i])) OR stddev_pop(v[i]) = 0 THEN NULL ELSE stddev_pop(v[i]) END AS sd,
+  covar_pop(v[i], y) AS cy, avg(y) AS my FROM tr, ranks, range(1, p + 1) t(i) GROUP BY fold, i""",
+        "products": "SELECT fold, i, j, covar_pop(v[i], v[j]) AS c FROM tr, ranks, range(1, p + 1) a(i), range(1, p + 1) b(j) GROUP BY fold, i, j",
+        "prefix": prefixes,
+        "entries": f"""
+SELECT q.fold, k, q.i, list(coalesce(CASE WHEN r.rk[q.i] <= k AND r.rk[q.j] <= k THEN q.c / a.sd / b.sd END, 0.0)
+    + CASE WHEN q.i = q.j THEN {l2} ELSE 0.0 END ORDER BY q.j) || [coalesce(CASE WHEN r.rk[q.i] <= k THEN any_value(a.cy) / any_value(a.sd) END, 0.0)] AS line
+FROM products q JOIN moments a ON a.fold = q.fold AND a.i = q.i JOIN moments b ON b.fold = q.fold AND b.i = q.j, ranks r, prefix
+GROUP BY q.fold, k, q.i, r.rk""",
+        "gj": """
+SELECT fold, k, 0 AS step, list(line ORDER BY i) AS m FROM entries GROUP BY fold, k
+UNION ALL
+SELECT fold, k, step + 1, list_transform(m, lambda l, i: CASE WHEN i = step + 1 THEN list_transform(l, lambda e: e / l[step + 1])
+  ELSE list_transform(l, lambda e, j: e - l[step + 1] * m[step + 1][j] / m[step + 1][step + 1]) END)
+FROM gj, ranks WHERE step < p""",
+        "scaled": "SELECT g.fold, k, i, g.m[i][p + 1] / a.sd AS w, a.m AS mean, a.my FROM gj g, ranks, moments a WHERE g.step = p AND a.fold = g.fold",
+        "weights": "SELECT fold, k, list(coalesce(w, 0.0) ORDER BY i) AS w, any_value(my) - sum(coalesce(w, 0.0) * mean) AS icept FROM scaled GROUP BY fold, k",
+        "scores": """
+SELECT w.fold, k, sqrt(avg(power(y - icept - list_sum(list_transform(v, lambda e, i: e * w.w[i])), 2))) AS rmse
+FROM x JOIN folds f ON f.role = 'test' AND x.date BETWEEN f.start AND f."end" JOIN weights w ON w.fold = f.fold GROUP BY w.fold, k""",
+    }
+    sql = with_ctes(body, "full_train", extra=extra)
+    return "WITH RECURSIVE" + sql[len("WITH"):]
+
+
+_RIDGE = gram.FAMILIES["ridge"]
+
+
+@register("ridge_crossval", _ridge_sql("SELECT 'ridge' AS model, fold, rmse FROM scores", f"SELECT {len(FEATURES)} AS k", _RIDGE[1]), ["rmse"])
+def q_ridge_crossval(spark, d):
+    """Ridge on every fold, from one pass over the rows."""
+    feats = features_ckpt(spark, d)
+    return gram.linear_crossval(feats, FEATURES, forecast.time_folds(feats), {"ridge": _RIDGE})
+
+
+@register(
+    "topk_linear",
+    _ridge_sql("SELECT CAST(k AS BIGINT) AS nb_features, avg(rmse) AS score, stddev_pop(rmse) AS std_score FROM scores GROUP BY k",
+               f"SELECT k FROM range(4, {len(FEATURES) + 1}) t(k)", _RIDGE[1]),
+    ["score", "std_score"],
+)
+def q_topk_linear(spark, d):
+    """Ridge on every prefix of the feature list and every fold, from one pass over the rows."""
+    feats = features_ckpt(spark, d)
+    return gram.linear_topk(feats, FEATURES, forecast.time_folds(feats), penalty=_RIDGE)
+
+
 @register("categorical_native")
 def q_categorical_native(spark, d):
     df = features_ckpt(spark, d)

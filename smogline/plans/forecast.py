@@ -274,42 +274,81 @@ def cross_validate(df: DataFrame, features: list[str], kind: str = "gbt", folds:
     return spark.createDataFrame(rows, "fold long, rmse double, fit_seconds double")
 
 
-def permute_column(df: DataFrame, col: str, seed: int, buckets: int = 32) -> DataFrame:
-    """``df`` with ``col`` shuffled across rows (deterministic for a seed).
+def row_ranks(df: DataFrame) -> DataFrame:
+    """``df`` with ``_rank``, the dense number from 0 of each row in (date, city) order.
 
-    Rows are spread over ``buckets`` hash buckets; inside a bucket the column is
-    re-assigned from one hash order to another.  The method is the same at every
-    size; give more buckets for more rows.
+    Rows are numbered inside their day; the days' offsets are running sums over the calendar,
+    by year and inside the year, so no window holds more than a year's days or a day's series.
     """
-    key = [F.col("date"), F.col("city")]
-    b = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(buckets))
-    w_src = Window.partitionBy("_b").orderBy(F.xxhash64(*key, F.lit(seed + 1)), "date", "city")
-    w_dst = Window.partitionBy("_b").orderBy(F.xxhash64(*key, F.lit(seed + 2)), "date", "city")
-    left = df.withColumn("_b", b).withColumn("_i", F.row_number().over(w_src)).drop(col)
-    right = df.select(b.alias("_b"), F.row_number().over(w_dst.partitionBy(b)).alias("_i"), F.col(col).alias("_perm"))
-    return left.join(right, ["_b", "_i"]).drop("_b", "_i").withColumnRenamed("_perm", col).select(*df.columns)
+    days = df.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).withColumn("_y", F.year("date"))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    years = days.groupBy("_y").agg(F.sum("_n").alias("_n")).select("_y", before(Window.orderBy("_y")).alias("_year_off"))
+    offsets = days.select("date", "_y", before(Window.partitionBy("_y").orderBy("date")).alias("_day_off")).join(years, "_y")
+    at = F.row_number().over(Window.partitionBy("date").orderBy("city")) - 1
+    ranked = df.withColumn("_at", at).join(offsets.select("date", (F.col("_year_off") + F.col("_day_off")).alias("_off")), "date")
+    return ranked.select(*df.columns, (F.col("_off") + F.col("_at")).alias("_rank"))
+
+
+_ROUNDS, _WALKS = 6, 64
+
+
+def keyed_bijection(x: Column, n: int, key: Column) -> Column:
+    """A bijection of 0..n-1, another one for each ``key``.
+
+    A Feistel network on the pairs (x % a, x // a), a = ceil(sqrt(n)); its domain has at most a - 1
+    numbers from n on, and from such a number the walk goes on until it is back below n.
+    """
+    a = max(1, math.isqrt(n - 1) + 1) if n > 1 else 1
+    b = max(1, -(-n // a))
+
+    def step(state, i):
+        left, right = state["l"], state["r"]
+        odd = i % 2 == 1
+        noise = F.xxhash64(F.when(odd, left).otherwise(right), key, i)
+        return F.struct(
+            F.when(odd, left).otherwise((left + F.pmod(noise, F.lit(a))) % a).alias("l"),
+            F.when(odd, (right + F.pmod(noise, F.lit(b))) % b).otherwise(right).alias("r"),
+        )
+
+    def once(v: Column) -> Column:
+        halves = F.struct((v % a).cast("long").alias("l"), F.floor(v / a).cast("long").alias("r"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(_ROUNDS - 1)), halves, step, lambda s: s["r"] * a + s["l"])
+
+    out = F.aggregate(F.sequence(F.lit(1), F.lit(_WALKS)), once(x), lambda v, _: F.when(v < n, v).otherwise(once(v)))
+    return F.when(out < n, out).otherwise(F.raise_error(F.lit("the walk left the domain")).cast("long"))
+
+
+def permuted(df: DataFrame, features: list[str], repeats: int, seed: int) -> DataFrame:
+    """Copies of ``df``, one for each (feature ``_feature``, repeat ``_rep``), in which that feature is
+    permuted across all rows.  One shuffle: the values travel to the rows that receive them."""
+    ranked = row_ranks(df).checkpoint()
+    n = ranked.count()
+    numeric = _numeric(features)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(len(features) * repeats - 1)))
+    at = F.floor(F.col("_copy") / repeats).cast("int")
+    value = F.element_at(F.array(*[F.col(f).cast("double") if f in numeric else F.lit(None).cast("double") for f in features]), at + 1)
+    sent = ranked.withColumn("_copy", copies).select(
+        keyed_bijection(F.col("_rank"), n, F.col("_copy") + F.lit(1000 * seed)).alias("_rank"),
+        at.alias("_feature"),
+        (F.col("_copy") % repeats).alias("_rep"),
+        value.alias("_value"),
+        *([F.when(F.lit(features.index("city")) == at, F.col("city")).alias("_city")] if "city" in features else []),
+    )
+    given = {f: F.col("_city") if f == "city" else F.col("_value").cast(df.schema[f].dataType) for f in features}
+    out = [F.when(F.col("_feature") == features.index(c), given[c]).otherwise(F.col(c)).alias(c) if c in features else F.col(c) for c in df.columns]
+    return ranked.join(sent, "_rank").select(*out, "_feature", "_rep")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], repeats: int = 3,
                            seed: int = config.RANDOM_SEED) -> DataFrame:
     """RMSE increase when each feature is permuted: (feature, importance_mean, importance_std).
 
-    One scoring job per feature: its ``repeats`` permuted copies are
-    unioned (tagged by repeat) and scored by a single grouped RMSE.
+    All features and repeats are scored by one job.  ``df`` has one row per (city, date).
     """
-    from functools import reduce
-
     spark = df.sparkSession
     base = evaluate_model(model, df).first()["rmse"]
-    rows = []
-    for i, f in enumerate(features):
-        copies = [
-            permute_column(df, f, seed + 1000 * i + 10 * r).withColumn("_rep", F.lit(r))
-            for r in range(repeats)
-        ]
-        scored = model.transform(reduce(lambda a, b: a.unionByName(b), copies))
-        for r in scored.groupBy("_rep").agg(rmse_col("target", "prediction").alias("rmse")).collect():
-            rows.append((f, int(r["_rep"]), float(r["rmse"] - base)))
+    scores = model.transform(permuted(df, features, repeats, seed)).groupBy("_feature", "_rep").agg(rmse_col("target", "prediction").alias("rmse"))
+    rows = [(features[r["_feature"]], int(r["_rep"]), float(r["rmse"] - base)) for r in scores.collect()]  # features x repeats
     imp = spark.createDataFrame(rows, "feature string, rep long, delta double")
     return imp.groupBy("feature").agg(
         F.avg("delta").alias("importance_mean"), F.stddev_pop("delta").alias("importance_std")
