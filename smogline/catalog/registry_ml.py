@@ -203,7 +203,7 @@ def q_rank_features(spark, d):
 def q_topk_sweep(spark, d):
     feats = features_ckpt(spark, d)
     ranked = [r["feature"] for r in _ranked(spark, d, feats).collect()]
-    return forecast.topk_sweep(feats, ranked, kind="gbt")
+    return forecast.topk_sweep(feats, ranked)
 
 
 @register("param_search")

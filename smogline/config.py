@@ -120,10 +120,13 @@ RANDOM_SEED = 273
 # MLlib boosted trees (the in-process library's leaf/regularisation knobs do
 # not exist in MLlib; these are sized for Spark, not copied).
 GBT_PARAMS = dict(maxIter=50, maxDepth=5, stepSize=0.1, subsamplingRate=0.91, seed=RANDOM_SEED)
-# ranges of the parameter search (low, high, drawn on a log scale), and how many points are drawn
-SEARCH_RANGES = dict(maxIter=(20, 100, False), maxDepth=(3, 8, False), stepSize=(0.01, 0.3, True),
+# ranges of the parameter search (low, high, drawn on a log scale), and how many points are drawn;
+# the rounds are not drawn, they are what the search spends (forecast.param_search)
+SEARCH_RANGES = dict(maxDepth=(3, 8, False), stepSize=(0.01, 0.3, True),
                      subsamplingRate=(0.5, 1.0, False), minInstancesPerNode=(10, 100, False))
-SEARCH_TRIALS = 10
+SEARCH_TRIALS = 18
+# boosting rounds of the search's last rung; a rung before it has a third of them
+SEARCH_ROUNDS = 30
 
 
 # Rounding applied to doubles in registered queries so that Spark and the SQL

@@ -14,7 +14,8 @@ import random
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -355,17 +356,89 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: list[s
     )
 
 
-def topk_sweep(df: DataFrame, ranked: list[str], kind: str = "linear", kmin: int = 4, **params) -> DataFrame:
-    """CV score of growing prefixes of ranked features: (nb_features, score, std_score)."""
-    spark = df.sparkSession
-    folds = time_folds(df).cache()
+def parallel_fits(spark: SparkSession, work, items: list, threads: int | None = None) -> list:
+    """``work(item)`` for all items from a pool of threads, in order.
+
+    Each thread submits its Spark jobs into a scheduler pool of its own, so under
+    ``spark.scheduler.mode=FAIR`` no fit waits behind another one's stages.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    threads = threads or max(2, min(32, spark.sparkContext.defaultParallelism))
+
+    def one(numbered):
+        i, item = numbered
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{i % threads}")
+        return work(item)
+
+    with ThreadPoolExecutor(max_workers=threads) as ex:
+        return list(ex.map(one, enumerate(items)))
+
+
+class FoldTable:
+    """Vectors of all features beside date and label, stored once; fits take a slice of the
+    vector and the days of a fold.  The city's encoding is fitted on all rows: a slot of a city
+    that a fold's training days do not hold is zero in all of them, so no tree splits on it."""
+
+    #: rows of a partition; a small table is one partition, a fit's jobs then one task each
+    ROWS = 250_000
+
+    def __init__(self, df: DataFrame, features: list[str], folds: DataFrame | None = None):
+        bounds = {(int(r["fold"]), r["role"]): (r["start"], r["end"]) for r in (time_folds(df) if folds is None else folds).collect()}  # 2 rows per fold
+        self.bounds = bounds
+        self.folds = sorted({f for f, role in bounds if role == "test" and (f, "train") in bounds})
+        self.features = list(features)
+        self.spark = df.sparkSession
+        if self.folds:
+            parts = -(-df.count() // self.ROWS)
+            vectors = Pipeline(stages=encoder_stages(features)).fit(df).transform(df).select("date", "target", "features")
+            self.rows = vectors.coalesce(max(1, parts)).checkpoint()
+            self.size = self.rows.select(F.size(vector_to_array("features"))).first()[0]
+
+    def slots(self, features: list[str]) -> list[int]:
+        """Places of the features in the vector."""
+        numeric = _numeric(self.features)
+        return [numeric.index(f) for f in features if f != "city"] + (list(range(len(numeric), self.size)) if "city" in features else [])
+
+    def score(self, fold: int, features: list[str], stop_days: int = 0, tolerance: float = 0.0, **params) -> tuple[float | None, int]:
+        """Test RMSE of boosted trees on a fold, and the rounds they took.
+
+        With ``stop_days``, the last days of the training span choose the rounds: fitting stops at
+        the first round that does not lower their error by more than ``tolerance`` of it.  A span of
+        under three times that many days is used for fitting alone.
+        """
+        (lo, hi), (tlo, thi) = self.bounds[fold, "train"], self.bounds[fold, "test"]
+        slicer = VectorSlicer(inputCol="features", outputCol="sliced", indices=self.slots(features))
+        rows = lambda a, b: slicer.transform(self.rows.filter(F.col("date").between(a, b)))
+        train = rows(lo, hi)
+        model = make_regressor("gbt", **params).setFeaturesCol("sliced")
+        if stop_days and (hi - lo).days >= 3 * stop_days:
+            train = train.withColumn("held", F.col("date") > F.date_sub(F.lit(hi), stop_days))
+            model = model.setValidationIndicatorCol("held").setParams(validationTol=tolerance)
+        fitted = model.fit(train)
+        return fitted.transform(rows(tlo, thi)).agg(rmse_col("target", "prediction")).first()[0], fitted.getNumTrees
+
+
+def _summary(scores: list[float | None]) -> tuple[float, float]:
+    known = [s for s in scores if s is not None]
+    mean = sum(known) / len(known)
+    return mean, math.sqrt(sum((s - mean) ** 2 for s in known) / len(known))
+
+
+def topk_sweep(df: DataFrame, ranked: list[str], kmin: int = 4, stop_days: int = config.FOLD_TEST_DAYS, threads: int | None = None, **params) -> DataFrame:
+    """CV score of boosted trees on growing prefixes of ranked features: (nb_features, score, std_score, mean_rounds).
+
+    All (prefix, fold) fits are submitted together; each takes a slice of one stored table of vectors.
+    ``config.GBT_PARAMS`` give the most rounds, ``stop_days`` ends them (``FoldTable.score``).
+    """
+    table = FoldTable(df, ranked)
+    fits = [(k, f) for k in range(kmin, len(ranked) + 1) for f in table.folds]
+    scores = parallel_fits(table.spark, lambda x: table.score(x[1], ranked[: x[0]], stop_days, **params), fits, threads)
     out = []
-    for k in range(kmin, len(ranked) + 1):
-        sc = cross_validate(df, ranked[:k], kind, folds, **params)
-        r = sc.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
-        out.append((k, float(r["m"]), float(r["s"])))
-    folds.unpersist()
-    return spark.createDataFrame(out, "nb_features long, score double, std_score double")
+    for k in sorted({k for k, _ in fits}):
+        mine = [s for (at, _), s in zip(fits, scores) if at == k]
+        out.append((k, *_summary([s for s, _ in mine]), float(sum(n for _, n in mine)) / len(mine)))
+    return table.spark.createDataFrame(out, "nb_features long, score double, std_score double, mean_rounds double")
 
 
 def sample_params(trials: int, ranges: dict | None = None, seed: int = config.RANDOM_SEED) -> list[dict]:
@@ -383,16 +456,33 @@ def sample_params(trials: int, ranges: dict | None = None, seed: int = config.RA
     return out
 
 
-def param_search(df: DataFrame, features: list[str], grid: list[dict], kind: str = "gbt") -> DataFrame:
-    """Mean/std fold RMSE per parameter set, best first: (params, score, std_score)."""
+def halving_plan(trials: int, rounds: int, keep: int = 3, rungs: int = 3) -> list[tuple[int, int]]:
+    """(points, boosting rounds) of each rung: all points begin, a ``keep``-th of them goes on with
+    ``keep`` times the rounds, the last rung has ``rounds``; every rung costs about the same."""
+    points = [trials // keep**i for i in range(rungs) if trials // keep**i]
+    return [(n, max(1, rounds // keep ** (len(points) - 1 - i))) for i, n in enumerate(points)]
+
+
+def param_search(df: DataFrame, features: list[str], points: list[dict], rounds: int = config.SEARCH_ROUNDS, keep: int = 3, rungs: int = 3,
+                 threads: int | None = None) -> DataFrame:
+    """Successive halving over boosting rounds: (params, rounds, rung, score, std_score), best first.
+
+    All points are cross-validated with few rounds; the best ``1 / keep`` of them are refitted with
+    ``keep`` times as many (``halving_plan``), and so on.  Each point is reported with the last rung
+    that it reached; a later rung ranks before an earlier one.  Ties go to the earlier point.
+    """
     import json
 
-    spark = df.sparkSession
-    folds = time_folds(df).cache()
-    out = []
-    for p in grid:
-        sc = cross_validate(df, features, kind, folds, **p)
-        r = sc.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
-        out.append((json.dumps(p, sort_keys=True), float(r["m"]), float(r["s"])))
-    folds.unpersist()
-    return spark.createDataFrame(out, "params string, score double, std_score double").orderBy("score")
+    table = FoldTable(df, features)
+    result: dict[int, tuple] = {}
+    alive = list(range(len(points)))
+    for rung, (n, trees) in enumerate(halving_plan(len(points), rounds, keep, rungs), 1):
+        alive = sorted(alive, key=lambda i: (result[i][2], i) if i in result else (0, i))[:n]
+        fits = [(i, f) for i in alive for f in table.folds]
+        scores = parallel_fits(table.spark, lambda x, t=trees: table.score(x[1], features, **{**points[x[0]], "maxIter": t})[0], fits, threads)
+        if not fits:
+            break
+        for i in alive:
+            result[i] = (trees, rung, *_summary([s for (at, _), s in zip(fits, scores) if at == i]))
+    out = [(json.dumps(points[i], sort_keys=True), *r) for i, r in sorted(result.items(), key=lambda x: (-x[1][1], x[1][2], x[0]))]
+    return table.spark.createDataFrame(out, "params string, rounds long, rung long, score double, std_score double")
