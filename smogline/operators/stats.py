@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from .. import functions as fx
-from .quantiles import grouped_quantiles
+from .quantiles import sketched_quantiles
 from .series import SERIES, series_window
 
 
@@ -65,21 +65,15 @@ def value_histogram(
 def box_stats(df: DataFrame, group_cols, col: str = "pm25_avg") -> DataFrame:
     """Quartiles, 1.5·IQR whiskers and outlier count per group.
 
-    Two passes: quartiles per group (one row per group), then a join back
-    to the values for the whiskers and outliers.  The quartile table has one
-    row per group; the planner broadcasts it when small.
+    Two passes: exact quartiles per group (``sketched_quantiles``: no group is
+    held in one task), then a join back to the values for the whiskers and
+    outliers.  The quartile table has one row per group; the planner
+    broadcasts it when small.
     """
     if isinstance(group_cols, str):
         group_cols = [group_cols]
-    q = df.groupBy(*group_cols).agg(
-        F.percentile(F.col(col), [0.25, 0.5, 0.75]).alias("_q"), F.count(col).alias("n")
-    ).select(
-        *group_cols,
-        "n",
-        F.col("_q")[0].alias("q1"),
-        F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
+    quartiles = sketched_quantiles(df, list(group_cols), col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q = df.groupBy(*group_cols).agg(F.count(col).alias("n")).join(quartiles, list(group_cols), "left").withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     v = F.col(col)
@@ -96,8 +90,9 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """Summary per column (count, mean, std, min, quartiles, max), long format.
 
     Moments: one aggregation pass over the wide table, unpivoted with
-    ``stack``.  Quartiles: exact, from ``grouped_quantiles`` over the
-    (column, value) long form: no column is ordered in one task.
+    ``stack``.  Quartiles: exact, from ``sketched_quantiles`` over the
+    (column, value) long form, whose counts are stored once: no column is
+    ordered in one task, however its values are spread.
     """
     aggs = []
     for c in cols:
@@ -117,7 +112,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     )
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
     long = df.select(F.explode(pairs).alias("kv")).select("kv.column", "kv.value")
-    q = grouped_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    q = sketched_quantiles(long, ["column"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
     return moments.join(q, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "median", "q75", "max"
     )

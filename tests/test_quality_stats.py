@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from smogline import functions as fx
 from smogline.operators import quality, stats
-from smogline.operators.quantiles import grouped_quantiles
+from smogline.operators.quantiles import SLICES, grouped_quantiles, sketched_quantiles, sketched_slices
 
 
 def sensor_days(spark, sensor, dates, city="C", value=1.0):
@@ -182,3 +182,26 @@ def test_daily_rollup_equals_pandas(spark):
     assert len(a) == len(want) > 0
     for x in a:
         assert list(x[3:]) == pytest.approx(list(want[x[:3]]), rel=1e-12)
+
+
+def test_sketched_quantiles_of_odd_groups(spark):
+    nan, inf = float("nan"), float("inf")
+    groups = {"one": [4.0], "ties": [2.0] * 50 + [3.0], "none": [None, None], "odd": [inf, -inf, nan, 1.0, 2.0], "tail": [10.0 ** (i / 40) for i in range(1500)], None: [1.0, 2.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double").repartition(6)
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}
+    got = {r["k"]: r for r in sketched_quantiles(df, ["k"], "v", probs).collect()}
+    assert set(got) == set(groups) - {"none"}
+    for k in ("one", "ties", "tail", None):
+        want = pd.Series(groups[k]).quantile(list(probs.values()))
+        assert all(abs(got[k][n] - w) <= 1e-9 * abs(w) for n, w in zip(probs, want)), k
+    assert got["odd"]["a"] == -inf and got["odd"]["c"] == 2.0 and got["odd"]["e"] != got["odd"]["e"]
+
+
+def test_a_long_tail_is_cut_evenly(spark):
+    """Equal widths would put all but a few of these values into one slice."""
+    n = 20_000
+    df = spark.range(n).select(F.lit("x").alias("k"), F.exp(F.col("id") / 1000.0 * F.lit(2.0)).alias("v")).unionByName(
+        spark.range(n).select(F.lit("y").alias("k"), (1e9 + F.col("id") / 1e4).alias("v"))).unionByName(spark.createDataFrame([("y", -1e15)], "k string, v double"))
+    sizes = sketched_slices(df, ["k"], "v").groupBy("k", "_s").count().groupBy("k").agg(F.max("count").alias("most"), F.count("count").alias("slices")).collect()
+    for r in sizes:
+        assert r["most"] <= 3 * n / SLICES and r["slices"] > SLICES / 2
