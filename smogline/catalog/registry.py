@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from .. import functions as fx
-from ..operators import joins, quality, series, stats
+from ..operators import joins, quality, rollup, series, stats
 from ..plans import forecast, monitoring
 from ..plans import preprocess as pp
 from ..sources import fixtures
@@ -134,7 +134,7 @@ SELECT r.eval_start, r.eval_end, r.train_start,
   sqrt(avg(power(f.target - f.lag_1, 2))) AS r1,
   sqrt(avg(power(f.target - greatest(f.lag_1 + (f.lag_1 - f.lag_2), 0.001), 2))) AS r2,
   sqrt(avg(power(f.target - (f.lag_1 + f.lag_2 + f.lag_3) / 3, 2))) AS r3
-FROM full_eval f JOIN refwin r ON f.date BETWEEN r.eval_start AND r.eval_end
+FROM full_eval f JOIN refwin r ON f.date BETWEEN r.eval_start AND r.eval_end - 1
 GROUP BY r.eval_start, r.eval_end, r.train_start""",
     "models": """
 SELECT v.model_version, s.train_start, CAST(s.eval_start - 1 AS DATE) AS train_end, s.eval_start, s.eval_end,
@@ -146,7 +146,7 @@ BATCH_CTES = {
 SELECT s.batch_start, s.batch_end,
   sqrt(avg(power(f.target - f.lag_1, 2))) AS champion_rmse,
   sqrt(avg(power(f.target - greatest(f.lag_1 + (f.lag_1 - f.lag_2), 0.001), 2))) AS challenger_rmse
-FROM full_eval f JOIN sched s ON f.date BETWEEN s.batch_start AND s.batch_end
+FROM full_eval f JOIN sched s ON f.date BETWEEN s.batch_start AND s.batch_end - 1
 GROUP BY s.batch, s.batch_start, s.batch_end""",
     "batches": """
 SELECT b.batch_start, b.batch_end, '1' AS champion_version, b.champion_rmse,
@@ -245,17 +245,22 @@ def q_completeness_report(spark, d):
 @register(
     "union_sources",
     with_ctes("""
-SELECT city, sensor_id, date, pm25_avg, 'lineitem' AS source FROM readings
+SELECT city, sensor_id, date, pm25_avg, 'lineitem' AS source, 'no data in any source' AS without_rows FROM readings
 UNION ALL
-SELECT city, sensor_id, date, pm25_avg, 'orders' AS source FROM readings_sparse""", "readings", "readings_sparse"),
+SELECT city, sensor_id, date, pm25_avg, 'orders' AS source, 'no data in any source' FROM readings_sparse""", "readings", "readings_sparse"),
     ["pm25_avg"],
 )
 def q_union_sources(spark, d):
-    from ..operators.rollup import union_sources
-
+    """The union of both sources; ``without_rows`` says how the union answers to
+    the same sources when no row of theirs is left."""
     a = readings(spark, d).withColumn("source", F.lit("lineitem"))
     b = fixtures.readings_sparse(spark, d).withColumn("source", F.lit("orders"))
-    return union_sources([a, b])
+    try:
+        rollup.union_sources([a.filter("date IS NULL"), b.filter("date IS NULL")])
+        refused = "accepted"
+    except ValueError as e:
+        refused = str(e)
+    return rollup.union_sources([a, b]).withColumn("without_rows", F.lit(refused))
 
 
 # ---------------------------------------------------------------------------
@@ -1021,7 +1026,7 @@ def q_preprocess_train(spark, d):
     "evaluation_slice",
     with_ctes(f"""
 SELECT {', '.join(config.SELECTED_FEATURES)}, f.date, target FROM full_eval f, sched s
-WHERE s.batch = 6 AND f.date BETWEEN s.batch_start AND s.batch_end""", "full_eval", extra=SCHED_CTES),
+WHERE s.batch = 6 AND f.date BETWEEN s.batch_start AND s.batch_end - 1""", "full_eval", extra=SCHED_CTES),
     FEAT_DOUBLES,
 )
 def q_evaluation_slice(spark, d):
@@ -1104,7 +1109,7 @@ def models(spark, d, f=None):
 
 def batch_scores(spark, d, f=None):
     f = shared(spark, d) if f is None else f
-    tagged = joins.assign_batch(f, schedule(spark, d, f))
+    tagged = joins.assign_batch(f, schedule(spark, d, f), ahead=config.HORIZON)
     return tagged.groupBy("batch", "batch_start", "batch_end").agg(
         stats.rmse_col("target", forecast.baseline_col("persistence")).alias("champion_rmse"),
         stats.rmse_col("target", forecast.baseline_col("extrapolation")).alias("challenger_rmse"),
@@ -1129,7 +1134,7 @@ def q_batch_schedule(spark, d):
     with_ctes("""
 SELECT s.batch, s.batch_start, s.batch_end, p.model_version,
   sqrt(avg(power(ln(1 + p.y_true) - ln(1 + p.y_pred), 2))) AS rmse, count(*) AS n_rows
-FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end
+FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end - 1
 GROUP BY s.batch, s.batch_start, s.batch_end, p.model_version""", "full_eval", extra=_mon(SCHED_CTES, PRED_CTES)),
     ["rmse"],
 )
@@ -1151,7 +1156,7 @@ def q_candidate_models(spark, d):
     with_ctes("""
 SELECT s.batch, s.model_version, s.rmse, m.reference_rmse
 FROM (SELECT s.batch, p.model_version, sqrt(avg(power(ln(1 + p.y_true) - ln(1 + p.y_pred), 2))) AS rmse
-      FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end GROUP BY s.batch, p.model_version) s
+      FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end - 1 GROUP BY s.batch, p.model_version) s
 LEFT JOIN models m ON m.model_version = s.model_version""", "full_eval", extra=MON_ALL),
     ["rmse", "reference_rmse"],
 )
@@ -1166,7 +1171,7 @@ def q_reference_lookup(spark, d):
     with_ctes("""
 SELECT s.batch, s.model_version, s.rmse, m.reference_rmse, s.rmse >= m.reference_rmse * 1.1 AS drift_detected
 FROM (SELECT s.batch, p.model_version, sqrt(avg(power(ln(1 + p.y_true) - ln(1 + p.y_pred), 2))) AS rmse
-      FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end GROUP BY s.batch, p.model_version) s
+      FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end - 1 GROUP BY s.batch, p.model_version) s
 LEFT JOIN models m ON m.model_version = s.model_version""", "full_eval", extra=MON_ALL),
     ["rmse", "reference_rmse"],
 )
@@ -1192,11 +1197,6 @@ def q_promotion_check(spark, d):
     return monitoring.promotion_check(champ, chall)
 
 
-@register("log_batch", with_ctes("SELECT * FROM batches", "full_eval", extra=MON_ALL), BATCH_DOUBLES)
-def q_log_batch(spark, d):
-    return batches(spark, d)
-
-
 @register(
     "batch_log_view",
     with_ctes("""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config
+from ..plans import preprocess as pp
 from ..session import scratch_path
 from ..sources import fixtures, payload, storage
 from ..sources.tables import table
@@ -26,6 +27,7 @@ from .registry import (
     events,
     models,
     predictions,
+    readings,
     register,
     schedule,
     shared,
@@ -159,25 +161,68 @@ def q_merge_weather_files(spark, d):
 
 @register(
     "quarantine_bad_weather",
-    with_ctes("SELECT city, count(*) AS good_payloads, CAST(0 AS BIGINT) AS quarantined FROM weather GROUP BY city",
-              "weather"),
+    with_ctes("""
+SELECT city, count(*) FILTER (WHERE kind >= 2) AS good_payloads, count(*) FILTER (WHERE kind = 0) AS unparsable,
+  count(*) FILTER (WHERE kind = 1) AS key_missing,
+  sum(temp_max) FILTER (WHERE kind >= 2) AS temp_max_sum
+FROM (SELECT *, (date_diff('day', DATE '1970-01-01', date) * 31 + length(city)) % 9 AS kind FROM weather) w GROUP BY city""", "weather"),
+    ["temp_max_sum"],
 )
 def q_quarantine_bad_weather(spark, d):
-    root = _weather_payload_root(spark, d)
+    """Payloads of which some days' are cut short (unparsable) and some lack a key.
+
+    The damage is done to the written lines, by day and city; the reader sees files only.
+    """
+    clean_root, root = _weather_payload_root(spark, d), scratch_path(spark, "weather-damaged")
+    lines = spark.read.option("basePath", clean_root).text(clean_root)  # one payload per line, and its city
+    day = F.to_date(F.get_json_object("value", "$.date"))
+    kind = (F.datediff(day, F.lit("1970-01-01").cast("date")) * 31 + F.length("city")) % 9
+    cut = F.expr("substring(value, 1, length(value) - 5)")
+    lacking = F.regexp_replace("value", '"pressure":\\{[^}]*\\},?', "")
+    damaged = lines.withColumn("value", F.when(kind == 0, cut).when(kind == 1, lacking).otherwise(F.col("value")))
+    damaged.write.partitionBy("city").text(root)
     good, bad = payload.quarantine_bad_weather(spark, root)
-    n_bad = bad.agg(F.count(F.lit(1))).scalar()
-    return good.groupBy("city").agg(F.count(F.lit(1)).alias("good_payloads")).withColumn("quarantined", n_bad)
+    kept = good.groupBy("city").agg(F.count(F.lit(1)).alias("good_payloads"), F.sum("temperature.max").alias("temp_max_sum"))
+    refused = bad.groupBy("city").agg(
+        F.count("_corrupt_record").alias("unparsable"), F.count_if(F.col("_corrupt_record").isNull()).alias("key_missing"))
+    none = F.lit(0).cast("long")
+    return kept.join(refused, "city", "full").select(
+        "city", F.coalesce("good_payloads", none).alias("good_payloads"), F.coalesce("unparsable", none).alias("unparsable"),
+        F.coalesce("key_missing", none).alias("key_missing"), "temp_max_sum")
 
 
 # ---------------------------------------------------------------------------
 # storage
 # ---------------------------------------------------------------------------
 
-@register("csv_roundtrip", with_ctes("SELECT * FROM weather", "weather"), W_DOUBLES + ["temp_avg"])
+_CSV_WEATHER = W_DOUBLES + ["temp_avg"]
+_CSV_FEATURES = [f for f in config.SELECTED_FEATURES if f != "city"] + ["target"]
+
+
+def _long(names: list[str]) -> str:
+    return f"date, city, unnest([{', '.join(repr(n) for n in names)}]) AS name, unnest([{', '.join(f'{n}::DOUBLE' for n in names)}]) AS value"
+
+
+@register(
+    "csv_roundtrip",
+    with_ctes(f"""
+SELECT 'weather' AS data_type, {_long(_CSV_WEATHER)} FROM weather
+UNION ALL
+SELECT 'processed', {_long(_CSV_FEATURES)} FROM full_eval""", "weather", "full_eval"),
+    ["value"],
+)
 def q_csv_roundtrip(spark, d):
-    root = scratch_path(spark, "csv")
-    storage.save_csv(weather(spark, d), root, "weather")
-    return storage.load_csv(spark, root, "weather")
+    """Weather and processed rows saved and read back with their fixed schemas; one row a number."""
+    root, out = scratch_path(spark, "csv"), None
+    w = weather(spark, d)
+    for data_type, rows, names in (("weather", w, _CSV_WEATHER), ("processed", pp.preprocess_eval(readings(spark, d), w), _CSV_FEATURES)):
+        storage.save_csv(rows, root, data_type)
+        back = storage.load_csv(spark, root, data_type)
+        if back.schema != storage.DATA_TYPES[data_type]:
+            raise RuntimeError(f"{data_type}: read back as {back.schema.simpleString()}")
+        part = back.unpivot(["date", "city"], names, "name", "value").withColumn("data_type", F.lit(data_type))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _bounds(spark, d):
@@ -259,11 +304,31 @@ def q_exists_range(spark, d):
 MON_ALL = _mon(SCHED_CTES, PRED_CTES, MODEL_CTES, BATCH_CTES)
 
 
+@register(
+    "log_batch",
+    with_ctes("""
+SELECT * REPLACE (CASE WHEN (b.batch_start - (SELECT min(batch_start) FROM batches)) // 42 % 2 = 0 THEN champion_rmse ELSE champion_rmse + 1 END AS champion_rmse)
+FROM batches b""", "full_eval", extra=MON_ALL),
+    ["champion_rmse", "rmse_challenger"],
+)
+def q_log_batch(spark, d):
+    """All batches logged one by one with another score, then every second one again with
+    its own: a batch's row is replaced by its window, the others stay."""
+    root = scratch_path(spark, "batch-log")
+    rows = batches(spark, d).checkpoint()
+    starts = [r[0] for r in rows.select("batch_start").orderBy("batch_start").collect()]  # one row per batch (6)
+    for s in starts:
+        storage.log_batch(spark, root, rows.filter(F.col("batch_start") == s).withColumn("champion_rmse", F.col("champion_rmse") + 1))
+    for s in starts[::2]:
+        storage.log_batch(spark, root, rows.filter(F.col("batch_start") == s))
+    return storage.read_table(spark, root)
+
+
 @register(
     "log_predictions",
     with_ctes("""
 SELECT p.date, p.city, p.y_true, p.y_pred, p.model_version
-FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end""", "full_eval",
+FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end - 1""", "full_eval",
               extra=_mon(SCHED_CTES, PRED_CTES)),
     ["y_true", "y_pred"],
 )
@@ -275,7 +340,7 @@ def q_log_predictions(spark, d):
     preds = predictions(spark, d, f)
     sched = schedule(spark, d, f).collect()  # one row per batch (6)
     for b in sorted(sched, key=lambda r: r["batch"]) + [max(sched, key=lambda r: r["batch"])]:
-        part = preds.filter(F.col("date").between(b["batch_start"], b["batch_end"]))
+        part = pp.evaluation_slice(preds, b["batch_start"], b["batch_end"])
         storage.log_predictions(spark, root, part)
     return storage.read_table(spark, root)
 

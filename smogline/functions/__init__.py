@@ -77,11 +77,6 @@ def relative_improvement(challenger, champion) -> Column:
     )
 
 
-def nan_to_null(x) -> Column:
-    """NaN is a value in Spark; the engine represents missing as NULL only."""
-    x = _c(x)
-    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
-
 
 def round_double(x, bits: int = config.ROUND_BITS) -> Column:
     """Round to the nearest multiple of 2^-bits (ties upward).

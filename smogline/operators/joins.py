@@ -46,14 +46,15 @@ def merge_sources(
     return assert_columns(merged, list(col_order))
 
 
-def assign_batch(df: DataFrame, schedule: DataFrame, date_col: str = "date") -> DataFrame:
-    """Attach ``batch`` (and window bounds) to rows falling inside a batch.
+def assign_batch(df: DataFrame, schedule: DataFrame, date_col: str = "date", ahead: int = 0) -> DataFrame:
+    """Attach ``batch`` (and window bounds) to rows falling inside a batch, and whose
+    day ``ahead`` days later does too.
 
     ``schedule`` has one row per batch: the range join is a broadcast nested
     loop over a handful of rows (a schedule is a few windows per year).
     """
     s = schedule.select("batch", "batch_start", "batch_end")
-    cond = (F.col(date_col) >= F.col("batch_start")) & (F.col(date_col) <= F.col("batch_end"))
+    cond = (F.col(date_col) >= F.col("batch_start")) & (F.col(date_col) <= F.date_sub("batch_end", ahead))
     return df.join(F.broadcast(s), cond, "inner")
 
 

@@ -81,12 +81,6 @@ def missing_dates(expected: DataFrame, stored: DataFrame) -> DataFrame:
     return expected.select("city", "date").join(stored.select("city", "date"), ["city", "date"], "left_anti")
 
 
-def expected_days(cities: DataFrame, start, end) -> DataFrame:
-    """cities × every day of [start, end], generated per city row."""
-    return cities.select(
-        "city", F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date")
-    )
-
 
 def completeness_report(expected: DataFrame, stored: DataFrame) -> DataFrame:
     """Per city: days expected, days held, complete flag."""
@@ -101,14 +95,10 @@ def completeness_report(expected: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
-    """Concatenate by column name; an empty list is an error."""
-    if not frames:
-        raise ValueError("no data to union")
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """Concatenate by column name; no frame, or not one row in all of them, is an error.
 
-
-def require_rows(df: DataFrame, what: str = "data") -> DataFrame:
-    """Raise if ``df`` has no row (``limit(1)`` probe)."""
-    if df.limit(1).isEmpty():
-        raise ValueError(f"no {what} at all")
-    return df
+    The probe for a row reads sources one after another until one has a row.
+    """
+    if not any(not df.limit(1).isEmpty() for df in frames):
+        raise ValueError("no data in any source")
+    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -122,9 +122,6 @@ def lag_columns(shifts: dict, key: str = SERIES) -> list[Column]:
     return [lag_col(src, k, key).alias(out) for out, (src, k) in shifts.items()]
 
 
-def generate_lag_features(df: DataFrame, shifts: dict, key: str = SERIES) -> DataFrame:
-    return df.select("*", *lag_columns(shifts, key))
-
 
 def lag_average_col(col: str = "pm25_avg", shifts=config.LAG_AVG_SHIFTS, key: str = SERIES) -> Column:
     """Mean of the given shifts; null if any of them is null."""

@@ -45,9 +45,6 @@ def baseline_predictions(df: DataFrame, name: str) -> DataFrame:
     return df.select("city", "date", "target", baseline_col(name).alias("y_pred"))
 
 
-def baseline_score(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(rmse_col("target", baseline_col(name)).alias("rmse"))
-
 
 # --- time folds -------------------------------------------------------------
 

@@ -62,8 +62,8 @@ def persistence_predictions(features: DataFrame, model_version: str = "1") -> Da
 
 
 def score_batches(predictions: DataFrame, schedule: DataFrame) -> DataFrame:
-    """RMSE (log space) per batch and model version."""
-    tagged = joins.assign_batch(predictions, schedule)
+    """RMSE (log space) per batch and model version, on the days whose next day is in the batch."""
+    tagged = joins.assign_batch(predictions, schedule, ahead=config.HORIZON)
     return tagged.groupBy("batch", "batch_start", "batch_end", "model_version").agg(
         rmsle_col("y_true", "y_pred").alias("rmse"), F.count(F.lit(1)).alias("n_rows")
     )
@@ -89,7 +89,7 @@ def candidate_models(features: DataFrame, schedule: DataFrame) -> DataFrame:
     from .forecast import baseline_col
 
     win = reference_window(schedule)
-    rows = features.join(F.broadcast(win), F.col("date").between(F.col("eval_start"), F.col("eval_end")))
+    rows = features.join(F.broadcast(win), F.col("date").between(F.col("eval_start"), F.date_sub("eval_end", config.HORIZON)))
     scores = rows.groupBy("eval_start", "eval_end", "train_start").agg(
         rmse_col("target", baseline_col("persistence")).alias("r1"),
         rmse_col("target", baseline_col("extrapolation")).alias("r2"),
@@ -129,7 +129,7 @@ def batch_log(
     from .forecast import baseline_col
 
     names = {"1": "persistence", "2": "extrapolation", "3": "average"}
-    tagged = joins.assign_batch(features, schedule)
+    tagged = joins.assign_batch(features, schedule, ahead=config.HORIZON)
     s = tagged.groupBy("batch", "batch_start", "batch_end").agg(
         rmse_col("target", baseline_col(names[champion])).alias("champion_rmse"),
         rmse_col("target", baseline_col(names[challenger])).alias("challenger_rmse"),

@@ -52,6 +52,13 @@ WEATHER = _struct(
     ("city", S),
 )
 
+
+
+def processed(features) -> T.StructType:
+    """Processed rows: the features in order, then date and target; all numbers but the city."""
+    return _struct(*[(f, S if f == "city" else D) for f in features], ("date", DT), ("target", D))
+
+
 BATCHES = _struct(
     ("batch_start", DT),
     ("batch_end", DT),

@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from .. import schemas
+from .. import config, schemas
 
 POINTER = "_versions"
 MONTH = "_month"  # partition column of date-partitioned tables (first day of the month)
 LOG_SCHEMA = "version string, paths array<string>, schema string"
-DATA_TYPES = {"weather": schemas.WEATHER, "airqual": schemas.AIRQUAL, "processed": None}
+DATA_TYPES = {"weather": schemas.WEATHER, "airqual": schemas.AIRQUAL, "processed": schemas.processed(config.SELECTED_FEATURES)}
 
 
 def _current(spark: SparkSession, root: str):
@@ -249,12 +249,15 @@ def save_csv(df: DataFrame, root: str, data_type: str) -> str:
 
 
 def load_csv(spark: SparkSession, root: str, data_type: str, schema=None, start=None, end=None) -> DataFrame:
-    """Read a CSV table back with ``date`` parsed; missing table is an error."""
+    """Read a CSV table back with its fixed schema; missing table is an error.
+
+    ``schema`` names another one, as ``schemas.processed`` of other features does.  A file whose
+    header names other columns is refused, and so is a value that its column's type cannot hold.
+    """
     if data_type not in DATA_TYPES:
         raise ValueError(f"data_type must be one of {sorted(DATA_TYPES)}, got {data_type!r}")
     schema = schema or DATA_TYPES[data_type]
-    reader = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST").schema(schema)
     try:
         df = reader.csv(f"{root}/{data_type}")
     except AnalysisException as e:

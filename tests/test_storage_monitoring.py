@@ -206,3 +206,30 @@ def test_storage_keeps_what_it_should(spark):
     with pytest.raises(ValueError):
         storage.log_predictions(spark, root, frame([]))
     assert storage.read_table(spark, root).count() == before
+
+
+def test_union_without_rows_is_refused(spark):
+    from smogline.operators.rollup import union_sources
+
+    one = spark.createDataFrame([("A", 1)], "city string, sensor_id long")
+    none = one.where("false")
+    assert union_sources([none, one]).count() == 1
+    for frames in ([], [none], [none, none]):
+        with pytest.raises(ValueError, match="no data in any source"):
+            union_sources(frames)
+
+
+def test_processed_csv_keeps_its_types(spark):
+    from smogline import config, schemas
+
+    root = scratch_path(spark, "t-processed")
+    schema = storage.DATA_TYPES["processed"]
+    row = tuple("A" if f.name == "city" else dt.date(2024, 1, 1) if f.name == "date" else 1.0 for f in schema)
+    empty = tuple("B" if f.name == "city" else dt.date(2024, 1, 2) if f.name == "date" else None for f in schema)
+    df = spark.createDataFrame([row, empty], schema)  # whole numbers and nulls only: inference would see integers and text
+    storage.save_csv(df, root, "processed")
+    back = storage.load_csv(spark, root, "processed")
+    assert back.schema == schema and sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+    wide = schemas.processed(config.features_for("all_lags_14"))
+    with pytest.raises(Exception):  # noqa: B017  other columns than the header's
+        storage.load_csv(spark, root, "processed", schema=wide).collect()
