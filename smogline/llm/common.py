@@ -42,6 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, or with ``_2``, ``_3``, ... added the first that no column has (in any case of letters)."""
+    taken, out, k = {c.lower() for c in columns}, name, 2
+    while out.lower() in taken:
+        out, k = f"{name}_{k}", k + 1
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared scratch folder and read it back: cuts the
     lineage, and what was computed survives the loss of executors."""

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, held_out, table, tune
+from .common import free, chunks, held_out, table, tune
 
 ORDER = 3
 DOCS_PER_LABEL = 400
@@ -196,7 +196,9 @@ def _letter(text: str) -> Column:
 
 
 def predict(docs: DataFrame, text: str, trees: ContextTrees, pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Add the predicted label and its posterior (0 to 1) to every row of ``docs``."""
+    """Add the predicted label and its posterior (0 to 1) to every row of ``docs``; a name that
+    ``docs`` has already gets ``_2``, ``_3``, ... added."""
+    pred, score = free(pred, docs.columns), free(score, docs.columns)
     tune(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     source = docs.select(*[F.col(f"`{c}`").alias(f"_q_{i}") for i, c in enumerate(docs.columns)],

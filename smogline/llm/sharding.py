@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import free, stored, table
 
 BITS = 60
 LIMIT = 8 << 20
@@ -110,6 +110,9 @@ OP6_SQL = sql()
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the columns of the documents and their shard."""
+    """Pipeline stage: the columns of the documents and their shard (``shard_id``, ``shard_depth``,
+    ``shard_bytes``; a name that the documents have already gets ``_2``, ``_3``, ...)."""
     out = shard(docs, "doc_id", "text")
-    return out.select(*[F.col(f"_q_{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("shard").alias("shard_id"), F.col("depth").cast("int").alias("shard_depth"), F.col("shard_bytes"))
+    name = lambda n: free(n, docs.columns)
+    return out.select(*[F.col(f"_q_{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("shard").alias(name("shard_id")),
+                      F.col("depth").cast("int").alias(name("shard_depth")), F.col("shard_bytes").alias(name("shard_bytes")))

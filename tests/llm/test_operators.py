@@ -394,3 +394,21 @@ def test_simhash_dense_cluster_is_one_component():
     ball = np.unique(np.array([base ^ np.uint64(1 << i) ^ np.uint64(1 << j) for i in range(64) for j in range(64)], np.uint64))
     a, b = simhash.shard_links(ball, np.zeros(0, np.uint64))
     assert len(a) == len(ball) - 1 and (b == ball.min()).all()
+
+
+def test_predicted_columns_give_way_to_given_ones(spark):
+    docs = spark.createDataFrame([(1, "plain english words here", "en", 0.5, "x"), (2, "mots en langue française", "fr", 0.5, "x")], "doc_id long, text string, lang string, score double, lang_pred string")
+    trees = language_id.learn(docs, "text", "lang", F.lit(True))
+    out = language_id.predict(docs, "text", trees)
+    assert out.columns == [*docs.columns, "lang_pred_2", "score_2"]
+    assert {(r.lang, r.lang_pred_2, r.score) for r in out.collect()} == {("en", "en", 0.5), ("fr", "fr", 0.5)}
+
+
+def test_mixing_counts_equal_rows(spark):
+    """Rows that share their id, or have none: a source's target is met within half a document."""
+    ten = " ".join(["w"] * 10)
+    rows = [(None, ten, "a")] * 1000 + [(i, ten, "b") for i in range(1000)] + [(7, ten, "c")] * 1000 + [(None, f"{ten} {i}", "d") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    out = mixing.mix(docs, "doc_id", "text", "source").groupBy("_q_2", "target").agg(F.sum(F.col("_q_size") * F.col("_q_copies")).alias("taken"), F.max("_q_copies").alias("most"))
+    for r in out.collect():
+        assert abs(r.taken - r.target) <= 5.5 and r.most <= 3
