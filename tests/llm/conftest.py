@@ -36,12 +36,16 @@ def odd_documents(spark, tmp_path_factory):
     bench.write.parquet(f"{d}/benchmark.parquet")
     pages = [(1, "http://h.example/1", "<html><body><nav>menu</nav><article><h1>T &amp; U</h1><p>One  two<p>three<br>four</article><footer>f</footer>"), (2, None, None), (None, "odd", ""), (3, "http://h.example/2", "<article><p>cut sh<b"), (3, "http://h.example/2", "<article><p>cut sh<b")]
     spark.createDataFrame(pages, "page_id long, url string, html string").withColumnRenamed("page_id", "page_id").write.parquet(f"{d}/pages.parquet")
+    vectors = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [0.0, 0.5], None), (2, None, 1), (3, [float("nan"), 1.0], 1), (4, [0.25, -1.0], 1), (5, [], 1)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
+    turns = [(0, 0, "user", "hi"), (0, None, None, None), (0, 0, "user", "hi"), (7, 1, "user", ""), (7, 2, "bot", long), (None, 1, "user", "x"), (107, 1, "user", "x"), (-3, 1, None, "y")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return d
 
 
 @pytest.fixture(scope="session")
 def empty_tables(spark, odd_documents, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings", "conversations"):
         spark.read.parquet(f"{odd_documents}/{t}.parquet").where("false").write.parquet(f"{d}/{t}.parquet")
     return d
