@@ -64,8 +64,8 @@ FROM (SELECT city, sensor_id, CAST(substr(ts_local, 1, 10) AS DATE) AS date,
 )
 def q_scan_airqual_payload(spark, d):
     root = scratch_path(spark, "sensor-payload")
-    payload.write_sensor_payloads(_rollup_with_periods(spark, d), root)
-    return payload.scan_airqual_payload(spark, root)
+    payload.pack_sensor_payloads(_rollup_with_periods(spark, d), root)
+    return payload.scan_packed_payload(spark, root)
 
 
 # ---------------------------------------------------------------------------

@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources import storage
 from ..streaming.periodic import stream_periodic
 from ..streaming.rollup import stream_daily_rollup, write_arrivals
-from .registry import FOLD_CTES, SCHED_CTES, events, full, readings, register, schedule, weather
+from .registry import FOLD_CTES, ROLLUP_DOUBLES, SCHED_CTES, events, full, readings, register, schedule, weather
 from .sql_prelude import windowed, with_ctes
 
 FEATURES = list(config.SELECTED_FEATURES)
@@ -285,9 +285,11 @@ def q_stream_periodic(spark, d):
     "stream_daily_rollup",
     with_ctes("""
 SELECT city, sensor_id, CAST(substr(ts_local, 1, 10) AS DATE) AS date, avg(value) AS pm25_avg,
-  min(value) AS pm25_min, max(value) AS pm25_max, count(*) AS n_readings
+  min(value) AS pm25_min, quantile_cont(value, 0.25) AS pm25_q25, quantile_cont(value, 0.5) AS pm25_median,
+  quantile_cont(value, 0.75) AS pm25_q75, max(value) AS pm25_max,
+  count(DISTINCT substr(ts_local, 12, 2)) * 100.0 / 24 AS coverage, count(*) AS n_readings
 FROM events_raw GROUP BY 1, 2, 3""", "events_raw"),
-    ["pm25_avg", "pm25_min", "pm25_max"],
+    ROLLUP_DOUBLES,
 )
 def q_stream_daily_rollup(spark, d):
     src = scratch_path(spark, "raw-readings")

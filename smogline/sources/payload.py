@@ -14,6 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config, schemas
 from .. import functions as fx
@@ -24,12 +25,15 @@ EARTH_RADIUS_M = 6371000.0
 
 # --- sensor measurement payloads ----------------------------------------------
 
-def write_sensor_payloads(daily: DataFrame, root: str) -> str:
+PACK_BYTES = 128 << 20
+
+
+def _sensor_payloads(daily: DataFrame) -> DataFrame:
     """One payload per (city, sensor): ``{meta: {found}, results: [...]}``.
 
     ``daily`` has the daily-rollup columns plus local/UTC period strings.
     A payload holds one sensor's days (one row per day — bounded by the
-    calendar), written under ``city=…/sensor_id=…``.
+    calendar).
     """
     result = F.struct(
         F.struct(
@@ -43,14 +47,53 @@ def write_sensor_payloads(daily: DataFrame, root: str) -> str:
         ).alias("summary"),
         F.struct(F.col("coverage").alias("percentComplete")).alias("coverage"),
     )
-    payload = daily.groupBy("city", "sensor_id").agg(
+    return daily.groupBy("city", "sensor_id").agg(
         F.struct(F.count(F.lit(1)).alias("found")).alias("meta"),
         F.sort_array(F.collect_list(F.struct(F.col("date_from_utc").alias("_k"), result.alias("r")))).alias("_rs"),
     ).select("city", "sensor_id", "meta", F.col("_rs.r").alias("results"))
-    payload.write.mode("overwrite").partitionBy("city", "sensor_id").json(root)
+
+
+def write_sensor_payloads(daily: DataFrame, root: str) -> str:
+    """A file per payload under ``city=…/sensor_id=…``, as a fetch of single sensors leaves them."""
+    _sensor_payloads(daily).write.mode("overwrite").partitionBy("city", "sensor_id").json(root)
     return root
 
 
+def pack_sensor_payloads(daily: DataFrame, root: str, file_bytes: int = PACK_BYTES) -> str:
+    """Payloads as JSON lines in files of about ``file_bytes``, in order of sensors, and a manifest.
+
+    ``<root>/data`` holds the lines, each with its city and sensor; ``<root>/manifest`` a row per
+    file: its name, bytes, payloads and least and greatest sensor.  The number of files follows the
+    bytes, not the sensors; a scan of some sensors reads only the files whose range holds one.
+    """
+    lines = _sensor_payloads(daily).select("sensor_id", "city", F.to_json(F.struct("city", "sensor_id", "meta", "results")).alias("value")).checkpoint()
+    total = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+    files = max(1, -(-total // file_bytes))
+    ordered = lines.repartitionByRange(files, "sensor_id", "city").sortWithinPartitions("sensor_id", "city")
+    ordered.select("value").write.mode("overwrite").text(f"{root}/data")
+    _packed(lines.sparkSession, f"{root}/data").groupBy("file").agg(
+        F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("payloads"), F.min("sensor_id").alias("first"), F.max("sensor_id").alias("last"),
+    ).write.mode("overwrite").parquet(f"{root}/manifest")
+    return root
+
+
+def _packed(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField("city", T.StringType()), T.StructField("sensor_id", T.LongType()), *schemas.SENSOR_PAYLOAD.fields])
+    raw = spark.read.schema(schema).json(path)
+    return raw.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+
+
+def scan_packed_payload(spark: SparkSession, root: str, sensors: list[int] | None = None) -> DataFrame:
+    """``scan_airqual_payload`` of packed payloads; with ``sensors``, of theirs alone, read
+    from the files that the manifest names for them."""
+    if sensors is None:
+        return _flat_payload(_packed(spark, f"{root}/data"))
+    wanted = F.exists(F.array(*[F.lit(int(s)) for s in sensors]), lambda s: s.between(F.col("first"), F.col("last"))) if sensors else F.lit(False)
+    names = [r["file"] for r in spark.read.parquet(f"{root}/manifest").where(wanted).select("file").collect()]  # the files to read
+    raw = _packed(spark, [f"{root}/data/{n}" for n in names]) if names else _packed(spark, f"{root}/data").where("false")
+    return _flat_payload(raw.where(F.col("sensor_id").isin(*[int(s) for s in sensors])))
+
+
 def period_strings(date: Column, offset_hours: int = 2) -> list[Column]:
     """Local midnight-to-midnight period of a day in a fixed UTC offset."""
     start_local = F.to_timestamp(date)
@@ -71,7 +114,10 @@ def scan_airqual_payload(spark: SparkSession, root: str) -> DataFrame:
     Sensors with empty ``results`` contribute no row.  ``date`` is the first
     ten characters of the local period start.
     """
-    raw = spark.read.schema(schemas.SENSOR_PAYLOAD).option("basePath", root).json(root)
+    return _flat_payload(spark.read.schema(schemas.SENSOR_PAYLOAD).option("basePath", root).json(root))
+
+
+def _flat_payload(raw: DataFrame) -> DataFrame:
     r = raw.select("city", F.col("sensor_id").cast("long").alias("sensor_id"), F.explode("results").alias("r"))
     return r.select(
         "sensor_id",

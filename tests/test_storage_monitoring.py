@@ -233,3 +233,27 @@ def test_processed_csv_keeps_its_types(spark):
     wide = schemas.processed(config.features_for("all_lags_14"))
     with pytest.raises(Exception):  # noqa: B017  other columns than the header's
         storage.load_csv(spark, root, "processed", schema=wide).collect()
+
+
+def test_packed_payloads(spark):
+    from smogline.operators.rollup import ROLLUP_KEYS
+
+    rows = [("Paris" if s % 2 else "Lyon", s, dt.date(2024, 1, 1) + dt.timedelta(days=k), *[float(s + k + i) for i in range(6)], 50.0) for s in range(60) for k in range(5)]
+    cols = [*ROLLUP_KEYS, "pm25_avg", "pm25_min", "pm25_q25", "pm25_median", "pm25_q75", "pm25_max", "coverage"]
+    daily = spark.createDataFrame(rows, cols).select("*", *payload.period_strings(F.col("date")))
+    single, packed = scratch_path(spark, "t-single"), scratch_path(spark, "t-packed")
+    payload.write_sensor_payloads(daily, single)
+    payload.pack_sensor_payloads(daily, packed, file_bytes=20_000)
+    want = sorted(payload.scan_airqual_payload(spark, single).collect())
+    assert sorted(payload.scan_packed_payload(spark, packed).collect()) == want and len(want) == 300
+    # files follow the bytes, not the 60 sensors
+    manifest = spark.read.parquet(f"{packed}/manifest")
+    total = manifest.agg(F.sum("bytes")).first()[0]
+    assert total / 20_000 / 2 < manifest.count() <= total / 20_000 + 1 < 60
+    assert manifest.agg(F.sum("payloads")).first()[0] == 60
+    # a sensor's scan reads one file; an unknown one reads none
+    one = payload.scan_packed_payload(spark, packed, [17])
+    assert len(one.inputFiles()) == 1 and sorted(one.collect()) == [r for r in want if r.sensor_id == 17]
+    assert payload.scan_packed_payload(spark, packed, [999]).count() == 0 and payload.scan_packed_payload(spark, packed, []).count() == 0
+    payload.pack_sensor_payloads(daily.where("false"), packed + "-none")
+    assert payload.scan_packed_payload(spark, packed + "-none", [1]).count() == 0

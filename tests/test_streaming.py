@@ -33,3 +33,27 @@ def test_stream_rollup_equals_batch_rollup(spark):
         assert g.n_readings == r.n_readings
         assert g.pm25_min == r.pm25_min and g.pm25_max == r.pm25_max
         assert g.pm25_avg == pytest.approx(r.pm25_avg, rel=1e-12)
+        for c in ("pm25_q25", "pm25_median", "pm25_q75", "coverage"):
+            assert g[c] == pytest.approx(r[c], rel=1e-12), c
+
+
+def test_late_rows_count_until_the_watermark_has_passed(spark):
+    """A late row inside the watermark changes its day's quantiles and hours; one behind it changes nothing."""
+    src, out_root, ckpt = (scratch_path(spark, f"t-late-{x}") for x in ("src", "out", "ckpt"))
+    day = dt.datetime(2024, 5, 10, 6)
+    arrivals = [
+        [(day, 10.0), (day + dt.timedelta(hours=3), 20.0)],
+        [(day + dt.timedelta(days=1), 1.0)],
+        [(day + dt.timedelta(hours=5), 60.0)],  # late, its day still open
+        [(day + dt.timedelta(days=9), 1.0)],
+        [(day + dt.timedelta(days=10), 1.0)],  # the first day is closed now
+        [(day + dt.timedelta(hours=7), 1000.0)],
+    ]
+    for i, part in enumerate(arrivals):
+        rows = [("c", 1, 10 * i + k, ts, v) for k, (ts, v) in enumerate(part)]
+        raw = spark.createDataFrame(rows, "city string, sensor_id long, event_id long, ts timestamp, value double")
+        raw.withColumn("ts_local", local_stamp(F.col("ts"))).write.parquet(f"{src}/slice={i:03d}")
+        table = stream_daily_rollup(spark, f"{src}/slice=*", out_root, ckpt)
+    first = table.where("date = '2024-05-10'").first()
+    assert (first.n_readings, first.pm25_q25, first.pm25_median, first.pm25_q75, first.pm25_max) == (3, 15.0, 20.0, 40.0, 60.0)
+    assert first.coverage == pytest.approx(3 * 100 / 24)
