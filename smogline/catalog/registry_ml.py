@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import config
+from ..plans import events as loop_log
 from ..plans import flows, forecast, gram
 from ..plans import preprocess as pp
 from ..session import scratch_path
@@ -269,6 +270,37 @@ def q_periodic_step(spark, d):
     return storage.read_table(spark, ws.batches)
 
 
+@register(
+    "replay_events",
+    with_ctes("""
+SELECT batch_start, batch_end, CAST(1 AS BIGINT) AS scored, CAST(1 AS BIGINT) AS champions, true AS batch_agrees, true AS models_agree
+FROM sched""", "full_eval", extra=SCHED_CTES),
+)
+def q_replay_events(spark, d):
+    """The whole loop with ridge models, then its event log folded: each batch scored once, the
+    folded batch log and registry equal to the tables, one champion at the end of every batch."""
+    sources = _sources(spark, d)
+    ws = flows.Workspace(scratch_path(spark, "replay"))
+    lo, hi = _reference_window(spark, d)
+    first = weather(spark, d).agg(F.min("date")).first()[0]
+    flows.bootstrap_train_flow(spark, ws, sources, first, lo - dt.timedelta(days=1), FEATURES, "ridge")
+    flows.bootstrap_eval_flow(spark, ws, sources, lo, hi)
+    sc = schedule(spark, d).checkpoint(eager=True)
+    for b in range(1, config.BATCH_COUNT + 1):
+        flows.periodic_flow(spark, ws, sources, sc, b, FEATURES, "ridge")
+    log = loop_log.read(spark, ws.events).checkpoint()
+    models_agree = loop_log.agrees(loop_log.fold_models(log), storage.read_table(spark, ws.models))
+    held = storage.read_table(spark, ws.batches)
+    folded = loop_log.fold_batches(log)
+    same = folded.join(held.select("batch_start", F.struct(*held.columns).alias("_held")), "batch_start", "left")
+    same = same.select("batch_start", "batch_end", F.struct(*[F.col(c) for c in held.columns]).eqNullSafe(F.col("_held")).alias("batch_agrees"))
+    scored = log.groupBy("batch_start").agg(F.count_if(F.col("kind") == loop_log.SCORED).alias("scored"))
+    ends = {r["batch_start"]: r["at"] for r in log.where("batch_start IS NOT NULL").groupBy("batch_start").agg(F.max("at").alias("at")).collect()}  # one row per batch
+    champions = [(s, loop_log.fold_models(loop_log.read(spark, ws.events, at)).where(F.col("alias") == config.CHAMPION).count()) for s, at in ends.items()]
+    champions = spark.createDataFrame(champions, "batch_start date, champions long")
+    return same.join(scored, "batch_start").join(champions, "batch_start").withColumn("models_agree", F.lit(models_agree))
+
+
 @register("stream_periodic")
 def q_stream_periodic(spark, d):
     ws = _bootstrapped(spark, d)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .. import config, schemas
 from ..sources import storage
-from . import forecast, monitoring
+from . import events, forecast, monitoring
 from . import preprocess as pp
 
 
@@ -54,6 +54,10 @@ class Workspace:
     def predictions(self) -> str:
         return f"{self.root}/tables/predictions"
 
+    @property
+    def events(self) -> str:
+        return f"{self.root}/events"
+
     def store(self, version: str) -> str:
         return f"{self.root}/store/{version}"
 
@@ -121,6 +125,7 @@ def bootstrap_train(
     model.write().overwrite().save(ws.store(version))
     new = _model_row(spark, version, bounds["s"], bounds["e"]).drop("alias")
     storage.write_table(monitoring.register_version(models, new), ws.models)
+    events.append(spark, ws.events, [events.event(events.REGISTERED, version, train=(bounds["s"], bounds["e"]))])
     return version
 
 
@@ -141,6 +146,7 @@ def bootstrap_eval(
     b = test.agg(F.min("date").alias("s"), F.max("date").alias("e")).first()
     upd = _model_row(spark, row["model_version"], row["train_start"], row["train_end"], b["s"], b["e"], score, row["alias"])
     storage.upsert_model(spark, ws.models, upd)
+    events.append(spark, ws.events, [events.event(events.EVALUATED, row["model_version"], score, window=(b["s"], b["e"]))])
     return score
 
 
@@ -266,6 +272,14 @@ def _monitor(
           dt.datetime.combine(end + dt.timedelta(days=1), dt.time()), promoted)],
         schemas.BATCHES,
     )
+    happened = [events.event(events.SCORED, champ["model_version"], champ_score, batch=(start, end))]
+    if drift:
+        happened.append(events.event(events.DRIFTED, champ["model_version"], champ["reference_rmse"], batch=(start, end)))
+        happened.append(events.event(events.TRAINED, chall_version, chall_score, (b["train_start"], b["train_end"]), (start, end), (start, end)))
+    if promoted:
+        happened.append(events.event(events.PROMOTED, chall_version, chall_score, batch=(start, end)))
+    # the log first: a batch whose row is missing runs again, and its last attempt counts
+    events.append(spark, ws.events, happened)
     storage.log_batch(spark, ws.batches, log)
 
     version = chall_version if promoted else champ["model_version"]

@@ -81,6 +81,20 @@ MODELS = _struct(
     ("alias", S),
 )
 
+EVENTS = _struct(
+    ("at", T.TimestampType()),
+    ("step", I),
+    ("kind", S),
+    ("model_version", S),
+    ("score", D),
+    ("train_start", DT),
+    ("train_end", DT),
+    ("eval_start", DT),
+    ("eval_end", DT),
+    ("batch_start", DT),
+    ("batch_end", DT),
+)
+
 PREDICTIONS = _struct(("date", DT), ("city", S), ("y_true", D), ("y_pred", D), ("model_version", S))
 
 # --- raw JSON payloads -----------------------------------------------------

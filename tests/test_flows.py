@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from smogline import config
-from smogline.plans import flows, monitoring
+from smogline.plans import events, flows, monitoring
 from smogline.plans import preprocess as pp
 from smogline.session import scratch_path
 from smogline.sources import fixtures, storage
@@ -42,6 +42,12 @@ def test_bootstrap_and_periodic_steps(spark):
     both = [sched.filter(F.col("batch") == b).first() for b in (1, 2)]
     assert preds.count() == sum(ev.filter((F.col("date") >= b.batch_start) & (F.col("date") < b.batch_end)).count() for b in both)
     assert flows.next_batch(spark, ws, sched) == 3
+    # the event log folds into both tables, also when a batch was run again
+    log = lambda: events.read(spark, ws.events)
+    assert events.agrees(events.fold_models(log()), models) and events.agrees(events.fold_batches(log()), batches)
+    flows.periodic_step(spark, ws, ev, tr, sched, 2, feats, "ridge", force=True)
+    assert events.agrees(events.fold_batches(log()), storage.read_table(spark, ws.batches))
+    assert events.agrees(events.fold_models(log()), storage.read_table(spark, ws.models))
 
 
 def test_flows_build_each_window_from_its_own_days(spark):
@@ -83,3 +89,37 @@ def test_trees_take_more_cities_than_default_bins(spark):
     df = spark.createDataFrame(rows, "city string, date date, lag_1 double, target double")
     model, _ = forecast.train_model(df, ["city", "lag_1"], "gbt", categorical_native=True, maxIter=1)
     assert model.transform(df).count() == 200
+
+
+def test_fold_follows_promotions(spark):
+    """Two challengers, of which the second is promoted; then one more that is not."""
+    import datetime as dt
+
+    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
+    path = scratch_path(spark, "t-events")
+    w = lambda k: (day(42 * k), day(42 * k + 41))
+    past = (day(-99), day(-1))
+    e = events.event
+    steps = [
+        [e("registered", "1", train=past)],
+        [e("evaluated", "1", 0.5, window=(day(-42), day(-1)))],
+        [e("scored", "1", 0.52, batch=w(0))],
+        [e("scored", "1", 0.6, batch=w(1)), e("drifted", "1", 0.5, batch=w(1)), e("trained", "2", 0.61, past, w(1), w(1))],
+        [e("scored", "1", 0.7, batch=w(2)), e("drifted", "1", 0.5, batch=w(2)), e("trained", "3", 0.4, past, w(2), w(2)), e("promoted", "3", 0.4, batch=w(2))],
+        [e("scored", "3", 0.9, batch=w(3)), e("drifted", "3", 0.4, batch=w(3)), e("trained", "4", 0.95, past, w(3), w(3))],
+    ]
+    alias = []
+    for step in steps:
+        events.append(spark, path, step)
+        alias.append({r.model_version: r.alias for r in events.fold_models(events.read(spark, path)).collect()})
+    assert alias[2] == {"1": "champion"} and alias[3] == {"1": "champion", "2": "challenger"}
+    assert alias[4] == {"1": "archived", "2": "archived", "3": "champion"}
+    assert alias[5] == {"1": "archived", "2": "archived", "3": "champion", "4": "challenger"}
+    rows = {r.batch_start: r for r in events.fold_batches(events.read(spark, path)).collect()}
+    assert [(rows[w(k)[0]].drift_detected, rows[w(k)[0]].challenger_version, rows[w(k)[0]].promotion_applied) for k in range(4)] == [
+        (False, None, None), (True, "2", False), (True, "3", True), (True, "4", False)]
+    # the state at an earlier time
+    cut = sorted(r[0] for r in events.read(spark, path).select("at").distinct().collect())[3]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    past_state = events.read(spark, path).where(F.col("at") <= F.lit(cut))
+    assert {r.model_version: r.alias for r in events.fold_models(past_state).collect()} == alias[3]
