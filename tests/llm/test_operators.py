@@ -4,6 +4,7 @@ that hold nulls, empty and long texts, ties, repeated rows and clashing names.""
 import collections
 import hashlib
 import html
+import json
 import math
 import random
 import re
@@ -412,3 +413,64 @@ def test_mixing_counts_equal_rows(spark):
     out = mixing.mix(docs, "doc_id", "text", "source").groupBy("_q_2", "target").agg(F.sum(F.col("_q_size") * F.col("_q_copies")).alias("taken"), F.max("_q_copies").alias("most"))
     for r in out.collect():
         assert abs(r.taken - r.target) <= 5.5 and r.most <= 3
+
+
+def recipe(i, extra=""):
+    steps = "".join(f"<li>step {i} {k} of the dish</li>" for k in range(4))
+    return (f"<html><body><nav>menu</nav><article><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li>flour {i}</li><li>salt {i * 7}</li></ul>"
+            f"<h2>Method</h2><ol>{steps}</ol><table><thead><tr><th>Name</th></tr></thead><tbody><tr><td>value {i}</td></tr></tbody></table>"
+            f"<div class=box>Buy our knives today</div>{extra}</article><footer>foot</footer></body></html>")
+
+
+@pytest.mark.parametrize("pages", [3, 4, 6])
+def test_constant_heads_over_varying_text_stay(spark, pages):
+    rows = [(i, f"http://cook.example/{i}", recipe(i)) for i in range(pages)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), "url", "html").collect()
+    for r in got:
+        blocks = r._q_text.split("\n\n")
+        assert blocks[:4] == [f"Dish {r._q_0}", "Ingredients", f"flour {r._q_0}", f"salt {r._q_0 * 7}"]
+        assert "Method" in blocks and "Name" in blocks and f"value {r._q_0}" in blocks
+        assert ("Buy our knives today" in blocks) == (pages < html_extract.MIN_PAGES)  # a constant that introduces nothing is template
+
+
+def test_template_is_decided_for_the_host(spark):
+    """A short page of a host loses the host's constant advert as its sister pages do."""
+    rows = [(i, f"http://a.example/{i}", f"<article><p>{'long text ' * 30}{i}</p><div>constant advert of the host, rather long as adverts go</div></article>") for i in range(6)]
+    rows.append((9, "http://a.example/9", "<article><p>tiny</p><div>constant advert of the host, rather long as adverts go</div></article>"))
+    got = {r._q_0: r._q_text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), "url", "html").collect()}
+    assert got[9] == "tiny" and all("advert" not in x for x in got.values())
+
+
+def test_alignment_of_very_long_lists():
+    import time
+
+    page = lambda n, last="": html_extract.skeleton(html_extract.parse("<dl>" + "".join(f"<dt>t{i}<dd>d{i}" for i in range(n)) + f"</dl>{last}"))[0]
+    dump = lambda t: json.dumps(t, separators=(",", ":"))
+    began = time.time()
+    to = html_extract.align(dump(page(10_000)), dump(page(9_000, "<p>end</p>")))
+    assert to == {at: at for at in range(2 + 2 * 9_000)}
+    odd = ["#root", *([["a"], ["b"]] * 1500), ["x"], *([["c"]] * 1), *([["b"], ["a"]] * 1500)]
+    other = ["#root", ["z"], *([["b"], ["a"]] * 1500), ["x"], *([["a"], ["b"]] * 1500), ["z"]]
+    to = html_extract.align(dump(odd), dump(other))
+    assert len(to) > 2500 and [v for _, v in sorted(to.items())] == sorted(to.values())
+    assert time.time() - began < 60
+
+
+def test_alignment_equals_the_full_table():
+    """Cutting equal ends off loses no match: sizes equal the plain recursion's on small random trees."""
+    def grow(depth):
+        return [rnd.choice("ab"), *[grow(depth - 1) for _ in range(rnd.randrange(4) if depth else 0)]]
+
+    def plain(x, y):
+        if x[0] != y[0]:
+            return 0
+        best = [[0] * len(y) for _ in x]
+        for i in range(1, len(x)):
+            for j in range(1, len(y)):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain(x[i], y[j]))
+        return 1 + best[-1][-1]
+
+    rnd = random.Random(8)
+    for _ in range(300):
+        x, y = ["r", *grow(3)[1:]], ["r", *grow(3)[1:]]
+        assert len(html_extract.align(json.dumps(x), json.dumps(y))) == plain(x, y)
