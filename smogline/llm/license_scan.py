@@ -1,28 +1,29 @@
 r"""License scan: exact set-similarity join of text blocks with license notices.
 
-A document's words are cut into overlapping blocks of ``BLOCK`` words, one
-every ``BLOCK / 2``, so any run of up to ``BLOCK / 2`` words, and with it every
-notice that stands verbatim, lies whole in one block.  A block matches a template
-if at least ``THRESHOLD`` of the template's distinct words are in it
-(containment of the template).
+A block is any run of ``BLOCK`` words of a document (of twice a longer template's
+words), wherever it starts.  It matches a template if at least ``THRESHOLD`` of
+the template's distinct words are in it (containment of the template).
 
 The join is exact and filtered in the usual way.  Tokens are ordered by their
 document frequency over the whole corpus, rarest first.  To share
-alpha = ceil(threshold * size) tokens with a template, the first
-size - alpha + 1 tokens of the template and the first |B| - alpha + 1 of the
-block (counted among the tokens any template has, others cannot overlap) must
-share one: the prefix filter.  Blocks with fewer than alpha such tokens are
-out: the length filter.  From the places i, j of a shared token, at most
-1 + min(tokens after i, tokens after j) can be shared: the positional filter.
-What is left is counted exactly.  The template side is a list of this module,
-so its broadcast has a fixed size; documents are never shuffled, only matched
-blocks and one narrow row per document are.
+alpha = ceil(threshold * size) tokens with a template, a block must hold one of
+its first size - alpha + 1 tokens: the prefix filter.  So the search starts at
+the places of such tokens only, joined with the templates they lead to; each is
+taken for the rarest token that the two share, the other places see to the rest.
+Then only the template's tokens from it on can be shared: the positional filter.
+If the words within a block's reach of the place hold fewer than alpha of them,
+none of its blocks can match: the length filter.  Of the blocks that hold the
+place, those that start at a word of the template are counted exactly; a block
+that starts elsewhere has no more of its words than the next one that does.
+The template side is a list of this module, so its broadcast has a fixed size;
+documents are never shuffled, only one narrow row per document is.  A place
+carries the words around it, not the document.
 
 The base counts places where a label's phrase stands word for word.
 
 Defined results: null or empty text: no words, no labels, nulls for the
 places; a phrase that overlaps itself counts at every place; repeated rows are
-separate; score is the highest containment of a matched block, 0 without one,
+separate; score is the highest containment of a block that matches, 0 without one,
 and 1 where a base phrase stands.
 """
 
@@ -98,45 +99,42 @@ def _all(conditions: list[Column]) -> Column:
 
 
 def matched_blocks(rows: DataFrame, ranks: str, seen: str, order: list[str], templates: list[tuple[str, str]], threshold: float, block: int) -> DataFrame:
-    """``rows`` (without ``ranks`` and ``seen``, the rank of each word and the
-    distinct ones), each with ``_q_template`` (null: no match), ``_q_block`` and ``_q_score``."""
+    """``rows`` (without ``ranks`` and ``seen``, the rank of each word and the distinct ones), each
+    with ``_q_template`` (null: no match), ``_q_block`` (the block's first word) and ``_q_score``."""
     spark = rows.sparkSession
     rank = {w: i for i, w in enumerate(order)}
-    sets = [(k, label, sorted({rank[w] for w in text.split()})) for k, (label, text) in enumerate(templates)]
-    alphas = {k: _alpha(len(s), threshold) for k, _, s in sets}
-    least = min(alphas.values())
-    prefixes = [(s[i], k, i, len(s), alphas[k], s) for k, _, s in sets for i in range(len(s) - alphas[k] + 1)]
-    index = F.broadcast(spark.createDataFrame(prefixes, "t_rank int, t_id int, t_at int, t_size int, t_alpha int, t_set array<int>"))
+    sets = [(k, sorted({rank[w] for w in text.split()}), max(block, 2 * len(text.split()))) for k, (_, text) in enumerate(templates)]
+    alphas = {k: _alpha(len(s), threshold) for k, s, _ in sets}
+    prefixes = [(s[i], k, len(s), alphas[k], s[i:], n) for k, s, n in sets for i in range(len(s) - alphas[k] + 1)]
+    index = F.broadcast(spark.createDataFrame(prefixes, "t_rank int, t_id int, t_size int, t_alpha int, t_left array<int>, t_block int"))
+    reach = max(n for _, _, n in sets)
 
-    step = block // 2
     r, d = F.col(ranks), F.col(seen)
-    # a block has no token that its text lacks: texts that cannot hold alpha tokens of any template are not cut
+    # a block has no token that its text lacks: texts that cannot hold alpha tokens of any template are not searched
     able = F.lit(False)
-    for k, _, s in sets:
+    for k, s, _ in sets:
         able = able | (F.size(F.array_intersect(d, F.array(*map(F.lit, s)))) >= alphas[k])
-    count = F.greatest(F.ceil((F.size(r) - F.lit(step)) / F.lit(step)).cast("int"), F.lit(1))
-    tokens = lambda b: F.sort_array(F.array_distinct(F.filter(F.slice(r, b * step + 1, F.lit(block)), lambda x: x.isNotNull())))
-    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.struct(b.alias("b"), tokens(b).alias("s")))
-    cut = F.when(able, F.filter(cut, lambda x: F.size(x["s"]) >= least))
-    blocks = rows.withColumn("_q_cut", cut).drop(ranks, seen).withColumn("_q_b", F.explode_outer("_q_cut")).drop("_q_cut")
-    blocks = blocks.withColumns({"_q_block": F.col("_q_b.b"), "_q_set": F.col("_q_b.s")}).drop("_q_b")
-    prefix = F.slice("_q_set", F.lit(1), F.greatest(F.size("_q_set") - least + 1, F.lit(0)))
-    probes = blocks.select("*", F.posexplode_outer(prefix).alias("_q_at", "_q_rank"))
-    left = F.least(F.col("t_size") - F.col("t_at"), F.size("_q_set") - F.col("_q_at"))  # tokens from here on
-    fits = (F.col("_q_rank") == F.col("t_rank")) & (F.size("_q_set") >= F.col("t_alpha")) & (left >= F.col("t_alpha"))
-    met = probes.join(index, fits, "left")
-    shared = F.size(F.array_intersect("_q_set", "t_set"))
-    hit = shared >= F.col("t_alpha")
-    return met.withColumns({"_q_template": F.when(hit, F.col("t_id")), "_q_score": F.when(hit, shared / F.col("t_size"))}).drop(
-        "_q_set", "_q_at", "_q_rank", "t_rank", "t_id", "t_at", "t_size", "t_alpha", "t_set")
+    start = lambda i: F.greatest(i - F.lit(reach - 1), F.lit(0))
+    around = lambda i: F.struct(i.alias("at"), F.get(r, i).alias("rank"), start(i).alias("from"), F.slice(r, start(i) + 1, i - start(i) + reach).alias("words"))
+    first = sorted({p[0] for p in prefixes})
+    found = F.filter(F.transform(r, lambda x, i: F.when(x.isin(first), i)), lambda i: i.isNotNull())
+    probes = rows.withColumn("_q_at", F.when(able, F.transform(found, around))).drop(ranks, seen).withColumn("_q_at", F.explode_outer("_q_at"))
+    met = probes.join(index, F.col("_q_at.rank") == F.col("t_rank"), "left")
+    words, at, begin, left, n = F.col("_q_at.words"), F.col("_q_at.at"), F.col("_q_at.from"), F.col("t_left"), F.col("t_block")
+    starts = F.filter(F.sequence(F.greatest(at - n + 1, begin), at), lambda s: F.array_contains(left, F.coalesce(F.get(words, s - begin), F.lit(-1))))
+    counted = F.transform(starts, lambda s: F.struct(F.size(F.array_intersect(F.slice(words, s - begin + 1, n), left)).alias("n"), (-s).alias("s")))
+    best = F.when(F.size(F.array_intersect(words, left)) >= F.col("t_alpha"), F.array_max(counted))
+    met = met.withColumn("_q_best", best)
+    hit = F.col("_q_best.n") >= F.col("t_alpha")
+    return met.withColumns({"_q_template": F.when(hit, F.col("t_id")), "_q_block": F.when(hit, -F.col("_q_best.s")), "_q_score": F.when(hit, F.col("_q_best.n") / F.col("t_size"))}).drop(
+        "_q_at", "_q_best", "t_rank", "t_id", "t_size", "t_alpha", "t_left", "t_block")
 
 
 def scan(docs: DataFrame, doc_id: str, text: str, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """One row per document and matched block (a document without one has one
-    row with nulls): ``_q_row``, ``_q_id``, ``_q_words``, ``_q_places`` (per
+    """One row per document, place of a prefix token and template it leads to (a document
+    without one has one row with nulls): ``_q_row``, ``_q_id``, ``_q_words``, ``_q_places`` (per
     phrase), ``_q_block``, ``_q_template`` and ``_q_score``."""
     templates = templates or TEMPLATES
-    assert all(len(t.split()) <= block // 2 for _, t in templates), "a template must fit half a block"
     vocabulary = sorted({w for t in [*PHRASES, *(t for _, t in templates)] for w in t.split()})
     only = docs.select(F.col(doc_id).alias("_q_id"), F.col(text).alias("_q_text"))
     order = token_order(only, "_q_text", vocabulary)
@@ -166,18 +164,19 @@ def op1_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    """The same by brute force: every block with every template."""
+    """The same by brute force: every block that starts at a word of a template, with every template."""
     q = lambda x: "'" + x + "'"
     phrase = ", ".join(f"({q(p)}, {q(k)})" for p, k in PHRASES.items())
     template = ", ".join(f"({q(k)}, {q(t)}, {_alpha(len(set(t.split())), THRESHOLD)})" for k, t in TEMPLATES)
-    step = BLOCK // 2
+    assert all(2 * len(t.split()) <= BLOCK for _, t in TEMPLATES)
     return rf"""
 WITH phrase(p, label) AS (VALUES {phrase}), ph AS (SELECT string_split(p, ' ') AS p, label FROM phrase),
 tpl(label, t, alpha) AS (VALUES {template}), tp AS (SELECT label, list_distinct(string_split(t, ' ')) AS t, alpha FROM tpl),
 d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 place AS (SELECT rid, i - 1 AS i, label FROM (SELECT rid, w, unnest(generate_series(1, len(w))) AS i FROM d) x JOIN ph ON x.w[x.i] = ph.p[1] AND x.w[x.i:x.i + len(ph.p) - 1] = ph.p),
 base AS (SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY rid),
-block AS (SELECT rid, list_distinct(w[b * {step} + 1:b * {step} + {BLOCK}]) AS s FROM (SELECT rid, w, unnest(generate_series(0, greatest(CAST(ceil((len(w) - {step}) / {step}.0) AS BIGINT), 1) - 1)) AS b FROM d)),
+vocabulary AS (SELECT list_distinct(flatten(list(t))) AS v FROM tp),
+block AS (SELECT rid, list_distinct(w[i:i + {BLOCK} - 1]) AS s FROM (SELECT rid, w, unnest(generate_series(1, len(w))) AS i FROM d) x, vocabulary WHERE list_contains(v, w[i])),
 near AS (SELECT rid, label, len(list_intersect(s, t)) AS shared, len(t) AS size FROM block, tp WHERE len(list_intersect(s, t)) >= alpha),
 own AS (SELECT rid, max(shared / size) AS best FROM near GROUP BY rid),
 named AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM near UNION ALL SELECT rid, label FROM place) GROUP BY rid)

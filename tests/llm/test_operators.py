@@ -474,3 +474,25 @@ def test_alignment_equals_the_full_table():
     for _ in range(300):
         x, y = ["r", *grow(3)[1:]], ["r", *grow(3)[1:]]
         assert len(html_extract.align(json.dumps(x), json.dumps(y))) == plain(x, y)
+
+
+def test_a_near_notice_is_found_wherever_it_starts(spark):
+    """45 words that hold all words of a 20-word template but one, at every start of a text of fillers."""
+    template = dict(license_scan.TEMPLATES)["mit"].split()
+    notice = []
+    for k, w in enumerate(template):
+        notice += [w, *([f"filler{k}"] if k else []), *([f"more{k}"] if k > 13 else [])]
+    notice = [w for w in notice if w != "hereby"][:45]
+    rows = [(s, " ".join([f"a{i}" for i in range(s)] + notice + [f"z{i}" for i in range(60)])) for s in range(48)]
+    rows.append((100, " ".join(w + " x1 x2" for w in template)))  # spread over 60 words: in no block
+    got = {r.doc_id: r for r in license_scan.labels_of(spark, license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")).collect()}
+    assert {got[s].labels for s in range(48)} == {"mit"} and len({got[s].score for s in range(48)}) == 1 and got[0].score >= 0.9
+    assert got[100].labels == ""
+
+
+def test_license_scan_takes_long_templates(spark):
+    text = " ".join(f"clause{i}" for i in range(300))
+    rows = [(1, "intro " * 77 + text.replace("clause7 ", "") + " outro" * 50), (2, " ".join(f"clause{i}" for i in range(200)))]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", [("long", text)])
+    got = {r.doc_id: r for r in license_scan.labels_of(spark, found, [("long", text)]).collect()}
+    assert got[1].labels == "long" and got[1].score == pytest.approx(299 / 300) and got[2].labels == ""
