@@ -340,7 +340,7 @@ def q_log_predictions(spark, d):
     preds = predictions(spark, d, f)
     sched = schedule(spark, d, f).collect()  # one row per batch (6)
     for b in sorted(sched, key=lambda r: r["batch"]) + [max(sched, key=lambda r: r["batch"])]:
-        part = pp.evaluation_slice(preds, b["batch_start"], b["batch_end"])
+        part = pp.evaluation_slice(preds, b["batch_start"], b["batch_end"], config.HORIZON)
         storage.log_predictions(spark, root, part)
     return storage.read_table(spark, root)
 

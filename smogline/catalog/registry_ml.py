@@ -52,7 +52,7 @@ def _train(spark, d, feats=None):
 
 def _reference_rows(spark, d):
     lo, hi = _reference_window(spark, d)
-    return pp.evaluation_slice(features_ckpt(spark, d, "eval"), lo, hi)
+    return pp.evaluation_slice(features_ckpt(spark, d, "eval"), lo, hi, config.HORIZON)
 
 
 _SLOTS = ", ".join(f"CAST({f} AS DOUBLE)" for f in FEATURES if f != "city")
@@ -93,7 +93,7 @@ def q_evaluate_model(spark, d):
     """Both modes: the reference window as test set, the last batch as fresh one."""
     model, _ = forecast.train_model(_train(spark, d), FEATURES, "gbt")
     last = schedule(spark, d).filter(F.col("batch") == config.BATCH_COUNT).first()
-    fresh = pp.evaluation_slice(features_ckpt(spark, d, "eval"), last["batch_start"], last["batch_end"])
+    fresh = pp.evaluation_slice(features_ckpt(spark, d, "eval"), last["batch_start"], last["batch_end"], config.HORIZON)
     rows = {"test_set": _reference_rows(spark, d), "fresh_batch": fresh}
     scores = [forecast.evaluate_model(model, rows[m]).select(F.lit(m).alias("mode"), "rmse") for m in forecast.EVAL_MODES]
     return scores[0].unionByName(scores[1])

@@ -206,7 +206,7 @@ def periodic_step(
     logged = None if force else _logged(spark, ws, b)
     if logged is not None:
         return logged
-    rows = pp.evaluation_slice(eval_features, b["batch_start"], b["batch_end"])
+    rows = pp.evaluation_slice(eval_features, b["batch_start"], b["batch_end"], config.HORIZON)
     past = train_features.filter(F.col("date").between(b["train_start"], b["train_end"]))
     return _monitor(spark, ws, b, rows, lambda: past, features, kind, **params)
 

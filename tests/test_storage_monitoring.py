@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from smogline import schemas
+from smogline.catalog import registry, registry_io
 from smogline.operators import joins
 from smogline.plans import monitoring
+from smogline.plans import preprocess as pp
 from smogline.session import scratch_path
 from smogline.sources import payload, storage
 
@@ -257,3 +259,18 @@ def test_packed_payloads(spark):
     assert payload.scan_packed_payload(spark, packed, [999]).count() == 0 and payload.scan_packed_payload(spark, packed, []).count() == 0
     payload.pack_sensor_payloads(daily.where("false"), packed + "-none")
     assert payload.scan_packed_payload(spark, packed + "-none", [1]).count() == 0
+
+
+def _batch_features(spark):
+    """Two cities, 400 days: six batches of 42 days, each day's target known."""
+    return spark.range(0, 400).select(
+        F.date_add(F.lit(dt.date(2020, 1, 1)), F.col("id").cast("int")).alias("date"), F.explode(F.array(F.lit("A"), F.lit("B"))).alias("city"),
+        (F.col("id") % 7 + 1.0).alias("target"), (F.col("id") % 5 + 1.0).alias("lag_1"))
+
+
+def test_evaluation_slice_holds_the_whole_window(spark):
+    f = _batch_features(spark)
+    lo, hi = dt.date(2020, 3, 1), dt.date(2020, 4, 11)
+    assert pp.evaluation_slice(f, lo, hi).count() == 2 * 42
+    assert pp.evaluation_slice(f, lo, hi).agg(F.max("date")).first()[0] == hi
+    assert pp.evaluation_slice(f, lo, hi, ahead=1).agg(F.max("date")).first()[0] == hi - dt.timedelta(days=1)
