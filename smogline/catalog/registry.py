@@ -1134,7 +1134,7 @@ def q_batch_schedule(spark, d):
     with_ctes("""
 SELECT s.batch, s.batch_start, s.batch_end, p.model_version,
   sqrt(avg(power(ln(1 + p.y_true) - ln(1 + p.y_pred), 2))) AS rmse, count(*) AS n_rows
-FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end - 1
+FROM preds p JOIN sched s ON p.date BETWEEN s.batch_start AND s.batch_end
 GROUP BY s.batch, s.batch_start, s.batch_end, p.model_version""", "full_eval", extra=_mon(SCHED_CTES, PRED_CTES)),
     ["rmse"],
 )
@@ -1162,7 +1162,7 @@ LEFT JOIN models m ON m.model_version = s.model_version""", "full_eval", extra=M
 )
 def q_reference_lookup(spark, d):
     f = shared(spark, d)
-    sc = monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f)).select("batch", "model_version", "rmse")
+    sc = monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f), config.HORIZON).select("batch", "model_version", "rmse")
     return joins.reference_lookup(sc, models(spark, d, f))
 
 
@@ -1177,7 +1177,7 @@ LEFT JOIN models m ON m.model_version = s.model_version""", "full_eval", extra=M
 )
 def q_drift_check(spark, d):
     f = shared(spark, d)
-    sc = monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f)).select("batch", "model_version", "rmse")
+    sc = monitoring.score_batches(predictions(spark, d, f), schedule(spark, d, f), config.HORIZON).select("batch", "model_version", "rmse")
     return monitoring.drift_check(sc, models(spark, d, f))
 
 

@@ -61,9 +61,10 @@ def persistence_predictions(features: DataFrame, model_version: str = "1") -> Da
     )
 
 
-def score_batches(predictions: DataFrame, schedule: DataFrame) -> DataFrame:
-    """RMSE (log space) per batch and model version, on the days whose next day is in the batch."""
-    tagged = joins.assign_batch(predictions, schedule, ahead=config.HORIZON)
+def score_batches(predictions: DataFrame, schedule: DataFrame, ahead: int = 0) -> DataFrame:
+    """RMSE (log space) per batch and model version; with ``ahead``, on the days whose day
+    ``ahead`` days later is in the batch too."""
+    tagged = joins.assign_batch(predictions, schedule, ahead=ahead)
     return tagged.groupBy("batch", "batch_start", "batch_end", "model_version").agg(
         rmsle_col("y_true", "y_pred").alias("rmse"), F.count(F.lit(1)).alias("n_rows")
     )

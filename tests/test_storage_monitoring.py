@@ -274,3 +274,10 @@ def test_evaluation_slice_holds_the_whole_window(spark):
     assert pp.evaluation_slice(f, lo, hi).count() == 2 * 42
     assert pp.evaluation_slice(f, lo, hi).agg(F.max("date")).first()[0] == hi
     assert pp.evaluation_slice(f, lo, hi, ahead=1).agg(F.max("date")).first()[0] == hi - dt.timedelta(days=1)
+
+
+def test_score_batches_takes_every_day_of_a_batch(spark):
+    f = _batch_features(spark)
+    s, p = monitoring.batch_schedule(f.select("date")), monitoring.persistence_predictions(f)
+    assert [r.n_rows for r in monitoring.score_batches(p, s).collect()] == [2 * 42] * 6
+    assert [r.n_rows for r in monitoring.score_batches(p, s, ahead=1).collect()] == [2 * 41] * 6
