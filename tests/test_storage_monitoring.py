@@ -281,3 +281,10 @@ def test_score_batches_takes_every_day_of_a_batch(spark):
     s, p = monitoring.batch_schedule(f.select("date")), monitoring.persistence_predictions(f)
     assert [r.n_rows for r in monitoring.score_batches(p, s).collect()] == [2 * 42] * 6
     assert [r.n_rows for r in monitoring.score_batches(p, s, ahead=1).collect()] == [2 * 41] * 6
+
+
+def test_log_predictions_logs_every_day_of_a_batch(spark, monkeypatch):
+    f = _batch_features(spark)
+    monkeypatch.setattr(registry, "full", lambda *a: f)
+    rows = registry_io.q_log_predictions(spark, None)
+    assert rows.count() == rows.select("date", "city").distinct().count() == 6 * 42 * 2
