@@ -16,8 +16,8 @@ a text without a break takes few rounds.  Each distinct word of a piece of
 texts is encoded once; a worker remembers about ``WORDS_KEPT`` words, and when
 they are more, it goes on with those that it met in several pieces.
 
-Decoding: token rows join ``vocab``, and an ordered aggregation per document
-gives its bytes.
+Decoding: token rows join ``vocab``; the bytes in the order of the tokens' places
+are cut by document.
 
 Nothing is shuffled; the ranks file is read by the driver and broadcast (under
 1 MB).  Texts go through in pieces of about ``PIECE_BYTES``; a longer text is
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from .common import chunks, table, tune
 
 LONG = 256
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_000_000
 PIECE_BYTES = 4 << 20
 SLICE_WORDS = 500_000
 #: words of one recursive query; more fit no longer in the processor's cache
@@ -91,10 +92,7 @@ WITH RECURSIVE state(place, word, token) USING KEY (place) AS (
 SELECT word, token FROM state WHERE token >= 0 ORDER BY place
 """
 
-_DECODE = """
-SELECT doc, count(*) AS n, count(bytes) AS known, list(bytes ORDER BY place) AS parts
-FROM tokens LEFT JOIN vocab ON id = token GROUP BY doc ORDER BY doc
-"""
+_DECODE = "SELECT place, bytes FROM tokens LEFT JOIN vocab ON id = token"
 
 
 def _ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -146,6 +144,14 @@ class Pattern:
         return self.of(text).findall(text)
 
 
+class _Numbers(dict):
+    """Words numbered as they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        return at
+
+
 class Codec:
     """A worker's DuckDB for one ranks file and pattern."""
 
@@ -172,7 +178,7 @@ class Codec:
             ) ON part = merged"""
         )
         self.db.unregister("given")
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.flat, self.bounds, self.met = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, np.int64)
 
     def forget(self, keep: int = 0) -> None:
@@ -181,7 +187,7 @@ class Codec:
         often = often if len(often) <= keep else often[:0]
         names, count = list(self.known), np.diff(self.bounds)[often]
         self.flat = _ragged(self.flat, self.bounds[often], count)
-        self.known = {names[i]: k for k, i in enumerate(often)}
+        self.known = _Numbers((names[i], k) for k, i in enumerate(often))
         self.bounds, self.met = np.concatenate([[0], np.cumsum(count)]), np.zeros(len(often), np.int64)
 
     def _contract(self, words: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
@@ -195,23 +201,23 @@ class Codec:
         return out.column("token").to_numpy(), np.bincount(out.column("word").to_numpy(), minlength=len(words))
 
     def learn(self, words: list[str]) -> None:
-        """Encode words that are not known yet."""
+        """Encode words that have just got their numbers."""
         raw = [w.encode() for w in words]
         count, kinds = np.ones(len(raw), np.int64), np.zeros(len(raw), np.int8)
         for i, w in enumerate(raw):
             kinds[i] = 0 if w in self.ranks else 1 if len(w) <= LONG else 2
-        parts = [np.array([self.ranks[raw[i]] for i in np.flatnonzero(kinds == 0)], np.int32)]
-        for kind, query in ((1, _ENCODE), (2, _ENCODE_LONG)):
-            every = np.flatnonzero(kinds == kind)
+        # words of one length together: a query's rounds follow its longest word, and each scans all its rows
+        order = np.lexsort((np.array([len(w) for w in raw]), kinds))
+        ends = np.searchsorted(kinds[order], (0, 1, 2), "right")
+        parts = [np.array([self.ranks[raw[i]] for i in order[: ends[0]]], np.int32)]
+        for every, query in ((order[ends[0] : ends[1]], _ENCODE), (order[ends[1] : ends[2]], _ENCODE_LONG)):
             for a in range(0, len(every), ROUND_WORDS):
                 which = every[a : a + ROUND_WORDS]
                 tokens, count[which] = self._contract([raw[i] for i in which], query)
                 parts.append(tokens)
-        # from the order of kinds to that of words
-        order = np.argsort(kinds, kind="stable")
+        # from that order to the order of words
         starts = np.empty(len(raw), np.int64)
         starts[order] = np.cumsum(count[order]) - count[order]
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         self.flat = np.concatenate([self.flat, _ragged(np.concatenate(parts), starts, count)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(count)])
         self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
@@ -220,27 +226,32 @@ class Codec:
         """Token ids of texts given as words, one after another, and how many each has."""
         if len(self.known) > WORDS_KEPT:
             self.forget(WORDS_KEPT // 2)
-        new = list({w: None for words in texts for w in words if w not in self.known})
-        if new:
-            self.learn(new)
-        get = self.known.__getitem__
-        words = np.fromiter((get(w) for x in texts for w in x), np.int64)
-        self.met[np.unique(words)] += 1
-        count = self.bounds[words + 1] - self.bounds[words]
+        old = len(self.known)
+        words = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        if len(self.known) > old:
+            try:
+                self.learn(list(itertools.islice(self.known, old, None)))
+            except BaseException:
+                self.known = _Numbers(itertools.islice(self.known.items(), old))
+                raise
+        self.met += np.bincount(words, minlength=len(self.met)) > 0
+        count = np.diff(self.bounds)[words]
         ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, texts)])]
         return _ragged(self.flat, self.bounds[words], count), np.diff(ends)
 
     def bytes(self, ids: np.ndarray, counts: np.ndarray) -> list[memoryview]:
         """The bytes of texts given by their ids, one after another."""
-        out = [memoryview(b"")] * len(counts)
-        self.db.register("tokens", pa.table({"doc": np.repeat(np.arange(len(counts), dtype=np.int32), counts), "place": np.arange(len(ids), dtype=np.int32), "token": ids.astype(np.int32)}))
-        found = self.db.sql(_DECODE).to_arrow_table().combine_chunks()
+        self.db.register("tokens", pa.table({"place": np.arange(len(ids), dtype=np.int32), "token": ids.astype(np.int32)}))
+        found = self.db.sql(_DECODE).to_arrow_table()
         self.db.unregister("tokens")
-        if found.column("n").to_pylist() != found.column("known").to_pylist():
+        if found.column("bytes").null_count:
             raise ValueError("a token id is not in the ranks file")
-        for doc, parts in zip(found.column("doc").to_pylist(), _lists(found.column("parts"))):
-            out[doc] = parts
-        return out
+        place = found.column("place").to_numpy()
+        if (np.diff(place) < 0).any():  # the join keeps the order of the tokens; nothing relies on it
+            found = found.take(np.argsort(place))
+        data, size = _joined(found.column("bytes"))
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+        return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
     def slices(self, text: bytes) -> Iterator[list[str]]:
         """The words of one text, in slices."""
@@ -257,16 +268,16 @@ class Codec:
         yield words
 
 
-def _lists(column: pa.ChunkedArray) -> Iterator[memoryview]:
-    """Each list of byte strings as one run of bytes, without copying them."""
-    for lists in column.chunks:
-        values = lists.flatten()
+def _joined(column: pa.ChunkedArray) -> tuple[memoryview, np.ndarray]:
+    """Byte strings as one run of bytes, and the length of each."""
+    runs, sizes = [], [np.zeros(0, np.int64)]
+    for values in column.chunks:
         wide = pa.types.is_large_binary(values.type)
         offsets = np.frombuffer(values.buffers()[1], np.int64 if wide else np.int32)[values.offset : values.offset + len(values) + 1]
-        data = memoryview(values.buffers()[2] or b"")
-        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        for a, b in zip(ends[:-1], ends[1:]):
-            yield data[offsets[a] : offsets[b]]
+        if len(values):
+            runs.append(memoryview(values.buffers()[2] or b"")[offsets[0] : offsets[-1]])
+            sizes.append(np.diff(offsets))
+    return memoryview(b"".join(runs)), np.concatenate(sizes)
 
 
 _ready: dict[tuple[int, str], Codec] = {}  # per worker

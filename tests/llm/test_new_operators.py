@@ -70,6 +70,20 @@ def test_bpe_of_slices_and_a_full_memory(codec, library, monkeypatch):
     assert ids == library.encode_ordinary(text)
 
 
+def test_bpe_queries_take_words_of_one_length_together(library, monkeypatch):
+    """A query's rounds follow its longest word; and decoding does not rely on the order of its join."""
+    with open(RANKS, "rb") as f:
+        c = byte_bpe.Codec(f.read(), P.PATTERN)
+    spans, contract = [], c._contract
+    monkeypatch.setattr(byte_bpe, "ROUND_WORDS", 40)
+    monkeypatch.setattr(c, "_contract", lambda words, query: spans.append({len(w) for w in words}) or contract(words, query))
+    texts = [" ".join("qzx" * k + chr(97 + i // 20) + chr(97 + i % 20) for k in (1, 4, 9, 30)) for i in range(40)]
+    assert encoded(c, texts) == [library.encode_ordinary(x) for x in texts]
+    assert len(spans) > 3 and max(map(len, spans)) <= 2
+    monkeypatch.setattr(byte_bpe, "_DECODE", byte_bpe._DECODE + " ORDER BY hash(place)")
+    assert encoded(c, texts) == [library.encode_ordinary(x) for x in texts]
+
+
 def test_op12_matches_the_library(spark, odd_documents, empty_tables, library):
     def digest(x):
         ids = library.encode_ordinary(x)
