@@ -8,7 +8,8 @@ commits:
 
 For a month-partitioned table a commit lists the month folders that make up
 the version; unchanged months are carried over from earlier versions by
-reference, so a range replace rewrites only the months it touches.
+reference, so a range replace rewrites only the months it touches.  A table
+replaced by key and date keeps a folder for every day of its newest month.
 
 A write never reads and overwrites the same path: it builds the next version
 from the current one (e.g. ``rows outside [s, e]  ∪  new rows``), writes it
@@ -37,6 +38,7 @@ from .. import config, schemas
 
 POINTER = "_versions"
 MONTH = "_month"  # partition column of date-partitioned tables (first day of the month)
+DAYS = "_days"  # of tables replaced by key and date: a day (yyyy-mm-dd) of the newest month, or an earlier month (yyyy-mm)
 LOG_SCHEMA = "version string, paths array<string>, schema string"
 DATA_TYPES = {"weather": schemas.WEATHER, "airqual": schemas.AIRQUAL, "processed": schemas.processed(config.SELECTED_FEATURES)}
 
@@ -66,8 +68,14 @@ def table_exists(spark: SparkSession, root: str) -> bool:
     return _current(spark, root) is not None
 
 
+def _span_of(path: str) -> str:
+    """The month (yyyy-mm) or day (yyyy-mm-dd) whose rows a folder holds."""
+    column, _, value = path.rstrip("/").rsplit("/", 1)[1].partition("=")
+    return value if column == DAYS else value[:7]
+
+
 def _month_of(path: str) -> str:
-    return path.rstrip("/").rsplit(f"{MONTH}=", 1)[1][:10]
+    return f"{_span_of(path)[:7]}-01"
 
 
 def _read_paths(spark: SparkSession, cur, months: tuple[str, str] | None = None) -> DataFrame:
@@ -95,15 +103,23 @@ def _commit(spark: SparkSession, root: str, version: str, paths, schema: T.Struc
     spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/{POINTER}")
 
 
-def _write_months(df: DataFrame, root: str, v: str) -> list[str]:
-    """Write ``df`` under ``root/v`` partitioned by month; return the month folders."""
-    months = df.withColumn(MONTH, F.trunc("date", "MM"))
-    # rows of a month meet first: files per month follow its size, not the number of tasks
-    months.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).parquet(f"{root}/{v}")
+def _write_months(df: DataFrame, root: str, v: str, days_from: str | None = None) -> list[str]:
+    """Write ``df`` under ``root/v`` partitioned by month, or from the month ``days_from`` (yyyy-mm)
+    on by day; return the folders."""
+    by, span = MONTH, F.trunc("date", "MM")
+    if days_from is not None:
+        by, month = DAYS, F.date_format("date", "yyyy-MM")
+        span = F.when(month < days_from, month).otherwise(F.date_format("date", "yyyy-MM-dd"))
+    # rows of a folder meet first: its files follow its size, not the number of tasks
+    df.withColumn(by, span).hint("rebalance", by).write.mode("errorifexists").partitionBy(by).parquet(f"{root}/{v}")
     files = df.sparkSession.read.schema(df.schema).parquet(f"{root}/{v}").inputFiles()  # listing only, no job
     return sorted({f.rsplit("/", 1)[0] for f in files})
 
 
+def _new_version() -> str:
+    return f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sortable by commit time
+
+
 def write_table(df: DataFrame, root: str, partition_by: str | None = None, carried: list[str] | None = None) -> str:
     """Write ``df`` as a new version and append it to the commit log.
 
@@ -114,7 +130,7 @@ def write_table(df: DataFrame, root: str, partition_by: str | None = None, carri
     did not change.  Range scans read only the folders of their months.
     """
     spark = df.sparkSession
-    v = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"  # sortable by commit time
+    v = _new_version()
     if partition_by == "date":
         paths = list(carried or []) + _write_months(df, root, v)
         _commit(spark, root, v, paths, df.schema)
@@ -208,6 +224,34 @@ def key_replace_months(spark: SparkSession, root: str, new: DataFrame, keys: lis
     return write_table(replaced_keys(old, new, keys), root, "date", carried=[p for p in cur["paths"] if p not in touched])
 
 
+def key_replace_days(spark: SparkSession, root: str, new: DataFrame, keys: list[str]) -> str:
+    """Replace rows by a key that holds ``date``: only the days of ``new`` are read and rewritten.
+
+    Every day of the table's newest month has a folder of its own, so a table that grows at its end
+    costs each replace the days it touches, not the month so far.  The days of an earlier month are
+    merged once, into one folder, by the first replace of a later month; late rows rewrite that
+    folder.  Without a row in ``new`` the current version stays.
+    """
+    cur = _current(spark, root)
+    found = [str(r[0]) for r in new.select(F.date_format("date", "yyyy-MM-dd")).distinct().collect()]  # at most the calendar's days
+    if cur is not None and not found:
+        return cur["version"]
+    held = [] if cur is None else list(cur["paths"] or [])
+    days = {d for d in found if d != "None"}
+    newest = max({d[:7] for d in days} | {_month_of(p)[:7] for p in held if _span_of(p)[:1].isdigit()}, default="")
+    if cur is not None and cur["paths"] is None:
+        old, carried = read_table(spark, root), []
+    else:
+        spans = days | {d[:7] for d in days}
+        touched = [p for p in held if _span_of(p) in spans or (len(_span_of(p)) == 10 and _span_of(p)[:7] < newest)]
+        carried = [p for p in held if p not in touched]
+        old = None if cur is None else _read_paths(spark, dict(version=cur["version"], paths=touched, schema=cur["schema"]))
+    v = _new_version()
+    paths = carried + _write_months(replaced_keys(old, new, keys), root, v, newest)
+    _commit(spark, root, v, paths, new.schema if old is None else old.schema)
+    return v
+
+
 def key_replace(spark: SparkSession, root: str, new: DataFrame, keys: list[str]) -> tuple[str, int]:
     """Replace rows by key; returns (version, number of replaced rows)."""
     old = read_table(spark, root) if table_exists(spark, root) else None

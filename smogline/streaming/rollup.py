@@ -3,7 +3,7 @@
 Raw readings arrive as files; each micro-batch updates the per
 (city, sensor, local day) aggregates held in the state store, and
 ``foreachBatch`` upserts the updated rows by key into a versioned table
-(``sources.storage``).  Replaying a micro-batch after a failure rewrites
+(``sources.storage``), rewriting only the days they touch.  Replaying a micro-batch after a failure rewrites
 the same keys, so the sink is idempotent; the checkpoint folder (under the
 shared checkpoint directory) makes the query restartable after executor or
 driver loss.
@@ -84,7 +84,7 @@ def stream_daily_rollup(
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()  # read twice by the key replace
         try:
-            storage.key_replace_months(batch.sparkSession, out_root, batch, KEYS)
+            storage.key_replace_days(batch.sparkSession, out_root, batch, KEYS)
         finally:
             batch.unpersist()
 
@@ -104,17 +104,20 @@ def write_arrivals(raw: DataFrame, root: str, slices: int = 8, on_arrival=None)
     """Write ``raw`` as ``slices`` time-ordered slices, oldest first, calling
     ``on_arrival(path)`` after each one — e.g. to run the stream over what has
     arrived so far, as a scheduler would.  Slice bounds come from one
-    aggregate."""
+    aggregate.  ``raw`` is dealt into the slices by one pass, beside them
+    (``_dealt``); an arrival copies its slice from there."""
+    spark = raw.sparkSession
     b = raw.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     lo, hi = b["lo"], b["hi"]
     step = (hi - lo) / slices
+    at = sum((F.col("ts") >= F.lit(lo + step * i)).cast("int") for i in range(1, slices)) if slices > 1 else F.lit(0)
+    dealt = raw.filter(F.col("ts").isNotNull()).withColumn("_slice", at)
+    dealt.write.partitionBy("_slice").parquet(f"{root}/_dealt")
+    dealt = spark.read.schema(dealt.schema).parquet(f"{root}/_dealt")
     paths = []
     for i in range(slices):
-        a = lo + step * i
-        z = hi if i == slices - 1 else lo + step * (i + 1)
-        cond = (F.col("ts") >= F.lit(a)) & ((F.col("ts") <= F.lit(z)) if i == slices - 1 else (F.col("ts") < F.lit(z)))
         path = f"{root}/slice={i:03d}"
-        raw.filter(cond).write.parquet(path)
+        dealt.filter(F.col("_slice") == i).drop("_slice").write.parquet(path)
         paths.append(path)
         if on_arrival is not None:
             on_arrival(path)

@@ -210,6 +210,32 @@ def test_storage_keeps_what_it_should(spark):
     assert storage.read_table(spark, root).count() == before
 
 
+def test_key_replace_rewrites_only_the_days_it_touches(spark):
+    d = lambda x: None if x is None else dt.date.fromisoformat(x)
+    frame = lambda rows: spark.createDataFrame([(d(a), k, v) for a, k, v in rows], "date date, k string, v double")
+    root = scratch_path(spark, "by-day")
+    paths = lambda: storage._current(spark, root)["paths"]
+    content = lambda: sorted((str(r.date), r.k, r.v) for r in storage.read_table(spark, root).collect())
+    # a month-wise table goes on day by day; its untouched months stay
+    storage.write_table(frame([(None, "n", 0.0), ("2023-11-30", "a", 1.0), ("2024-01-01", "a", 1.0)]), root, "date")
+    november = [p for p in paths() if "2023-11" in p]
+    storage.key_replace_days(spark, root, frame([("2024-01-01", "b", 2.0), ("2024-01-02", "a", 3.0), ("2024-01-03", "a", 4.0)]), ["date", "k"])
+    held = {p.rsplit("=")[-1]: p for p in paths()}
+    assert {"2024-01-01", "2024-01-02", "2024-01-03"} < set(held) and set(november) < set(paths())
+    version = storage.key_replace_days(spark, root, frame([("2024-01-03", "a", 5.0), ("2024-01-04", "a", 6.0)]), ["date", "k"])
+    assert {held["2024-01-01"], held["2024-01-02"], *november} < set(paths()) and held["2024-01-03"] not in paths()
+    assert storage.key_replace_days(spark, root, frame([]), ["date", "k"]) == version
+    # a later month closes January: its days become one folder; a late row rewrites that
+    storage.key_replace_days(spark, root, frame([("2024-02-01", "a", 7.0)]), ["date", "k"])
+    assert sum("2024-01" in p for p in paths()) == 1 and set(november) < set(paths())
+    storage.key_replace_days(spark, root, frame([("2024-01-02", "a", 8.0)]), ["date", "k"])
+    assert content() == [("2023-11-30", "a", 1.0), ("2024-01-01", "a", 1.0), ("2024-01-01", "b", 2.0), ("2024-01-02", "a", 8.0),
+                         ("2024-01-03", "a", 5.0), ("2024-01-04", "a", 6.0), ("2024-02-01", "a", 7.0), ("None", "n", 0.0)]
+    assert [r.k for r in storage.scan_range(spark, root, "2024-01-04", "2024-02-01", order=True).collect()] == ["a", "a"]
+    storage.range_replace(spark, root, frame([("2024-01-03", "z", 9.0)]), "2024-01-02", "2024-01-31")
+    assert [r[1:] for r in content() if r[0] >= "2024-01"] == [("a", 1.0), ("b", 2.0), ("z", 9.0), ("a", 7.0), ("n", 0.0)]
+
+
 def test_union_without_rows_is_refused(spark):
     from smogline.operators.rollup import union_sources
 

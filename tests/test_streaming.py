@@ -57,3 +57,14 @@ def test_late_rows_count_until_the_watermark_has_passed(spark):
     first = table.where("date = '2024-05-10'").first()
     assert (first.n_readings, first.pm25_q25, first.pm25_median, first.pm25_q75, first.pm25_max) == (3, 15.0, 20.0, 40.0, 60.0)
     assert first.coverage == pytest.approx(3 * 100 / 24)
+
+
+def test_arrivals_hold_every_row_once(spark):
+    """Rows on a bound go to the later slice, the last one keeps the end, an empty slice arrives too; no row without a time."""
+    day = dt.datetime(2024, 3, 1)
+    rows = [(i, None if h is None else day + dt.timedelta(hours=h)) for i, h in enumerate([0, 1, 2, 6, 7, 8, 8, None])]
+    root, seen = scratch_path(spark, "t-arrivals"), []
+    paths = write_arrivals(spark.createDataFrame(rows, "event_id long, ts timestamp"), root, slices=4, on_arrival=lambda p: seen.append(
+        sorted(r.event_id for r in spark.read.parquet(f"{root}/slice=*").collect())))
+    assert [sorted(r.event_id for r in spark.read.parquet(p).collect()) for p in paths] == [[0, 1], [2], [], [3, 4, 5, 6]]
+    assert seen == [[0, 1], [0, 1, 2], [0, 1, 2], [0, 1, 2, 3, 4, 5, 6]]
