@@ -33,21 +33,29 @@ def features_ckpt(spark, d, mode="train"):
     return full(spark, d, mode).checkpoint(eager=True)
 
 
-def _reference_window(spark, d):
+def _reference_window(spark, d, evaluated=None):
     """(start, end) of the window before the first batch, resolved once on
     the driver so the many jobs that filter on it do not re-derive it."""
-    s = schedule(spark, d).filter(F.col("batch") == 1)
+    s = schedule(spark, d, evaluated).filter(F.col("batch") == 1)
     r = s.select(
         F.date_sub("batch_start", config.BATCH_DAYS).alias("lo"), F.date_sub("batch_start", 1).alias("hi")
     ).first()
     return r["lo"], r["hi"]
 
 
-def _train(spark, d, feats=None):
+def _both_modes(spark, d):
+    """(stored train-mode features, eval-mode features), both from one stored copy of the
+    sensor days and of the weather, so the big tables are read once for the two."""
+    days, wx = readings(spark, d).checkpoint(), weather(spark, d).checkpoint()
+    return pp.features_table(days, wx, mode="train").checkpoint(eager=True), pp.features_table(days, wx, mode="eval")
+
+
+def _train(spark, d, feats=None, evaluated=None):
     """Training rows: train-mode features before the reference window."""
-    f = feats if feats is not None else features_ckpt(spark, d)
-    lo, _ = _reference_window(spark, d)
-    return f.filter(F.col("date") < F.lit(lo))
+    if feats is None:
+        feats, evaluated = _both_modes(spark, d)
+    lo, _ = _reference_window(spark, d, evaluated)
+    return feats.filter(F.col("date") < F.lit(lo))
 
 
 def _reference_rows(spark, d):
@@ -179,14 +187,14 @@ def q_categorical_native(spark, d):
     return forecast.fold_summary(sc.withColumn("model", F.lit("gbt_city_categorical")), key="model")
 
 
-def _importances(spark, d, feats=None):
-    train = _train(spark, d, feats)
+def _importances(spark, d, feats=None, evaluated=None):
+    train = _train(spark, d, feats, evaluated)
     model, _ = forecast.train_model(train, FEATURES, "gbt")
     return forecast.permutation_importance(model, train, FEATURES)
 
 
-def _ranked(spark, d, feats=None, k=None):
-    return forecast.rank_features(_importances(spark, d, feats).select("feature", F.col("importance_mean").alias("importance")), k)
+def _ranked(spark, d, feats=None, evaluated=None, k=None):
+    return forecast.rank_features(_importances(spark, d, feats, evaluated).select("feature", F.col("importance_mean").alias("importance")), k)
 
 
 @register("permutation_importance")
@@ -202,8 +210,8 @@ def q_rank_features(spark, d):
 
 @register("topk_sweep")
 def q_topk_sweep(spark, d):
-    feats = features_ckpt(spark, d)
-    ranked = [r["feature"] for r in _ranked(spark, d, feats).collect()]
+    feats, evaluated = _both_modes(spark, d)
+    ranked = [r["feature"] for r in _ranked(spark, d, feats, evaluated).collect()]
     return forecast.topk_sweep(feats, ranked)
 
 

@@ -41,11 +41,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(city, sensor_id, date, pm25_avg), one row per sensor-day."""
     li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate", "l_extendedprice")
     su = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    su_geo = su.join(F.broadcast(_geo(spark, sf_dir)), su.s_nationkey == F.col("n_nationkey")).select(
-        "s_suppkey", "city", F.col("n_nationkey").cast("long").alias("sensor_id")
-    )
+    geo = _geo(spark, sf_dir).withColumn("sensor_id", F.col("n_nationkey").cast("long"))
+    # supplier is joined first, by its own size: joined with geo it would pass for too large to broadcast
     return (
-        li.join(su_geo, li.l_suppkey == su_geo.s_suppkey)
+        li.join(su, li.l_suppkey == su.s_suppkey)
+        .join(F.broadcast(geo), su.s_nationkey == F.col("n_nationkey"))
         .groupBy("city", "sensor_id", F.to_date("l_shipdate").alias("date"))
         .agg((F.avg("l_extendedprice") / 1000 - 10).alias("pm25_avg"))
     )

@@ -7,6 +7,7 @@ import pytest
 from smogline import config
 from smogline.catalog import registry_ml
 from smogline.plans import forecast
+from smogline.sources import fixtures
 
 
 class Called(Exception):
@@ -80,3 +81,26 @@ def test_no_folds_no_rows(features):
     none = features.where("false")
     assert forecast.topk_sweep(none, ["lag_1", "lag_2", "lag_3", "city"]).count() == 0
     assert forecast.param_search(none, ["lag_1"], forecast.sample_params(2)).count() == 0
+
+
+def test_sweep_reads_the_big_tables_once(spark, monkeypatch):
+    """Features and schedule come from one stored copy of the sensor days; the training rows are the same."""
+    sf, reads, real = "/root/testdata/sf0.01", [], fixtures.readings
+    feats, lo = registry_ml.features_ckpt(spark, sf), registry_ml._reference_window(spark, sf)[0]
+    monkeypatch.setattr(fixtures, "readings", lambda *a: reads.append(a) or real(*a))
+
+    def stop(*args, **params):
+        raise Called(args)
+
+    monkeypatch.setattr(forecast, "train_model", stop)
+    with pytest.raises(Called) as e:
+        registry_ml.q_topk_sweep(spark, sf)
+    assert len(reads) == 1
+    rows = lambda df: sorted((r.city, r.date, round(r.target, 9), round(r.lag_7, 9)) for r in df.collect())
+    assert rows(e.value.args[0][0]) == rows(feats.filter(feats.date < lo)) != []
+
+
+def test_small_supplier_is_broadcast(spark):
+    """Nation and region do not make the supplier side look large; lineitem is not shuffled for the join."""
+    plan = fixtures.readings(spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
